@@ -6,16 +6,18 @@ row caps) through the library operators, as of ``DEFAULT_AS_OF``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulse import DEFAULT_AS_OF
-from pulse.operators import dims, facts, history, marts, staging
-from pulse.session import configure
-from pulse.sources import standins
+from pulse import DEFAULT_AS_OF, schemas
+from pulse.operators import checks, dims, facts, history, marts, staging
+from pulse.session import configure, shared_dir
+from pulse.sources import ingest, standins, tables
 
 # Tier thresholds for the stand-in data. Its events span 30 days,
 # so the defaults (30 / 10 / 365) would make every tier "new".
@@ -23,6 +25,12 @@ TIER_NEW_DAYS = 5
 TIER_CORE_REPOS = 25
 TIER_CORE_DAYS = 24
 
+# The check clock, the simulated daily runs and the expiry run.
+CHECK_NOW = datetime(2024, 1, 31, 0, 0, 0)
+FIRST_DAILY_RUN = date(2024, 1, 28)
+EXPIRY_RUN = date(2024, 4, 15)
+FACT_CLUSTER = ("repo_id", "event_type")
+
 
 class Inputs:
     """Lazily built lineage of one (session, scale-factor directory)."""
@@ -85,6 +93,134 @@ class Inputs:
     def pr_velocity(self) -> DataFrame:
         return marts.pr_velocity(self.dim_repos, self.fct, self.as_of)
 
+    # -- stored tables (written under the cluster's shared checkpoint folder) --
+
+    def scratch(self, name: str) -> str:
+        return f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def write_fact(self, path: str) -> str:
+        """Full build of the stored fact: day partitions, clustered layout."""
+        return tables.refresh(self.spark, path, lambda a, d: facts.fct_events(self.stg_events, a, d),
+                              self.as_of, cluster_by=FACT_CLUSTER, tiebreak="event_id")
+
+
+def daily_refreshes(i: Inputs, first_run: date = FIRST_DAILY_RUN) -> DataFrame:
+    """The fact as left by daily runs from ``first_run`` to ``as_of``.
+
+    Run day D sees the day tables before D. The first run finds no tables and
+    builds the full windows; later runs recompute only the last 3 days of the
+    staged events and of the fact and replace those day partitions.
+    """
+    root = i.scratch("daily")
+    stg_path, fct_path = f"{root}/stg_events", f"{root}/fct_events"
+    run = first_run
+    while run <= i.as_of:
+        arrived = i.raw_events.filter(F.col("dt") < F.lit(run))
+        tables.refresh(i.spark, stg_path,
+                       lambda a, d, src=arrived: staging.stage_events(src, a, d), run,
+                       window_days=staging.FULL_LOOKBACK_DAYS)
+        staged = tables.read(i.spark, stg_path)
+        tables.refresh(i.spark, fct_path, lambda a, d, src=staged: facts.fct_events(src, a, d), run,
+                       cluster_by=FACT_CLUSTER, tiebreak="event_id")
+        run += timedelta(days=1)
+    return tables.read(i.spark, fct_path).select(*staging.EVENT_COLUMNS)
+
+
+def expired_fact(i: Inputs, run: date = EXPIRY_RUN, days: int = facts.WINDOW_DAYS) -> DataFrame:
+    path = i.scratch("fct")
+    i.write_fact(path)
+    tables.expire(i.spark, path, run, days)
+    return tables.read(i.spark, path).select(*staging.EVENT_COLUMNS)
+
+
+def cloned_fact(i: Inputs) -> DataFrame:
+    src, dst = i.scratch("fct"), i.scratch("fct_clone")
+    i.write_fact(src)
+    tables.clone_table(i.spark, src, dst, "event_date", FACT_CLUSTER, "event_id")
+    return tables.read(i.spark, dst).select(*staging.EVENT_COLUMNS)
+
+
+def projected_repos(i: Inputs) -> DataFrame:
+    docs = ingest.parse_documents(standins.repo_documents(i.spark, i.sf_dir), schemas.REPO_DOCUMENT)
+    return ingest.project_repos(docs, F.col("ingested_at"))
+
+
+def projected_users(i: Inputs) -> DataFrame:
+    docs = ingest.parse_documents(standins.user_documents(i.spark, i.sf_dir), schemas.USER_DOCUMENT)
+    return ingest.project_users(docs, F.col("ingested_at"))
+
+
+def landed_twice(i: Inputs) -> DataFrame:
+    """Land every day's repo snapshots, then land them all again: the table
+    must equal a single landing."""
+    root = i.scratch("landing")
+    for _ in range(2):
+        ingest.land_snapshots(projected_repos(i), f"{root}/repos", schemas.REPOS_REQUIRED, "id",
+                              f"{root}/repos_rejects")
+    return tables.read(i.spark, f"{root}/repos")
+
+
+def freshness_report(i: Inputs) -> DataFrame:
+    recent = F.col("dt") >= F.date_sub(F.lit(i.as_of), 2)
+    return (checks.freshness(i.raw_events.filter(recent), "gharchive.events", "created_at",
+                             CHECK_NOW, 48, 72)
+            .unionByName(checks.freshness(i.raw_repos, "github_api.repos", "ingested_at",
+                                          CHECK_NOW, 25, 48))
+            .unionByName(checks.freshness(i.raw_users, "github_api.users", "ingested_at",
+                                          CHECK_NOW, 25, 48)))
+
+
+def check_list(i: Inputs) -> list[tuple[checks.Check, DataFrame]]:
+    """The pipeline's data-quality checks, each with the model it reads."""
+    C = checks.Check
+    recent = f"event_date >= date_sub(date'{i.as_of.isoformat()}', 7)"
+    return [
+        (C("raw_event_id_unique", "raw_events", lambda d: checks.unique(d, "id"), "warn"),
+         i.raw_events),
+        (C("stg_event_keys_not_null", "stg_events",
+           lambda d: checks.not_null(d, "event_id", "event_type", "event_at", "event_date",
+                                     "actor_id", "repo_id"), "warn"), i.stg_events),
+        (C("fct_event_keys_not_null", "fct_events",
+           lambda d: checks.not_null(d, "event_id", "event_type", "event_at", "event_date",
+                                     "actor_id", "repo_id")), i.fct),
+        (C("fct_event_id_unique_7d", "fct_events", lambda d: checks.unique(d, "event_id"),
+           where=recent), i.fct),
+        (C("fct_event_type_accepted", "fct_events",
+           lambda d: checks.accepted_values(d, "event_type", schemas.EVENT_TYPES), "warn"), i.fct),
+        (C("repo_owner_is_user", "stg_repos",
+           lambda d: checks.relationships(d, "owner_id", i.stg_users, "user_id")
+           .select("repo_id", "owner_id", "ingested_at")), i.stg_repos),
+        (C("repo_snapshot_grain", "stg_repos",
+           lambda d: checks.unique(d, "repo_id", "ingested_at")), i.stg_repos),
+        (C("user_type_accepted", "stg_users",
+           lambda d: checks.accepted_values(d, "user_type", schemas.USER_TYPES)), i.stg_users),
+        (C("fct_recency_48h", "fct_events",
+           lambda d: checks.recency(d, "event_at", CHECK_NOW, 48), "warn"), i.fct),
+        (C("no_future_events", "stg_events",
+           lambda d: checks.no_future(d, "event_at", CHECK_NOW, "event_id")), i.stg_events),
+        (C("orgs_dont_follow", "stg_users", checks.orgs_dont_follow), i.stg_users),
+        (C("dim_repos_no_overlap", "dim_repos",
+           lambda d: checks.no_overlap(d, "dim_repos", "repo_id", "dim_repo_id")), i.dim_repos),
+        (C("dim_users_no_overlap", "dim_users",
+           lambda d: checks.no_overlap(d, "dim_users", "user_id", "dim_user_id")), i.dim_users),
+        (C("star_bucket_accepted", "dim_repos",
+           lambda d: checks.accepted_values(d, "star_bucket", schemas.STAR_BUCKETS)), i.dim_repos),
+        (C("tier_accepted", "contributor_tiers",
+           lambda d: checks.accepted_values(d, "contributor_tier", schemas.TIERS)), i.tiers),
+        (C("bus_factor_label_accepted", "repo_health",
+           lambda d: checks.accepted_values(d, "bus_factor_label", schemas.BUS_FACTOR_LABELS)),
+         i.repo_health),
+    ]
+
+
+def one_check(name: str) -> Callable[[Inputs], DataFrame]:
+    def build(i: Inputs) -> DataFrame:
+        for check, df in check_list(i):
+            if check.name == name:
+                return check.offending(df)
+        raise KeyError(name)
+    return build
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,4 +257,24 @@ QUERIES: dict[str, Query] = {
     "as_of_join": _q(lambda i: history.as_of_join(
         i.fct.select("event_id", "repo_id", "event_at"), i.dim_repos, "repo_id", "event_at",
         ["dim_repo_id", "star_bucket", "is_archived", "is_current"])),
+    "project_repos": _q(projected_repos),
+    "project_users": _q(projected_users),
+    "land_idempotent": _q(landed_twice),
+    "fct_incremental": _q(daily_refreshes),
+    "fct_expired": _q(expired_fact),
+    "clone_table": _q(cloned_fact),
+    "tracked_enabled": _q(lambda i: ingest.tracked(standins.repo_targets(i.spark, i.sf_dir))),
+    "freshness": _q(freshness_report),
+    "checks_summary": _q(lambda i: checks.summary(check_list(i))),
+    "check_raw_event_id_unique": _q(one_check("raw_event_id_unique")),
+    "check_stg_event_keys_not_null": _q(one_check("stg_event_keys_not_null")),
+    "check_fct_event_id_unique_7d": _q(one_check("fct_event_id_unique_7d")),
+    "check_fct_event_type_accepted": _q(one_check("fct_event_type_accepted")),
+    "check_repo_owner_is_user": _q(one_check("repo_owner_is_user")),
+    "check_repo_snapshot_grain": _q(one_check("repo_snapshot_grain")),
+    "check_fct_recency_48h": _q(one_check("fct_recency_48h")),
+    "check_no_future_events": _q(one_check("no_future_events")),
+    "check_orgs_dont_follow": _q(one_check("orgs_dont_follow")),
+    "check_scd2_no_overlap": _q(lambda i: one_check("dim_repos_no_overlap")(i).unionByName(
+        one_check("dim_users_no_overlap")(i))),
 }
