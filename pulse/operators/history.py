@@ -121,7 +121,7 @@ def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
     ``valid_from <= ts < valid_to`` (``valid_to`` null = open).
 
     Versions are spread over the days they cover -- clipped to the fact's own
-    date range, read as two scalar subqueries -- and joined on (key, day), then
+    date range, read as one scalar subquery -- and joined on (key, day), then
     the half-open range picks the one version. A row therefore meets only the
     versions alive on its own day, never all versions of its key, and a key
     with a third of all fact rows is still split across its days (AQE splits a
@@ -129,8 +129,8 @@ def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
     fact's window) + #versions rows.
     """
     fact_day = F.to_date(F.col(ts_col))
-    lo = fact.select(F.min(fact_day)).scalar()
-    hi = fact.select(F.max(fact_day)).scalar()
+    bounds = fact.select(F.struct(F.min(fact_day).alias("lo"), F.max(fact_day).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     start = F.to_date(F.col(valid_from))
     end = F.coalesce(F.to_date(F.col(valid_to)), hi)
     live = dim.filter((start <= hi) & (end >= lo))

@@ -162,11 +162,11 @@ def landed_twice(i: Inputs) -> DataFrame:
 
 def freshness_report(i: Inputs) -> DataFrame:
     recent = F.col("dt") >= F.date_sub(F.lit(i.as_of), 2)
-    return (checks.freshness(i.raw_events.filter(recent), "gharchive.events", "created_at",
+    return (checks.freshness(i.raw_events.filter(recent), "raw.events", "created_at",
                              CHECK_NOW, 48, 72)
-            .unionByName(checks.freshness(i.raw_repos, "github_api.repos", "ingested_at",
+            .unionByName(checks.freshness(i.raw_repos, "raw.repos", "ingested_at",
                                           CHECK_NOW, 25, 48))
-            .unionByName(checks.freshness(i.raw_users, "github_api.users", "ingested_at",
+            .unionByName(checks.freshness(i.raw_users, "raw.users", "ingested_at",
                                           CHECK_NOW, 25, 48)))
 
 

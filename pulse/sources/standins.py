@@ -61,15 +61,17 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     repo_id = (F.when(uid < 5, uid + 100)
                .when((uid == 5) | ((uid == 6) & (eid % 2 == 0)), F.lit(105).cast("bigint"))
                .otherwise(F.get_json_object("props", "$.k").cast("bigint")))
-    base = ev.select(
+    # Every tenth event is emitted twice (an exact copy): adds rows, removes
+    # none, in the same single scan.
+    copies = F.explode(F.sequence(F.lit(1), F.when(eid % 10 == 0, 2).otherwise(1)))
+    rows = ev.select(
         eid.alias("event_id"),
         _event_type(F.col("event_type")).alias("type"),
         F.col("ts").cast("timestamp").alias("created_at"),
         F.when(eid % 997 == 0, F.lit(None).cast("bigint")).otherwise(uid).alias("actor_id"),
         repo_id.alias("repo_id"),
-    )
-    # Exact duplicate copies of every tenth event: adds rows, removes none.
-    rows = base.unionByName(base.filter(F.col("event_id") % 10 == 0))
+        copies.alias("_copy"),
+    ).drop("_copy")
     rid, aid = F.col("repo_id"), F.col("actor_id")
     return rows.select(
         F.col("event_id").cast("string").alias("id"),
