@@ -131,7 +131,7 @@ def _checks(spark: SparkSession, cfg: PipelineConfig, weekly: bool) -> list:
 def run_daily(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     """Everything but the tier table and ``dim_users``; then the checks."""
     status = _daily_tables(spark, cfg)
-    _overwrite(checks.run(spark, _checks(spark, cfg, weekly=False)), cfg.path("check_results"))
+    _overwrite(checks.summary(_checks(spark, cfg, weekly=False)), cfg.path("check_results"))
     return status
 
 
@@ -146,5 +146,5 @@ def run_weekly(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     tiers = tables.read(spark, cfg.path("int_user_contributor_tier_snapshots"))
     _overwrite(dims.dim_users(stg_users, tiers), cfg.path("dim_users"))
     status["int_user_contributor_tier_snapshots"] = status["dim_users"] = "rebuilt"
-    _overwrite(checks.run(spark, _checks(spark, cfg, weekly=True)), cfg.path("check_results"))
+    _overwrite(checks.summary(_checks(spark, cfg, weekly=True)), cfg.path("check_results"))
     return status

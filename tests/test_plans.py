@@ -61,3 +61,10 @@ def test_stored_fact_filters_push_to_parquet(spark, scratch):
 def test_no_pair_producing_joins(spark, name):
     plan = plan_text(entry.queries()[name](spark, SF["0.001"]))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_staging_dedup_limited_before_shuffle(spark, day_tables):
+    from pulse.plans.inspect import plan_tree
+    tree = plan_tree(staging.stage_events(spark.read.parquet(day_tables), AS_OF))
+    below = tree.split("Exchange (")[1]
+    assert "WindowGroupLimit" in below        # the partial limit runs map-side
