@@ -74,28 +74,52 @@ def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_
     """Tier of each (user, snapshot) from the events at or before the snapshot.
 
     A repo counts as of a snapshot exactly when the actor's first event on it
-    is at or before the snapshot. So instead of pairing every event with every
-    later snapshot, first-touch rows and snapshot rows are put in one stream per
-    user, ordered by time (first-touch before snapshot on ties, since an event
-    *at* the snapshot counts), and running aggregates carry the count of repos
-    touched so far and the earliest touch to each snapshot row. No pairs are
-    emitted; one shuffle by user and one sort do the as-of step.
+    is at or before the snapshot. Instead of pairing every event with every
+    later snapshot (the literal range join), the count splits by day:
+
+    * repos first touched on *earlier days*: per-(user, day) counts of first
+      touches, carried to each snapshot by a running sum over the user's days;
+    * repos first touched on the *snapshot's own day*: an equi-join on
+      (user, day) with the time condition, so a touch meets only same-day
+      snapshots of its user.
+
+    Every per-user group is bounded by days (not by events or repos), the
+    heavy inputs are reduced by partial aggregation first, and the join on
+    (user, day) spreads even a user with a third of all events over its days.
     """
     snaps = user_snapshot_times(stg_users)
-    touches = first_touch(fct).select(
-        F.col("actor_id").alias("user_id"), F.col("first_at").alias("t"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("date").alias("snapshot_date"))
-    marks = snaps.select("user_id", F.col("snapshot_at").alias("t"), F.lit(1).alias("_kind"),
-                         "snapshot_date")
-    so_far = (Window.partitionBy("user_id").orderBy("t", "_kind")
+    touches = first_touch(fct).select(F.col("actor_id").alias("user_id"), "first_at",
+                                      F.to_date("first_at").alias("day"))
+    daily = touches.groupBy("user_id", "day").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("first_at").alias("_first"))
+    # Earlier days: snapshot rows sort before the same day's counts, so the
+    # running aggregates at a snapshot row cover strictly earlier days only.
+    marks = snaps.select("user_id", F.col("snapshot_date").alias("day"), F.lit(0).alias("_kind"),
+                         "snapshot_at", F.lit(None).cast("bigint").alias("_n"),
+                         F.lit(None).cast("timestamp").alias("_first"))
+    counts = daily.select("user_id", "day", F.lit(1).alias("_kind"),
+                          F.lit(None).cast("timestamp").alias("snapshot_at"), "_n", "_first")
+    so_far = (Window.partitionBy("user_id").orderBy("day", "_kind")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    is_touch = F.col("_kind") == 0
-    carried = touches.unionByName(marks).select(
-        "user_id", "t", "_kind", "snapshot_date",
-        F.min(F.when(is_touch, F.col("t"))).over(so_far).alias("first_event_at"),
-        F.sum(F.when(is_touch, 1).otherwise(0)).over(so_far).cast("bigint").alias("distinct_repos"),
-    )
-    at_snapshots = carried.filter(F.col("_kind") == 1).withColumnRenamed("t", "snapshot_at")
+    before = (marks.unionByName(counts)
+              .select("user_id", "snapshot_at", "_kind",
+                      F.sum("_n").over(so_far).alias("_n_before"),
+                      F.min("_first").over(so_far).alias("_first_before"))
+              .filter(F.col("_kind") == 0).drop("_kind"))
+    # Same day: touches at or before the snapshot time on the snapshot's day.
+    s, t = snaps.alias("s"), touches.alias("t")
+    same_day = (s.join(t, (F.col("s.user_id") == F.col("t.user_id"))
+                       & (F.col("s.snapshot_date") == F.col("t.day"))
+                       & (F.col("t.first_at") <= F.col("s.snapshot_at")))
+                .groupBy(F.col("s.user_id").alias("user_id"), F.col("s.snapshot_at").alias("snapshot_at"))
+                .agg(F.count(F.lit(1)).alias("_n_same"), F.min("t.first_at").alias("_first_same")))
+    at_snapshots = (snaps.join(before, ["user_id", "snapshot_at"], "left")
+                    .join(same_day, ["user_id", "snapshot_at"], "left")
+                    .select("user_id", "snapshot_at", "snapshot_date",
+                            F.least("_first_before", "_first_same").alias("first_event_at"),
+                            (F.coalesce(F.col("_n_before"), F.lit(0))
+                             + F.coalesce(F.col("_n_same"), F.lit(0))).cast("bigint")
+                            .alias("distinct_repos")))
     return _tier_columns(at_snapshots, new_days, core_repos, core_days)
 
 

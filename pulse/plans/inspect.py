@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import DataFrame
@@ -10,9 +12,11 @@ _SHUFFLE = re.compile(r"(?<!Broadcast)Exchange \(\d+\)")
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
-    """The physical plan as text (what ``df.explain(mode)`` prints)."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+    """The physical plan as text: what ``df.explain(mode)`` prints."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()
 
 
 def plan_tree(df: DataFrame) -> str:

@@ -75,3 +75,18 @@ def test_rewrite_equals_direct_join(spark, sf):
     b = history.contributor_tiers_direct(u, fct_df, **kw)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_two_snapshots_same_day_split_by_time(spark):
+    u = users(spark, [(1, "2025-06-01 10:00:00"), (1, "2025-06-01 20:00:00"), (1, "2025-06-02 09:00:00")])
+    events = [("a", "PushEvent", "2025-05-31 23:00:00", 1, 1),
+              ("b", "PushEvent", "2025-06-01 15:00:00", 1, 2),
+              ("c", "PushEvent", "2025-06-01 15:00:00", 1, 1)]
+    got = {str(r["snapshot_at"]): (r["distinct_repos"], str(r["first_event_at"]))
+           for r in history.contributor_tiers(u, fct(spark, events)).collect()}
+    assert got == {"2025-06-01 10:00:00": (1, "2025-05-31 23:00:00"),
+                   "2025-06-01 20:00:00": (2, "2025-05-31 23:00:00"),
+                   "2025-06-02 09:00:00": (2, "2025-05-31 23:00:00")}
+    direct = {str(r["snapshot_at"]): r["distinct_repos"]
+              for r in history.contributor_tiers_direct(u, fct(spark, events)).collect()}
+    assert direct == {k: v[0] for k, v in got.items()}
