@@ -14,6 +14,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.streaming import windows
+
 # Rows per output file: large sorted files, bounded so one hot day is split.
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -65,7 +67,8 @@ def rebuild(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet")
 
 
 def refresh(spark: SparkSession, path: str, build: Callable[[date, int], DataFrame], as_of: date,
-            lookback_days: int = 3, window_days: int = 90, partition_col: str = "event_date",
+            lookback_days: int = windows.LOOKBACK_DAYS, window_days: int = windows.FACT_WINDOW_DAYS,
+            partition_col: str = "event_date",
             cluster_by: tuple[str, ...] = (), tiebreak: str | None = None) -> str:
     """Incremental refresh: if the table exists, recompute the last
     ``lookback_days`` days and replace just those day partitions; otherwise
@@ -75,8 +78,8 @@ def refresh(spark: SparkSession, path: str, build: Callable[[date, int], DataFra
     Returns ``"incremental"`` or ``"full"``.
     """
     incremental = exists(spark, path)
-    days = lookback_days if incremental else window_days
-    rows = build(as_of, days).filter(F.col(partition_col) >= F.date_sub(F.lit(as_of), days))
+    window = windows.refresh_window(as_of, incremental, lookback_days, window_days)
+    rows = build(as_of, window.days).filter(F.col(partition_col) >= F.lit(window.cutoff))
     rows = layout(rows, partition_col, cluster_by, tiebreak)
     (replace_partitions if incremental else rebuild)(rows, path, partition_col)
     return "incremental" if incremental else "full"
@@ -99,7 +102,7 @@ def expire(spark: SparkSession, path: str, as_of: date, days: int,
     Partition directories are deleted by listing -- no data is read or
     rewritten. Returns the dropped partition values.
     """
-    cutoff = date.fromordinal(as_of.toordinal() - days).isoformat()
+    cutoff = windows.expiry_cutoff(as_of, days).isoformat()
     fs, root = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     dropped = []
