@@ -36,7 +36,7 @@ class PipelineConfig:
 
 
 def _overwrite(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    tables.replace_table(df, path)
 
 
 def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,

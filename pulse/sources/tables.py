@@ -58,12 +58,34 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str, fmt: str =
      .partitionBy(partition_col).save(path))
 
 
+def replace_table(df: DataFrame, path: str, partition_col: str | None = None,
+                  fmt: str = "parquet") -> None:
+    """Replace the whole table, keeping the old one until the new one is complete.
+
+    A plain overwrite deletes the target before writing, so a failed job would
+    leave no table. Here the rows go to a sibling staging folder first; only
+    after that job has committed is the old folder removed and the staging
+    folder renamed into place.
+    """
+    spark = df.sparkSession
+    staging = path.rstrip("/") + "__staging"
+    writer = (df.write.mode("overwrite").format(fmt)
+              .option("partitionOverwriteMode", "static")
+              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
+    if partition_col:
+        writer = writer.partitionBy(partition_col)
+    writer.save(staging)
+    fs, target = _fs(spark, path)
+    _, staged = _fs(spark, staging)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(staged, target):
+        raise OSError(f"could not move {staging} to {path}")
+
+
 def rebuild(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
-    """Replace the whole table."""
-    (df.write.mode("overwrite").format(fmt)
-     .option("partitionOverwriteMode", "static")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy(partition_col).save(path))
+    """Replace the whole partitioned table (see ``replace_table``)."""
+    replace_table(df, path, partition_col, fmt)
 
 
 def refresh(spark: SparkSession, path: str, build: Callable[[date, int], DataFrame], as_of: date,

@@ -56,3 +56,17 @@ def test_new_column_reads_null_in_old_partitions(spark, scratch):
     tables.replace_partitions(b, path, "d")
     rows = {r["x"]: r["extra"] for r in tables.read(spark, path).collect()}
     assert rows == {1: None, 2: "new"}
+
+
+def test_failed_rebuild_keeps_old_table(spark, scratch):
+    import pytest
+    from pyspark.sql import functions as F
+    path = os.path.join(scratch, "dim")
+    tables.replace_table(spark.range(3), path)
+    bad = spark.range(3).select(
+        F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception):
+        tables.replace_table(bad, path)
+    assert spark.read.parquet(path).count() == 3
+    tables.replace_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
