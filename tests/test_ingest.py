@@ -116,3 +116,21 @@ def test_seed_csv_reads_declared_timestamps(spark, scratch):
         f.write("id,login,ingested_at\n1,a,2026-05-20 12:00:00\n")
     df = ingest.read_seed_csv(spark, p, "id bigint, login string, ingested_at timestamp")
     assert str(df.collect()[0]["ingested_at"]) == INGESTED_AT
+
+
+def test_ndjson_day_sink_roundtrip(spark, scratch):
+    from conftest import SF
+    from pulse.sources import standins
+    docs = standins.repo_documents(spark, SF["0.001"])
+    out = os.path.join(scratch, "raw", "repos")
+    ingest.write_ndjson(docs.select("value", "dt"), out)
+    day = sorted(os.listdir(out))[0]
+    assert day.startswith("dt=")
+    text = spark.read.text(os.path.join(out, day))
+    parsed = ingest.parse_documents(text, schemas.REPO_DOCUMENT)
+    projected = ingest.project_repos(parsed, INGESTED_AT)
+    n = text.count()
+    assert projected.count() == docs.filter(f"dt = date'{day[3:]}'").count() == n
+    # Re-writing a day replaces it instead of appending.
+    ingest.write_ndjson(docs.select("value", "dt").filter(f"dt = date'{day[3:]}'"), out)
+    assert spark.read.text(os.path.join(out, day)).count() == n

@@ -58,9 +58,11 @@ def test_stored_fact_filters_push_to_parquet(spark, scratch):
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_pair_producing_joins(spark, name):
+def test_no_pair_producing_joins_or_python(spark, name):
     plan = plan_text(entry.queries()[name](spark, SF["0.001"]))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    for python_exec in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "PythonUDF"):
+        assert python_exec not in plan
 
 
 def test_staging_dedup_limited_before_shuffle(spark, day_tables):
