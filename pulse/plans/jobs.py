@@ -9,6 +9,8 @@ must be shared storage on a cluster.
 
 from __future__ import annotations
 
+import time as clock
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, time
 
@@ -39,6 +41,14 @@ def _overwrite(df: DataFrame, path: str) -> None:
     tables.replace_table(df, path)
 
 
+@contextmanager
+def _step(timings: dict | None, name: str):
+    t0 = clock.perf_counter()
+    yield
+    if timings is not None:
+        timings[name] = round(clock.perf_counter() - t0, 3)
+
+
 def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,
          user_docs: DataFrame | None, ingested_at) -> dict[str, int]:
     """Land today's snapshot documents (already read with the document schemas)."""
@@ -52,30 +62,35 @@ def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,
     return out
 
 
-def _daily_tables(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
+def _daily_tables(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
+                  ) -> dict[str, str]:
     status = {}
     raw = spark.read.parquet(cfg.raw_events)
-    status["stg_events"] = tables.refresh(
-        spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d), cfg.as_of,
-        windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS)
-    tables.expire(spark, cfg.path("stg_events"), cfg.as_of, windows.STAGING_EXPIRY_DAYS)
+    with _step(timings, "stg_events"):
+        status["stg_events"] = tables.refresh(
+            spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d), cfg.as_of,
+            windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS)
+        tables.expire(spark, cfg.path("stg_events"), cfg.as_of, windows.STAGING_EXPIRY_DAYS)
     stg = tables.read(spark, cfg.path("stg_events"))
-    status["fct_events"] = tables.refresh(
-        spark, cfg.path("fct_events"), lambda a, d: facts.fct_events(stg, a, d), cfg.as_of,
-        windows.LOOKBACK_DAYS, windows.FACT_WINDOW_DAYS, cluster_by=FACT_CLUSTER,
-        tiebreak="event_id")
-    tables.expire(spark, cfg.path("fct_events"), cfg.as_of, windows.FACT_EXPIRY_DAYS)
+    with _step(timings, "fct_events"):
+        status["fct_events"] = tables.refresh(
+            spark, cfg.path("fct_events"), lambda a, d: facts.fct_events(stg, a, d), cfg.as_of,
+            windows.LOOKBACK_DAYS, windows.FACT_WINDOW_DAYS, cluster_by=FACT_CLUSTER,
+            tiebreak="event_id")
+        tables.expire(spark, cfg.path("fct_events"), cfg.as_of, windows.FACT_EXPIRY_DAYS)
     fct = tables.read(spark, cfg.path("fct_events"))
 
-    stg_repos = staging.stage_repos(tables.read(spark, cfg.raw_repos))
-    _overwrite(dims.dim_repos(stg_repos), cfg.path("dim_repos"))
-    dim_repos = tables.read(spark, cfg.path("dim_repos"))
-    _overwrite(dims.dim_languages(dim_repos), cfg.path("dim_languages"))
-    _overwrite(dims.dim_dates(spark), cfg.path("dim_dates"))
-    _overwrite(marts.repo_health(dim_repos, fct, cfg.as_of), cfg.path("mart_repo_health"))
-    _overwrite(marts.language_trends(dim_repos, fct, cfg.as_of),
-               cfg.path("mart_language_contributor_trends"))
-    _overwrite(marts.pr_velocity(dim_repos, fct, cfg.as_of), cfg.path("mart_pr_velocity"))
+    with _step(timings, "dims"):
+        stg_repos = staging.stage_repos(tables.read(spark, cfg.raw_repos))
+        _overwrite(dims.dim_repos(stg_repos), cfg.path("dim_repos"))
+        dim_repos = tables.read(spark, cfg.path("dim_repos"))
+        _overwrite(dims.dim_languages(dim_repos), cfg.path("dim_languages"))
+        _overwrite(dims.dim_dates(spark), cfg.path("dim_dates"))
+    with _step(timings, "marts"):
+        _overwrite(marts.repo_health(dim_repos, fct, cfg.as_of), cfg.path("mart_repo_health"))
+        _overwrite(marts.language_trends(dim_repos, fct, cfg.as_of),
+                   cfg.path("mart_language_contributor_trends"))
+        _overwrite(marts.pr_velocity(dim_repos, fct, cfg.as_of), cfg.path("mart_pr_velocity"))
     for s in ("stg_events", "fct_events", "dim_repos", "dim_languages", "dim_dates",
               "mart_repo_health", "mart_language_contributor_trends", "mart_pr_velocity"):
         status.setdefault(s, "rebuilt")
@@ -128,23 +143,30 @@ def _checks(spark: SparkSession, cfg: PipelineConfig, weekly: bool) -> list:
     return out
 
 
-def run_daily(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
-    """Everything but the tier table and ``dim_users``; then the checks."""
-    status = _daily_tables(spark, cfg)
-    _overwrite(checks.summary(_checks(spark, cfg, weekly=False)), cfg.path("check_results"))
+def run_daily(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
+              ) -> dict[str, str]:
+    """Everything but the tier table and ``dim_users``; then the checks.
+    ``timings``, when given, receives wall seconds per step."""
+    status = _daily_tables(spark, cfg, timings)
+    with _step(timings, "checks"):
+        _overwrite(checks.summary(_checks(spark, cfg, weekly=False)), cfg.path("check_results"))
     return status
 
 
-def run_weekly(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
+def run_weekly(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
+               ) -> dict[str, str]:
     """Everything, including the tier table (its own stored table, so
     ``dim_users`` rebuilds read it instead of re-scanning the fact)."""
-    status = _daily_tables(spark, cfg)
+    status = _daily_tables(spark, cfg, timings)
     fct = tables.read(spark, cfg.path("fct_events"))
     stg_users = staging.stage_users(tables.read(spark, cfg.raw_users))
-    _overwrite(history.contributor_tiers(stg_users, fct, **cfg.tier_params),
-               cfg.path("int_user_contributor_tier_snapshots"))
+    with _step(timings, "tiers"):
+        _overwrite(history.contributor_tiers(stg_users, fct, **cfg.tier_params),
+                   cfg.path("int_user_contributor_tier_snapshots"))
     tiers = tables.read(spark, cfg.path("int_user_contributor_tier_snapshots"))
-    _overwrite(dims.dim_users(stg_users, tiers), cfg.path("dim_users"))
+    with _step(timings, "dim_users"):
+        _overwrite(dims.dim_users(stg_users, tiers), cfg.path("dim_users"))
     status["int_user_contributor_tier_snapshots"] = status["dim_users"] = "rebuilt"
-    _overwrite(checks.summary(_checks(spark, cfg, weekly=True)), cfg.path("check_results"))
+    with _step(timings, "checks"):
+        _overwrite(checks.summary(_checks(spark, cfg, weekly=True)), cfg.path("check_results"))
     return status
