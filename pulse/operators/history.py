@@ -138,6 +138,21 @@ def contributor_tiers_direct(stg_users: DataFrame, fct: DataFrame, new_days: int
     return _tier_columns(agg, new_days, core_repos, core_days)
 
 
+def _row_bytes(schema) -> int:
+    """Conservative in-memory width of one row (strings counted as 64 bytes)."""
+    widths = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4}
+    return 16 + sum(widths.get(f.dataType.typeName(), 64 if f.dataType.typeName() == "string" else 8)
+                    for f in schema.fields)
+
+
+def _broadcast_limit_bytes(spark) -> int:
+    """The session's broadcast size limit (``-1`` disables broadcasting)."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    t = text.strip().lower().rstrip("b")
+    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
+
+
 def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
                dim_columns: list[str], valid_from: str = "valid_from",
                valid_to: str = "valid_to", prefix: str = "") -> DataFrame:
@@ -145,25 +160,47 @@ def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
     ``valid_from <= ts < valid_to`` (``valid_to`` null = open).
 
     Versions are spread over the days they cover -- clipped to the fact's own
-    date range, read as one scalar subquery -- and joined on (key, day), then
-    the half-open range picks the one version. A row therefore meets only the
-    versions alive on its own day, never all versions of its key, and a key
-    with a third of all fact rows is still split across its days (AQE splits a
-    hot day further). The expanded side holds at most (#keys x #days in the
-    fact's window) + #versions rows.
+    date range, read as one scalar subquery -- and joined on (key, day); the half-open range then picks the
+    one version. A row therefore meets only the versions alive on its own day,
+    never all versions of its key, and a key with a third of all fact rows is
+    still split across its days (AQE splits a hot day further). The expanded
+    side holds at most (#keys x #days in the fact's window) + #versions rows.
+
+    Broadcast is decided by a measured size: the exact number of expanded rows
+    (one aggregate over the dimension) times the row width must fit under the
+    session's ``spark.sql.autoBroadcastJoinThreshold``. Catalyst cannot judge
+    this itself because its estimate ignores the explode's fan-out. Beyond the
+    limit the join is a sort-merge join on (key, day).
     """
+    spark = fact.sparkSession
     fact_day = F.to_date(F.col(ts_col))
     bounds = fact.select(F.struct(F.min(fact_day).alias("lo"), F.max(fact_day).alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    start = F.to_date(F.col(valid_from))
-    end = F.coalesce(F.to_date(F.col(valid_to)), hi)
-    live = dim.filter((start <= hi) & (end >= lo))
-    cols = [c for c in dim_columns if c != key]
-    spread = live.select(
-        F.col(key).alias("_k"),
-        F.explode(F.sequence(F.greatest(start, lo), F.least(end, hi))).alias("_day"),
-        F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
-        *[F.col(c).alias(prefix + c) for c in cols])
+
+    def spread_between(lo, hi):
+        start = F.to_date(F.col(valid_from))
+        end = F.coalesce(F.to_date(F.col(valid_to)), hi)
+        live = dim.filter((start <= hi) & (end >= lo))
+        first_day, last_day = F.greatest(start, lo), F.least(end, hi)
+        cols = [c for c in dim_columns if c != key]
+        rows = live.select(
+            F.col(key).alias("_k"),
+            F.explode(F.sequence(first_day, last_day)).alias("_day"),
+            F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
+            *[F.col(c).alias(prefix + c) for c in cols])
+        return live, first_day, last_day, rows
+
+    live, first_day, last_day, spread = spread_between(bounds.getField("lo"), bounds.getField("hi"))
+    limit = _broadcast_limit_bytes(spark)
+    # One small job over the dimension (the fact's bounds come along as a
+    # scalar subquery): the expanded row count, and the bounds as literals.
+    stats = live.select((F.datediff(last_day, first_day) + 1).alias("_days"),
+                        bounds.alias("_b")).agg(
+        F.sum("_days").alias("n"), F.max("_b").alias("b")).first()
+    if stats["b"] is not None:
+        lo, hi = F.lit(stats["b"]["lo"]), F.lit(stats["b"]["hi"])
+        _, _, _, spread = spread_between(lo, hi)
+    fits = limit > 0 and (stats["n"] or 0) * _row_bytes(spread.schema) <= limit
+    spread = F.broadcast(spread) if fits else spread.hint("merge")
     f = fact.withColumn("_fday", fact_day)
     cond = ((f[key] == spread["_k"]) & (f["_fday"] == spread["_day"])
             & (spread["_from"] <= f[ts_col])

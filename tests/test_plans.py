@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF
 from pulse.operators import history, staging
-from pulse.plans.inspect import count_shuffles, plan_text
+from pulse.plans.inspect import count_shuffles, plan_text, plan_tree
 from pulse.sources import standins, tables
 
 AS_OF = dt.date(2024, 1, 31)
@@ -70,3 +70,19 @@ def test_staging_dedup_limited_before_shuffle(spark, day_tables):
     tree = plan_tree(staging.stage_events(spark.read.parquet(day_tables), AS_OF))
     below = tree.split("Exchange (")[1]
     assert "WindowGroupLimit" in below        # the partial limit runs map-side
+
+
+def test_as_of_join_broadcasts_only_under_measured_limit(spark):
+    q = entry.queries()["as_of_join"]
+    small = q(spark, SF["0.001"])
+    assert "BroadcastHashJoin LeftOuter" in plan_tree(small)
+    expected = sorted(map(tuple, small.collect()), key=repr)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+    try:
+        big = q(spark, SF["0.001"])
+        tree = plan_tree(big)
+        assert "SortMergeJoin LeftOuter" in tree and "BroadcastHashJoin LeftOuter" not in tree
+        assert sorted(map(tuple, big.collect()), key=repr) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
