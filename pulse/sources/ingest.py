@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -89,20 +90,27 @@ def land_snapshots(df: DataFrame, path: str, required: tuple[str, ...], identifi
 
     Re-landing a day replaces that day only -- dynamic partition overwrite --
     so running twice equals running once. Rows missing a required column go to
-    ``reject_path`` (written only when there are any). An empty input raises:
-    Spark's dynamic overwrite of nothing would silently keep the old day.
-    Returns the number of rows landed.
+    ``reject_path`` (written only when there are any). An empty batch raises
+    before writing: Spark's dynamic overwrite of nothing would silently keep
+    the old day. Returns the number of rows landed.
+
+    The batch is one day of entity snapshots (not events), so it is persisted
+    for the few passes landing needs (rows, rejects, count) and released after.
     """
-    dated = df.withColumn(partition_col, F.to_date("ingested_at"))
-    good, rejects = split_rejects(dated, required, identifier)
-    if good.isEmpty():
-        raise ValueError(f"refusing to land an empty batch into {path}")
-    tables.replace_partitions(good, path, partition_col)
-    if reject_path is not None and not rejects.isEmpty():
-        tables.replace_partitions(rejects, reject_path, partition_col, fmt="json")
-    landed_days = good.select(partition_col).distinct()
-    return (tables.read(df.sparkSession, path)
-            .join(landed_days, partition_col, "left_semi").count())
+    dated = df.withColumn(partition_col, F.to_date("ingested_at")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, rejects = split_rejects(dated, required, identifier)
+        if good.isEmpty():
+            raise ValueError(f"refusing to land an empty batch into {path}")
+        tables.replace_partitions(good, path, partition_col)
+        landed_days = good.select(partition_col).distinct()
+        landed = (tables.read(df.sparkSession, path)
+                  .join(landed_days, partition_col, "left_semi").count())
+        if reject_path is not None and not rejects.isEmpty():
+            tables.replace_partitions(rejects, reject_path, partition_col, fmt="json")
+        return landed
+    finally:
+        dated.unpersist()
 
 
 def land_repos(spark: SparkSession, docs: DataFrame, ingested_at, path: str,
