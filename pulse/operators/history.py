@@ -102,7 +102,7 @@ def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_
     so_far = (Window.partitionBy("user_id").orderBy("day", "_kind")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     before = (marks.unionByName(counts)
-              .select("user_id", "snapshot_at", "_kind",
+              .select("user_id", "snapshot_at", F.col("day").alias("snapshot_date"), "_kind",
                       F.sum("_n").over(so_far).alias("_n_before"),
                       F.min("_first").over(so_far).alias("_first_before"))
               .filter(F.col("_kind") == 0).drop("_kind"))
@@ -113,8 +113,7 @@ def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_
                        & (F.col("t.first_at") <= F.col("s.snapshot_at")))
                 .groupBy(F.col("s.user_id").alias("user_id"), F.col("s.snapshot_at").alias("snapshot_at"))
                 .agg(F.count(F.lit(1)).alias("_n_same"), F.min("t.first_at").alias("_first_same")))
-    at_snapshots = (snaps.join(before, ["user_id", "snapshot_at"], "left")
-                    .join(same_day, ["user_id", "snapshot_at"], "left")
+    at_snapshots = (before.join(same_day, ["user_id", "snapshot_at"], "left")
                     .select("user_id", "snapshot_at", "snapshot_date",
                             F.least("_first_before", "_first_same").alias("first_event_at"),
                             (F.coalesce(F.col("_n_before"), F.lit(0))
