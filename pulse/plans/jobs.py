@@ -170,3 +170,20 @@ def run_weekly(spark: SparkSession, cfg: PipelineConfig, timings: dict | None =
     with _step(timings, "checks"):
         _overwrite(checks.summary(_checks(spark, cfg, weekly=True)), cfg.path("check_results"))
     return status
+
+
+# Stored model tables under the job root.
+MODELS = ("stg_events", "fct_events", "dim_repos", "dim_languages", "dim_dates",
+          "int_user_contributor_tier_snapshots", "dim_users", "mart_repo_health",
+          "mart_language_contributor_trends", "mart_pr_velocity", "check_results")
+
+
+def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
+    """Expose every built model as a temp view of the same name, so the marts
+    can be queried with ``spark.sql``. Returns the names registered."""
+    names = []
+    for name in MODELS:
+        if tables.exists(spark, cfg.path(name)):
+            tables.read(spark, cfg.path(name)).createOrReplaceTempView(name)
+            names.append(name)
+    return names

@@ -56,6 +56,11 @@ def test_daily_then_weekly(spark, landed, tmp_path):
     results = {r["check"]: r["status"] for r in spark.read.parquet(c.path("check_results")).collect()}
     assert all(s in ("pass", "warn") for s in results.values())
 
+    assert "mart_repo_health" in jobs.register_views(spark, c)
+    top = spark.sql("SELECT repo_id FROM mart_repo_health WHERE bus_factor_label = 'bus_factor_1'")
+    assert top.count() == spark.read.parquet(c.path("mart_repo_health")) \
+        .filter("bus_factor_label = 'bus_factor_1'").count()
+
 
 def test_arrivals_run_once_per_new_day(spark, landed, tmp_path):
     raw = str(tmp_path / "raw_events")
