@@ -76,3 +76,23 @@ def test_arrivals_run_once_per_new_day(spark, landed, tmp_path):
     tables.replace_partitions(events.filter(F.col("dt") == "2024-01-30"), raw, "dt")
     assert arrivals.run_on_arrivals(spark, c, ckpt, record) == ["2024-01-31"]
     assert arrivals.run_on_arrivals(spark, c, ckpt, record) == []
+
+
+def test_command_line_land_and_daily(spark, landed, tmp_path):
+    import json as _json
+
+    from pulse.plans import run as cli
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "repos.json").write_text("\n".join(_json.dumps(
+        {"id": 900000 + k, "full_name": f"org/x{k}", "owner": {"id": 1, "login": "u1"},
+         "stargazers_count": 5, "archived": False, "pushed_at": ""}) for k in range(3)))
+    base = ["--root", str(tmp_path / "out"), "--raw-events", os.path.join(landed, "raw_events"),
+            "--raw-repos", str(tmp_path / "raw_repos"), "--raw-users", os.path.join(landed, "raw_users"),
+            "--as-of", "2024-01-31"]
+    out = cli.main(["land", *base, "--repo-docs", str(docs), "--ingested-at", "2024-01-31 06:00:00"],
+                   spark)
+    assert out == {"repos": 3}
+    result = cli.main(["daily", *base], spark)
+    assert result["status"]["fct_events"] == "full" and "marts" in result["seconds"]
+    assert spark.read.parquet(str(tmp_path / "out" / "mart_repo_health")).count() == 3
