@@ -10,6 +10,8 @@ must be shared storage on a cluster.
 from __future__ import annotations
 
 import time as clock
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, time
@@ -62,35 +64,56 @@ def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,
     return out
 
 
+def _concurrently(*steps: Callable[[], object]) -> list:
+    """Run independent steps as concurrent Spark jobs from driver threads.
+
+    Small models (dimensions, marts) do not fill a cluster on their own;
+    submitting them together keeps the executors busy. Errors propagate.
+    """
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def _daily_tables(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
                   ) -> dict[str, str]:
     status = {}
     raw = spark.read.parquet(cfg.raw_events)
-    with _step(timings, "stg_events"):
-        status["stg_events"] = tables.refresh(
-            spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d), cfg.as_of,
-            windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS)
-        tables.expire(spark, cfg.path("stg_events"), cfg.as_of, windows.STAGING_EXPIRY_DAYS)
-    stg = tables.read(spark, cfg.path("stg_events"))
-    with _step(timings, "fct_events"):
-        status["fct_events"] = tables.refresh(
-            spark, cfg.path("fct_events"), lambda a, d: facts.fct_events(stg, a, d), cfg.as_of,
-            windows.LOOKBACK_DAYS, windows.FACT_WINDOW_DAYS, cluster_by=FACT_CLUSTER,
-            tiebreak="event_id")
-        tables.expire(spark, cfg.path("fct_events"), cfg.as_of, windows.FACT_EXPIRY_DAYS)
-    fct = tables.read(spark, cfg.path("fct_events"))
 
-    with _step(timings, "dims"):
-        stg_repos = staging.stage_repos(tables.read(spark, cfg.raw_repos))
-        _overwrite(dims.dim_repos(stg_repos), cfg.path("dim_repos"))
-        dim_repos = tables.read(spark, cfg.path("dim_repos"))
-        _overwrite(dims.dim_languages(dim_repos), cfg.path("dim_languages"))
+    def events() -> None:
+        with _step(timings, "stg_events"):
+            status["stg_events"] = tables.refresh(
+                spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d),
+                cfg.as_of, windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS)
+            tables.expire(spark, cfg.path("stg_events"), cfg.as_of, windows.STAGING_EXPIRY_DAYS)
+        stg = tables.read(spark, cfg.path("stg_events"))
+        with _step(timings, "fct_events"):
+            status["fct_events"] = tables.refresh(
+                spark, cfg.path("fct_events"), lambda a, d: facts.fct_events(stg, a, d), cfg.as_of,
+                windows.LOOKBACK_DAYS, windows.FACT_WINDOW_DAYS, cluster_by=FACT_CLUSTER,
+                tiebreak="event_id")
+            tables.expire(spark, cfg.path("fct_events"), cfg.as_of, windows.FACT_EXPIRY_DAYS)
+
+    def repo_dims() -> None:
+        with _step(timings, "dims"):
+            stg_repos = staging.stage_repos(tables.read(spark, cfg.raw_repos))
+            _overwrite(dims.dim_repos(stg_repos), cfg.path("dim_repos"))
+            _overwrite(dims.dim_languages(tables.read(spark, cfg.path("dim_repos"))),
+                       cfg.path("dim_languages"))
+
+    def calendar() -> None:
         _overwrite(dims.dim_dates(spark), cfg.path("dim_dates"))
+
+    _concurrently(events, repo_dims, calendar)
+    fct = tables.read(spark, cfg.path("fct_events"))
+    dim_repos = tables.read(spark, cfg.path("dim_repos"))
     with _step(timings, "marts"):
-        _overwrite(marts.repo_health(dim_repos, fct, cfg.as_of), cfg.path("mart_repo_health"))
-        _overwrite(marts.language_trends(dim_repos, fct, cfg.as_of),
-                   cfg.path("mart_language_contributor_trends"))
-        _overwrite(marts.pr_velocity(dim_repos, fct, cfg.as_of), cfg.path("mart_pr_velocity"))
+        _concurrently(
+            lambda: _overwrite(marts.repo_health(dim_repos, fct, cfg.as_of),
+                               cfg.path("mart_repo_health")),
+            lambda: _overwrite(marts.language_trends(dim_repos, fct, cfg.as_of),
+                               cfg.path("mart_language_contributor_trends")),
+            lambda: _overwrite(marts.pr_velocity(dim_repos, fct, cfg.as_of),
+                               cfg.path("mart_pr_velocity")))
     for s in ("stg_events", "fct_events", "dim_repos", "dim_languages", "dim_dates",
               "mart_repo_health", "mart_language_contributor_trends", "mart_pr_velocity"):
         status.setdefault(s, "rebuilt")
