@@ -70,3 +70,24 @@ def test_failed_rebuild_keeps_old_table(spark, scratch):
     assert spark.read.parquet(path).count() == 3
     tables.replace_table(spark.range(5), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_late_rows_within_lookback_picked_up_later_ones_wait_for_full_refresh(spark, scratch):
+    from pyspark.sql import functions as F
+    raw = standins.raw_events(spark, SF["0.001"])
+    on_time = raw.filter(~F.col("dt").isin("2024-01-20", "2024-01-27"))
+    path = os.path.join(scratch, "fct")
+
+    def build(src):
+        return lambda a, d: facts.fct_events(staging.stage_events(src, a, 95), a, d)
+
+    tables.refresh(spark, path, build(on_time), dt.date(2024, 1, 29))        # first run: full
+    # Both days arrive late; the next run (3-day lookback from 01-30) covers 01-27 only.
+    tables.refresh(spark, path, build(raw), dt.date(2024, 1, 30))
+    days = {r[0].isoformat() for r in tables.read(spark, path).select("event_date").distinct().collect()}
+    assert "2024-01-27" in days and "2024-01-20" not in days
+    # A full rebuild (new table) picks up everything.
+    full = os.path.join(scratch, "fct_full")
+    tables.refresh(spark, full, build(raw), dt.date(2024, 1, 30))
+    days = {r[0].isoformat() for r in tables.read(spark, full).select("event_date").distinct().collect()}
+    assert "2024-01-20" in days
