@@ -131,10 +131,21 @@ def write_ndjson(df: DataFrame, path: str, partition_col: str = "dt") -> None:
     tables.replace_partitions(df, path, partition_col, fmt="json")
 
 
-def read_seed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Seed CSV with a header and declared (timestamp) column types."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("timestampFormat", "yyyy-MM-dd[ HH:mm:ss][XXX]").csv(path))
+def read_seed_csv(spark: SparkSession, path: str, schema: StructType | str,
+                  timestamp_format: str | None = None) -> DataFrame:
+    """Seed CSV with a header and declared column types. Timestamps in ISO 8601
+    (``2026-05-20T00:00:00Z``) or ``2026-05-20 00:00:00`` parse by default."""
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    if timestamp_format:
+        reader = reader.option("timestampFormat", timestamp_format)
+    return reader.csv(path)
+
+
+def read_seeds(spark: SparkSession, repos_csv: str, users_csv: str) -> tuple[DataFrame, DataFrame]:
+    """Sample repo and user snapshots from seed CSVs, in the raw snapshot
+    schemas, for development runs without landed documents."""
+    return (read_seed_csv(spark, repos_csv, schemas.REPOS),
+            read_seed_csv(spark, users_csv, schemas.USERS))
 
 
 def tracked(targets: DataFrame, flag: str = "enabled") -> DataFrame:

@@ -113,24 +113,25 @@ def test_tracked_missing_flag_means_enabled(spark):
 def test_seed_csv_reads_declared_timestamps(spark, scratch):
     p = os.path.join(scratch, "seed.csv")
     with open(p, "w") as f:
-        f.write("id,login,ingested_at\n1,a,2026-05-20 12:00:00\n")
+        f.write("id,login,ingested_at\n1,a,2026-05-20 12:00:00\n2,b,2026-05-20T12:00:00Z\n")
     df = ingest.read_seed_csv(spark, p, "id bigint, login string, ingested_at timestamp")
-    assert str(df.collect()[0]["ingested_at"]) == INGESTED_AT
-
-
-def test_ndjson_day_sink_roundtrip(spark, scratch):
-    from conftest import SF
-    from pulse.sources import standins
-    docs = standins.repo_documents(spark, SF["0.001"])
-    out = os.path.join(scratch, "raw", "repos")
-    ingest.write_ndjson(docs.select("value", "dt"), out)
-    day = sorted(os.listdir(out))[0]
-    assert day.startswith("dt=")
-    text = spark.read.text(os.path.join(out, day))
-    parsed = ingest.parse_documents(text, schemas.REPO_DOCUMENT)
-    projected = ingest.project_repos(parsed, INGESTED_AT)
-    n = text.count()
-    assert projected.count() == docs.filter(f"dt = date'{day[3:]}'").count() == n
-    # Re-writing a day replaces it instead of appending.
-    ingest.write_ndjson(docs.select("value", "dt").filter(f"dt = date'{day[3:]}'"), out)
-    assert spark.read.text(os.path.join(out, day)).count() == n
+    assert [str(r["ingested_at"]) for r in df.orderBy("id").collect()] == [INGESTED_AT] * 2
+
+
+def test_seeds_in_raw_schemas(spark, scratch):
+    repos = os.path.join(scratch, "repos.csv")
+    users = os.path.join(scratch, "users.csv")
+    with open(repos, "w") as f:
+        f.write(",".join(f.name for f in schemas.REPOS.fields) + "\n")
+        f.write("7,R_7,w,acme/w,3,acme,,false,Rust,12,12,1,0,false,2020-01-01T00:00:00Z,,"
+                "2026-05-20T00:00:00Z\n")
+    with open(users, "w") as f:
+        f.write(",".join(f.name for f in schemas.USERS.fields) + "\n")
+        f.write("3,U_3,acme,Organization,false,Acme,,,4,10,0,2019-01-01T00:00:00Z,"
+                "2026-05-20T00:00:00Z\n")
+    r, u = ingest.read_seeds(spark, repos, users)
+    assert r.schema == schemas.REPOS and u.schema == schemas.USERS
+    row = r.collect()[0]
+    assert row["pushed_at"] is None and row["description"] is None and row["language"] == "Rust"
+    from pulse.operators import checks
+    assert checks.relationships(r, "owner_id", u.withColumnRenamed("id", "user_id"), "user_id").count() == 0
