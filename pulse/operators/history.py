@@ -65,7 +65,7 @@ def user_snapshot_times(stg_users: DataFrame) -> DataFrame:
 def first_touch(fct: DataFrame) -> DataFrame:
     """(actor, repo) -> first event time. Partial aggregation collapses each
     actor's events map-side, so even an actor with a third of all events ships
-    only one row per repo it touched."""
+    only one row per repo it touched from each map task."""
     return fct.groupBy("actor_id", "repo_id").agg(F.min("event_at").alias("first_at"))
 
 
