@@ -83,7 +83,7 @@ def _daily_tables(spark: SparkSession, cfg: PipelineConfig, timings: dict | None
         with _step(timings, "stg_events"):
             status["stg_events"] = tables.refresh(
                 spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d),
-                cfg.as_of, windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS)
+                cfg.as_of, windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS, tiebreak="event_id")
             tables.expire(spark, cfg.path("stg_events"), cfg.as_of, windows.STAGING_EXPIRY_DAYS)
         stg = tables.read(spark, cfg.path("stg_events"))
         with _step(timings, "fct_events"):

@@ -132,7 +132,7 @@ def daily_refreshes(i: Inputs, first_run: date = FIRST_DAILY_RUN) -> DataFrame:
         arrived = i.raw_events.filter(F.col("dt") < F.lit(run))
         tables.refresh(i.spark, stg_path,
                        lambda a, d, src=arrived: staging.stage_events(src, a, d), run,
-                       window_days=staging.FULL_LOOKBACK_DAYS)
+                       window_days=staging.FULL_LOOKBACK_DAYS, tiebreak="event_id")
         staged = tables.read(i.spark, stg_path)
         tables.refresh(i.spark, fct_path, lambda a, d, src=staged: facts.fct_events(src, a, d), run,
                        cluster_by=FACT_CLUSTER, tiebreak="event_id")

@@ -46,6 +46,9 @@ def layout(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...] = (),
     skipping). The range bounds come from sampling; the tiebreak lets a single
     hot cluster key still be split over several tasks.
     """
+    if not cluster_by and not tiebreak:
+        # A range on the day alone cannot split one day over several tasks.
+        return df.sortWithinPartitions(partition_col)
     keys = [partition_col, *cluster_by] + ([tiebreak] if tiebreak else [])
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
