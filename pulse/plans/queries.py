@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from functools import cached_property
 
@@ -250,6 +251,13 @@ def one_check(name: str) -> Callable[[Inputs], DataFrame]:
 
 
 def all_checks(i: Inputs) -> DataFrame:
+    if i.checkpointed:
+        # The independent shared models are written concurrently, then the tiers.
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for f in [pool.submit(lambda name=n: getattr(i, name))
+                      for n in ("stg_events", "dim_repos", "stg_users")]:
+                f.result()
+        i.tiers  # noqa: B018  (builds and writes the tier model)
     return checks.summary([(check, model()) for check, model in check_list(i)])
 
 

@@ -65,3 +65,11 @@ def test_window_rules():
     assert not w.covers(dt.date(2024, 1, 27))
     assert windows.refresh_window(dt.date(2024, 1, 31), False).cutoff == dt.date(2023, 11, 2)
     assert windows.expiry_cutoff(dt.date(2024, 4, 15), 90) == dt.date(2024, 1, 16)
+
+
+def test_shared_dir_is_the_sessions_checkpoint_folder(spark):
+    from pulse.plans.queries import Inputs
+    from pulse.session import shared_dir
+    base = shared_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir().rstrip("/")
+    assert Inputs(spark, "/unused").scratch("t").startswith(base + "/t-")
