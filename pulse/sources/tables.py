@@ -21,6 +21,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem for ``path`` (HDFS, object stores, local): PySpark has no
+    public wrapper, so the JVM gateway is used for listing, delete and rename."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
