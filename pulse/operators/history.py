@@ -158,8 +158,9 @@ def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
     """Left-join each fact row to the dimension version in force at its time:
     ``valid_from <= ts < valid_to`` (``valid_to`` null = open).
 
-    Versions are spread over the days they cover -- clipped to the fact's own
-    date range, read as one scalar subquery -- and joined on (key, day); the half-open range then picks the
+    Versions of keys that occur in the fact are spread over the days they
+    cover -- clipped to the fact's own date range, read as one scalar subquery
+    -- and joined on (key, day); the half-open range then picks the
     one version. A row therefore meets only the versions alive on its own day,
     never all versions of its key, and a key with a third of all fact rows is
     still split across its days (AQE splits a hot day further). The expanded
@@ -175,10 +176,13 @@ def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
     fact_day = F.to_date(F.col(ts_col))
     bounds = fact.select(F.struct(F.min(fact_day).alias("lo"), F.max(fact_day).alias("hi"))).scalar()
 
+    # Only keys that occur in the fact can match (a semi join on its distinct keys).
+    fact_keys = fact.select(key).distinct()
+
     def spread_between(lo, hi):
         start = F.to_date(F.col(valid_from))
         end = F.coalesce(F.to_date(F.col(valid_to)), hi)
-        live = dim.filter((start <= hi) & (end >= lo))
+        live = dim.filter((start <= hi) & (end >= lo)).join(fact_keys, key, "left_semi")
         first_day, last_day = F.greatest(start, lo), F.least(end, hi)
         cols = [c for c in dim_columns if c != key]
         rows = live.select(
