@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, mixing, simhash, token_counts
+from pulse.llm import bpe, mixing, packed_ids, simhash, token_counts
 from pulse.llm.common import table
 
 
@@ -27,11 +27,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_ids.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op6_token_counts": op6_token_counts,
+    "op10_packed_ids": op10_packed_ids,
 }
 
 ORACLE: dict[str, str] = {}
