@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, mixing, packed_ids, simhash, token_counts
+from pulse.llm import bpe, mixing, packed_ids, simhash, token_counts, topk
 from pulse.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings")).drop("query_hash")
+
+
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.round_trip(table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op6_token_counts": op6_token_counts,
+    "op7_topk": op7_topk,
     "op10_packed_ids": op10_packed_ids,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5
+    """,
+}
