@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, mixing, packed_ids, simhash, token_counts, topk
+from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, simhash, token_counts, topk
 from pulse.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings")).drop("query_hash")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.round_trip(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_topk": op7_topk,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op10_packed_ids": op10_packed_ids,
 }
 
