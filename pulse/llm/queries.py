@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, simhash, token_counts, topk
+from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, quality_crf, simhash, token_counts, topk
 from pulse.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
