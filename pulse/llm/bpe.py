@@ -18,7 +18,6 @@ import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +38,7 @@ class Encoder:
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.length = [len(t) for t in self.bytes_of]
-        # White space as Unicode has it, which is what the rank files' own library splits by.
-        spaces = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(
-            r"\S", r"\P{White_Space}")
-        self.split = regex.compile(spaces).findall
+        self.split = vocab.splitter(pattern)
         self.fits: dict[int, bool] = {}
         self.pieces: dict[str, tuple] = {}
         self.units: dict[str, tuple] = {}
@@ -106,7 +102,7 @@ class Encoder:
         for piece in self.split(text):
             known = self.pieces.get(piece)
             if known is None:
-                if len(self.pieces) >= vocab.MEMO_ENTRIES:
+                if len(self.pieces) >= vocab.PIECE_ENTRIES:
                     self.pieces.clear()
                 known = self.encode_piece(piece.encode())
                 if len(piece) <= 64:

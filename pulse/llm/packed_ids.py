@@ -155,29 +155,59 @@ def open_store(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class _TextIds:
-    """Ids of texts by the tokenizers library, memoised by unit as uint32 bytes."""
+    """Ids of texts by the tokenizers library, memoised by unit and by piece as uint32 bytes.
+
+    New pieces are encoded many to a text, with a special token between them that splits the
+    text before anything else and marks where each piece's ids end.
+    """
+
+    _PIECES_A_TEXT = 512
 
     def __init__(self, data: bytes):
-        self.tokenizer = Tokenizer.from_str(data.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.plain = Tokenizer.from_str(data.decode())
+        self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.vocabulary = self.plain.get_vocab_size(with_added_tokens=True)
+        self.splitting = Tokenizer.from_str(data.decode())
+        special = sorted(i for i, t in self.splitting.get_added_tokens_decoder().items() if t.special)
+        self.mark_id = special[0] if special else None
+        self.mark = self.splitting.id_to_token(self.mark_id) if special else None
+        self.split = vocab.splitter()
+        self.pieces: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
-    def raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def whole(self, texts: list[str]) -> list[bytes]:
+        found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def learn(self, units: set[str]) -> None:
+        """Encode units, each after a space, into the memos."""
+        split = [self.split(" " + u) for u in units]
+        pieces = self.pieces
+        new = list(set(chain.from_iterable(split)).difference(pieces))
+        odd = [p for p in new if self.mark is None or "<" in p]  # could form a special token's string
+        if odd:
+            pieces.update(zip(odd, self.whole(odd)))
+            new = [p for p in new if p not in pieces]
+        parts = [new[at: at + self._PIECES_A_TEXT] for at in range(0, len(new), self._PIECES_A_TEXT)]
+        joined = [self.mark + "".join([p + self.mark for p in part]) for part in parts]
+        for part, found in zip(parts, self.splitting.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            pieces.update(zip(part, [data[a + 4: z] for a, z in zip(ends, ends[1:])]))
+        self.units.update(zip(units, [b"".join(map(pieces.__getitem__, s)) for s in split]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [vocab.units(t) for t in texts]
-        memo = self.units
-        if len(memo) >= vocab.MEMO_ENTRIES:
-            memo.clear()
-        wanted = set(chain.from_iterable(p[1:] for p in split if p)).difference(memo)
+        if len(self.units) >= vocab.MEMO_ENTRIES:
+            self.units.clear()
+        if len(self.pieces) >= vocab.PIECE_ENTRIES:
+            self.pieces.clear()
+        wanted = set(chain.from_iterable([p[1:] for p in split if p])).difference(self.units)
         if wanted:
-            names = list(wanted)
-            memo.update(zip(names, self.raw([" " + u for u in names])))
-        firsts = self.raw([t if p is None else p[0] if p else "" for t, p in zip(texts, split)])
-        return [first + b"".join(map(memo.__getitem__, p[1:])) if p else first for first, p in zip(firsts, split)]
+            self.learn(wanted)
+        of_unit = self.units.__getitem__
+        firsts = self.whole([t if p is None else p[0] if p else "" for t, p in zip(texts, split)])
+        return [first + b"".join(map(of_unit, p[1:])) if p else first for first, p in zip(firsts, split)]
 
 
 def write_shards(docs: DataFrame, root: str, path: str = VOCABULARY, end_id: int = END_ID,
@@ -253,7 +283,8 @@ def read_shards(manifest: DataFrame, per_read: int = 1 << 20) -> DataFrame:
                             [ids[a:z].tobytes() for a, z in zip(cuts, cuts[1:])])
                         doc = to
 
-    spread = manifest.select("path", "start").repartition(F.col("path"))
+    # One read task a shard: a count given by hand is not coalesced however small the manifest is.
+    spread = manifest.select("path", "start").repartition(max(manifest.count(), 1), "path")
     return spread.mapInArrow(run, "doc_id long, start long, ids_le binary")
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ class Counter:
     """Numbers of greedy longest-match pieces, for a vocabulary with all single bytes."""
 
     def __init__(self, data: bytes, pattern: str = vocab.PATTERN):
-        self.split = regex.compile(pattern).findall
+        self.split = vocab.splitter(pattern)
         self.units: dict[str, int] = {}
         tokens = vocab.read_ranks(data)
         if any(bytes([b]) not in tokens for b in range(256)):

@@ -24,6 +24,9 @@ MAX_VOCABULARY_BYTES = 64 << 20
 #: Entries a worker's memo holds before it starts anew; results do not depend on it.
 MEMO_ENTRIES = 400_000
 
+#: Distinct pieces (matches of the split pattern) a worker remembers; they are fewer than units.
+PIECE_ENTRIES = 1_000_000
+
 _TWO_SPACES = regex.compile(r"\s\s").search
 _built: dict[tuple[str, str], object] = {}
 
@@ -50,6 +53,14 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines()) if token}
 
 
+def splitter(pattern: str = PATTERN) -> Callable[[str], list[str]]:
+    """All matches of the split pattern, with white space as Unicode has it (which is what the
+    tokenizer libraries split by)."""
+    spaces = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(
+        r"\S", r"\P{White_Space}")
+    return regex.compile(spaces).findall
+
+
 def units(text: str) -> list[str] | None:
     """The text's units without their leading space (the first has none); None where
     white-space characters meet and the text must be taken as a whole."""
