@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, quality_crf, simhash, token_counts, topk
+from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, quality_crf, simhash, token_counts, topk, toxicity
 from pulse.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_topk": op7_topk,
     "op8_embedding_dedup": op8_embedding_dedup,

@@ -10,13 +10,14 @@ gets disguised.
 
 Restored words are scored by evidence tables of whole words and of their beginnings, learned
 from labelled documents: the longest one that the sample knows well speaks for a word. A
-text's score is the calibrated evidence of its strongest words. Evidence and calibration each use the half of the sample that the other
-does not, so the calibration sees evidence as unseen texts will show it.
+text's score is the calibrated evidence of its strongest words. For the calibration a sampled document is measured by what the
+others say, its own part taken out of every count, as an unseen text will be.
 """
 
 from __future__ import annotations
 
 import math
+import operator
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -40,6 +41,8 @@ SHORTEST, LONGEST = 3, 12
 #: Documents at the common rate that every gram is taken to have been found in besides.
 PRIOR_DOCS = 2.0
 _STRONGEST = 5
+_STEPS = (0.3, 0.5, 0.65, 0.78, 0.87, 0.93, 0.97)
+_FEATURES = len(_STEPS) + len(_STEPS[::2]) + 1
 
 #: What a character that is no letter may stand for.
 LOOKS_LIKE = {
@@ -83,9 +86,9 @@ def trigram_table(words: Counter) -> np.ndarray:
 @dataclass
 class Model:
     costs: np.ndarray  # negative log probability of the third letter of each trigram
-    evidence: dict[str, float]
+    evidence: dict[str, tuple[int, int]]  # toxic and other documents that hold a gram
     rate: float
-    slope: tuple[float, float, float, float]
+    slope: tuple[float, ...]
     restored: dict[str, str] = field(default_factory=dict)
     weights: dict[str, float] = field(default_factory=dict)
 
@@ -181,29 +184,38 @@ class Model:
             single = []
         return out
 
-    def weight(self, word: str) -> float:
-        """Evidence of the longest known of the word and its beginnings."""
+    def weight(self, word: str, own: int | None = None) -> float:
+        """Evidence of the longest known of the word and its beginnings. ``own``: the label of the
+        document the word is in, if that document is part of the counts and is to be left out."""
+        for gram in grams(word):
+            if gram in self.evidence:
+                p, n = self.evidence[gram]
+                if own is not None:
+                    p, n = p - own, n - 1 + own
+                if p + n >= MIN_DOCS:
+                    return (p + PRIOR_DOCS * self.rate) / (p + n + PRIOR_DOCS)
+        return self.rate
+
+    def known_weight(self, word: str) -> float:
         known = self.weights.get(word)
         if known is None:
             if len(self.weights) >= vocab.MEMO_ENTRIES // 2:
                 self.weights.clear()
-            known = self.rate
-            for gram in grams(word):
-                if gram in self.evidence:
-                    known = self.evidence[gram]
-                    break
-            self.weights[word] = known
+            known = self.weights[word] = self.weight(word)
         return known
 
-    def features(self, text: str) -> tuple[float, float, float]:
-        """Log odds of the strongest and the second strongest distinct word, and mean of the five
-        strongest; never less than a text without evidence has."""
-        found = sorted(map(self.weight, set(self.words(text))), reverse=True)[:_STRONGEST]
-        odds = [_logit(max(p, self.rate)) for p in found + [self.rate] * (_STRONGEST - len(found))]
-        return odds[0], odds[1], sum(odds) / _STRONGEST
+    def features(self, text: str, own: int | None = None) -> list[float]:
+        """Which steps the strongest and the second strongest distinct word reach, and the mean of
+        the five strongest beyond what a text without evidence has."""
+        words = set(self.words(text))
+        weights = map(self.known_weight, words) if own is None else [self.weight(w, own) for w in words]
+        found = sorted(weights, reverse=True)[:_STRONGEST]
+        found = [max(p, self.rate) for p in found] + [self.rate] * (_STRONGEST - len(found))
+        return ([float(found[0] > s) for s in _STEPS] + [float(found[1] > s) for s in _STEPS[::2]]
+                + [sum(found) / _STRONGEST - self.rate])
 
     def score(self, text: str) -> float:
-        at = sum(a * b for a, b in zip(self.slope, (*self.features(text), 1.0)))
+        at = sum(map(operator.mul, self.slope, (*self.features(text), 1.0)))
         return 1 / (1 + math.exp(-min(max(at, -500.0), 500.0)))
 
 
@@ -212,11 +224,6 @@ def grams(word: str) -> list[str]:
     return [word + "$"] + [word[:n] for n in range(min(LONGEST, len(word)), SHORTEST - 1, -1)]
 
 
-def _logit(p: float) -> float:
-    p = min(max(p, 0.01), 0.995)
-    return math.log(p / (1 - p))
-
-
 def _costs(corpus: np.ndarray, marked: np.ndarray) -> np.ndarray:
     """Negative log probabilities: half the corpus' trigrams, half those of the marked words, each
     smoothed towards the bigrams'."""
@@ -268,76 +275,62 @@ def corpus_trigrams(docs: DataFrame) -> np.ndarray:
 
 
 def _gram_counts(sample: DataFrame, base: Model) -> DataFrame:
-    """``(gram, p0, n0, p1, n1)``: toxic and other documents of each half that hold a gram."""
-    schema = pa.schema([("half", pa.int32()), ("gram", pa.string()), ("p", pa.int64()), ("n", pa.int64())])
+    """``(gram, p, n)``: toxic and other documents that hold a gram."""
+    schema = pa.schema([("gram", pa.string()), ("p", pa.int64()), ("n", pa.int64())])
     shared = sample.sparkSession.sparkContext.broadcast(base)
 
     def run(batches):
-        counts: dict[tuple, list[int]] = {}
+        counts: dict[str, list[int]] = {}
         for batch in batches:
             for part, found in common.texts(batch):
-                halves, marks = part.column("half").to_pylist(), part.column("y").to_pylist()
-                for half, y, text in zip(halves, marks, found):
+                for y, text in zip(part.column("y").to_pylist(), found):
                     for g in {g for w in set(shared.value.words(text)) if w for g in grams(w)}:
-                        counts.setdefault((half, g), [0, 0])[1 - y] += 1
+                        counts.setdefault(g, [0, 0])[1 - y] += 1
                 if len(counts) > 300_000:
                     yield pack(counts)
                     counts = {}
         yield pack(counts)
 
     def pack(counts):
-        keys, values = list(counts), list(counts.values())
-        return common.out_batch(schema, [h for h, _ in keys], [g for _, g in keys],
-                                [p for p, _ in values], [n for _, n in values])
+        values = list(counts.values())
+        return common.out_batch(schema, list(counts), [p for p, _ in values], [n for _, n in values])
 
-    counts = sample.select("half", "y", "text").mapInArrow(run, "half int, gram string, p long, n long")
-    return counts.groupBy("gram").agg(*[
-        F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}") for h in (0, 1) for c in "pn"])
+    return (sample.select("y", "text").mapInArrow(run, "gram string, p long, n long")
+            .groupBy("gram").agg(F.sum("p").alias("p"), F.sum("n").alias("n")))
 
 
-def _evidence(sample: DataFrame, base: Model) -> tuple[list[dict], float]:
-    """Evidence tables from half 0, from half 1 and from both, and the rate of toxic documents.
+def _evidence(sample: DataFrame, base: Model, rate: float) -> dict[str, tuple[int, int]]:
+    """Counts of the grams that matter: those well above the rate of toxic documents, the strongest
+    first, and those that begin with one of them (they say that a beginning is harmless in a longer word).
 
-    A gram in ``p`` toxic of ``p + n`` documents has ``(p + PRIOR_DOCS * rate) / (p + n + PRIOR_DOCS)``. Kept are
-    grams well above the rate, the strongest first, and the grams that begin with a kept
-    one: those say that a beginning is harmless in a longer word.
+    A gram in ``p`` toxic of ``p + n`` documents counts as ``(p + PRIOR_DOCS * rate) / (p + n + PRIOR_DOCS)``.
     """
-    total = sample.agg(F.sum("y"), F.count(F.lit(1))).first()
-    rate = (total[0] or 0) / max(total[1], 1)
-    counts = common.cut(_gram_counts(sample, base).where(F.expr(f"p0 + p1 + n0 + n1 >= {MIN_DOCS}")))
-    p, n = F.col("p0") + F.col("p1"), F.col("n0") + F.col("n1")
-    value = (p + PRIOR_DOCS * rate) / (p + n + PRIOR_DOCS)
+    counts = common.cut(_gram_counts(sample, base).where(F.expr(f"p + n >= {MIN_DOCS}")))
+    value = (F.col("p") + PRIOR_DOCS * rate) / (F.col("p") + F.col("n") + PRIOR_DOCS)
     raising = counts.where(value > 2 * rate).orderBy(value.desc(), "gram").limit(MAX_GRAMS)
     begin = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("gram") - 1, F.lit(LONGEST))),
                         lambda k: F.substring("gram", F.lit(1), k))
     taking_back = (counts.where(value <= 2 * rate).where(F.length("gram") > SHORTEST)
                    .withColumn("begin", F.explode(begin))
                    .join(F.broadcast(raising.select(F.col("gram").alias("begin"))), "begin", "left_semi")  # at most MAX_GRAMS
-                   .drop("begin").distinct().orderBy(n.desc(), "gram").limit(MAX_GRAMS))
-    rows = raising.collect() + taking_back.collect()
-    tables = []
-    for halves in ((0,), (1,), (0, 1)):
-        table = {}
-        for r in rows:
-            yes, no = (sum(r[f"{c}{h}"] for h in halves) for c in "pn")
-            if yes + no >= (MIN_DOCS if len(halves) > 1 else MIN_DOCS - 1):
-                table[r.gram] = (yes + PRIOR_DOCS * rate) / (yes + no + PRIOR_DOCS)
-        tables.append(table)
-    return tables, rate
+                   .drop("begin").distinct().orderBy(F.desc("n"), "gram").limit(MAX_GRAMS))
+    return {r.gram: (r.p, r.n) for r in raising.collect() + taking_back.collect()}
 
 
 def _logistic(rows: list[tuple[float, ...]]) -> tuple[float, ...]:
-    """Logistic regression of the last entry on the others, by damped Newton steps with a light penalty."""
+    """Logistic regression of the last entry on the others, by damped Newton steps with a light pull
+    towards small rising weights; no weight falls below 0, so more evidence never lowers a score."""
     x = np.array([(*r[:-1], 1.0) for r in rows])
     y = np.array([r[-1] for r in rows], dtype=float)
-    pull = np.array([0.2] * (x.shape[1] - 1) + [0.01])
-    start = np.array([0.5] * (x.shape[1] - 1) + [0.0])
+    pull = np.array([0.3] * (x.shape[1] - 1) + [0.01])
+    start = np.array([0.3] * (x.shape[1] - 1) + [-1.0])
     beta = start.copy()
-    for _ in range(40):
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         grad = x.T @ (y - p) - pull * (beta - start)
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull)
         beta = beta + np.clip(np.linalg.solve(hess, grad), -1, 1)
+        beta[:-1] = np.maximum(beta[:-1], 0)
     return tuple(float(b) for b in beta)
 
 
@@ -346,27 +339,27 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
     spark = docs.sparkSession
     common.ship_package(spark)
     corpus = corpus_trigrams(docs)
-    sample = common.cut(labelled.training_sample(docs, labels, "toxic", FOLDS, HELD_OUT, limit)
-                        .withColumn("half", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).cast("int")))
-    plain = Model(_costs(corpus, np.zeros_like(corpus)), {}, 0.0, (0.0,) * 4)
-    (first, second, both), rate = _evidence(sample, plain)
-    marked = Counter({g[:-1]: 1.0 for g, v in both.items() if g.endswith("$") and v > 0.7})
-    costs = _costs(corpus, trigram_table(marked))
+    sample = common.cut(labelled.training_sample(docs, labels, "toxic", FOLDS, HELD_OUT, limit))
     toxic, n = sample.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count(F.lit(1))).first()
-    model = Model(costs, both, max(rate, 1e-3), (0.0, 0.0, 0.0, math.log((toxic + 1) / (n - toxic + 1))))
+    rate = max(toxic / max(n, 1), 1e-3)
+    even = (0.0,) * _FEATURES + (math.log((toxic + 1) / (n - toxic + 1)),)
     if toxic in (0, n):
-        return model
-    halves = spark.sparkContext.broadcast(tuple(Model(costs, t, model.rate, model.slope) for t in (second, first)))
+        return Model(_costs(corpus, np.zeros_like(corpus)), {}, rate, even)
+    evidence = _evidence(sample, Model(_costs(corpus, np.zeros_like(corpus)), {}, rate, even), rate)
+    marked = Counter({g[:-1]: 1.0 for g, (p, q) in evidence.items()
+                      if g.endswith("$") and (p + PRIOR_DOCS * rate) / (p + q + PRIOR_DOCS) > 0.7})
+    model = Model(_costs(corpus, trigram_table(marked)), evidence, rate, even)
+    shared = spark.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("f", pa.list_(pa.float64())), ("y", pa.int32())])
 
-    def run(batches):  # half 0 is measured by the evidence of half 1, and the other way round
+    def run(batches):
         for batch in batches:
             for part, found in common.texts(batch):
-                got = [halves.value[h].features(t) for h, t in zip(part.column("half").to_pylist(), found)]
-                yield common.out_batch(schema, part.column("doc_id"), [list(x) for x in got], part.column("y"))
+                marks = part.column("y").to_pylist()
+                yield common.out_batch(schema, part.column("doc_id"), [
+                    shared.value.features(t, own=y) for t, y in zip(found, marks)], part.column("y"))
 
-    rows = sample.select("doc_id", "half", "y", "text").mapInArrow(
-        run, "doc_id long, f array<double>, y int").collect()
+    rows = sample.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, f array<double>, y int").collect()
     model.slope = _logistic([(*r.f, r.y) for r in sorted(rows, key=lambda r: r.doc_id)])
     return model
 
