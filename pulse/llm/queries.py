@@ -7,9 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, quality_crf, simhash, token_counts, topk, toxicity
+from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, pii, quality_crf, simhash, token_counts, topk, toxicity
 from pulse.llm.common import table
 
+#: Key of the registered queries, which run on invented data; real jobs pass a secret of their own.
+PII_KEY = "key of the registered queries"
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -43,6 +46,10 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.round_trip(table(spark, sf_dir, "documents"))
 
@@ -56,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_topk": op7_topk,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_pii": op9_pii,
     "op10_packed_ids": op10_packed_ids,
 }
 
