@@ -1,17 +1,19 @@
 """Data-quality checks (M22: D1-D13) and freshness.
 
-Each check returns its *offending rows*; zero rows is a pass. ``run`` turns a
-list of checks into one summary table with one Spark job per check (the
-counts are the only values that reach the driver).
+A check finds its *offending rows*; none is a pass. Checks that look at one row at a
+time carry a condition, and all of a model's are counted by one aggregate, so a model is read
+once for them; the others (keys, references, windows) are counted each on its own. The
+counts make one summary table, and error-level failures stop a job (``gate``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,25 +23,43 @@ from pulse.sources.standins import ts
 OPEN_END = "9999-12-31 00:00:00"
 
 
+class CheckFailed(Exception):
+    """An error-level check found offending rows; ``failures`` maps its name to their number."""
+
+    def __init__(self, failures: dict[str, int]):
+        super().__init__("; ".join(f"{name}: {n} rows" for name, n in failures.items()))
+        self.failures = failures
+
+
 @dataclass(frozen=True)
 class Check:
-    """A named check over one model; ``where`` scopes the rows checked."""
+    """A named check over one model: either ``bad``, a condition on a row, or ``rows``, a
+    function to the offending rows. ``where`` scopes the rows checked (D12); an ``error``
+    stops the job, a ``warn`` is only recorded (D11)."""
     name: str
     model: str
-    rows: "callable"                     # DataFrame -> offending rows
-    severity: str = "error"              # D11: "warn" or "error"
+    rows: Callable[[DataFrame], DataFrame] | None = None
+    severity: str = "error"
     where: str | None = None
-    meta: dict = field(default_factory=dict)
+    bad: Column | None = None
+    keep: tuple[str, ...] = ()
 
     def offending(self, df: DataFrame) -> DataFrame:
-        return self.rows(df.filter(self.where) if self.where else df)
+        scoped = df.filter(self.where) if self.where else df
+        if self.bad is None:
+            return self.rows(scoped)
+        found = scoped.filter(self.bad)
+        return found.select(*self.keep) if self.keep else found
+
+    def status(self, failures: Column) -> Column:
+        return F.when(failures == 0, "pass").otherwise("warn" if self.severity == "warn" else "fail")
 
 
 # --- offending-row builders -------------------------------------------------
 
-def not_null(df: DataFrame, *cols: str) -> DataFrame:
-    """Rows with a null in any of ``cols``."""
-    return df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols]))
+def null_in(*cols: str) -> Column:
+    """A null in any of ``cols``."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
 def unique(df: DataFrame, *cols: str) -> DataFrame:
@@ -49,9 +69,9 @@ def unique(df: DataFrame, *cols: str) -> DataFrame:
             .filter(F.col("n_rows") > 1))
 
 
-def accepted_values(df: DataFrame, col: str, values: tuple) -> DataFrame:
-    """D3: rows whose non-null value is outside ``values``."""
-    return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(*values))
+def outside(col: str, values: tuple) -> Column:
+    """D3: a non-null value outside ``values``."""
+    return F.col(col).isNotNull() & ~F.col(col).isin(*values)
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -71,75 +91,91 @@ def recency(df: DataFrame, ts_col: str, now: datetime, max_hours: int) -> DataFr
             .filter(F.col("newest").isNull() | too_old))
 
 
-def no_future(df: DataFrame, ts_col: str, now: datetime, *keep: str) -> DataFrame:
-    """Rows stamped after ``now``."""
-    return df.filter(F.col(ts_col) > ts(now.isoformat(sep=" "))).select(*keep, ts_col)
+def after(ts_col: str, now: datetime) -> Column:
+    """A time after ``now``."""
+    return F.col(ts_col) > ts(now.isoformat(sep=" "))
 
 
-def orgs_dont_follow(users: DataFrame) -> DataFrame:
-    """Organizations with a non-zero following count."""
-    return (users.filter((F.col("user_type") == "Organization") & (F.col("following") > 0))
-            .select("user_id", "user_login", "following"))
+def org_follows() -> Column:
+    """An organization with a non-zero following count."""
+    return (F.col("user_type") == "Organization") & (F.col("following") > 0)
 
 
 def no_overlap(dim: DataFrame, model: str, key: str, sk: str) -> DataFrame:
-    """Versions of one key whose windows overlap the next version's.
+    """Every ordered pair of versions of one key whose windows overlap.
 
-    Sorted by ``valid_from`` within a key, two windows overlap somewhere
-    exactly when some version starts before its predecessor ends, so one
-    ``lead`` over the key suffices (one shuffle) instead of a self join.
+    A version belongs to the same cluster as its predecessors while it starts before
+    the latest of their ends; versions of different clusters cannot overlap. One window
+    over the key marks the clusters, and only clusters of two or more versions are paired, so a
+    sound dimension pairs nothing, whatever its number of versions.
     """
-    w = Window.partitionBy(key).orderBy("valid_from", sk)
-    nxt = dim.select(key, sk, "valid_from", "valid_to",
-                     F.lead("valid_from").over(w).alias("_next_from"),
-                     F.lead(sk).over(w).alias("_next_sk"))
-    bad = nxt.filter(F.col("_next_from").isNotNull()
-                     & (F.col("_next_from") < F.coalesce(F.col("valid_to"), ts(OPEN_END))))
-    return bad.select(F.lit(model).alias("model"), F.col(key).cast("string").alias("natural_key"),
-                      F.col(sk).alias("a_sk"), F.col("_next_sk").alias("b_sk"))
+    end = F.coalesce(F.col("valid_to"), ts(OPEN_END))
+    by_start = Window.partitionBy(key).orderBy("valid_from", sk)
+    before = F.max("_end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    marked = (dim.select(key, sk, "valid_from", end.alias("_end"))
+              .withColumn("_opens", F.coalesce(F.col("valid_from") >= before, F.lit(True)))
+              .withColumn("_cluster", F.count(F.when(F.col("_opens"), 1)).over(
+                  by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key, "_cluster")))
+              .filter("_n > 1"))
+    a, b = marked.alias("a"), marked.alias("b")
+    pairs = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._cluster") == F.col("b._cluster"))
+                   & (F.col(f"a.{sk}") != F.col(f"b.{sk}")) & (F.col("a.valid_from") < F.col("b._end"))
+                   & (F.col("b.valid_from") < F.col("a._end")))
+    return pairs.select(F.lit(model).alias("model"), F.col(f"a.{key}").cast("string").alias("natural_key"),
+                        F.col(f"a.{sk}").alias("a_sk"), F.col(f"b.{sk}").alias("b_sk"))
 
 
 def schema_equals(df: DataFrame, expected: StructType) -> DataFrame:
-    """One row per column that differs from the expected (name, type) list."""
-    spark = df.sparkSession
+    """One row per column that differs from the expected (name, type) list, with the
+    number of rows it concerns."""
     got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
     want = [(f.name, f.dataType.simpleString()) for f in expected.fields]
     diffs = [(n, t, "unexpected") for n, t in got if (n, t) not in want] + \
             [(n, t, "missing") for n, t in want if (n, t) not in got]
-    return spark.createDataFrame(diffs, "column string, type string, problem string")
+    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    if not diffs:
+        n = n.filter(F.lit(False))
+    names = ("column", "type", "problem")
+    lines = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, d)]) for d in diffs or [("", "", "")]])
+    return n.select("n_rows", F.inline(lines)).select(*names, "n_rows")
 
 
 # --- running ----------------------------------------------------------------
 
-SUMMARY_SCHEMA = "check string, model string, severity string, failures bigint, status string"
+def _line(check: Check, failures: Column) -> Column:
+    return F.struct(F.lit(check.name).alias("check"), F.lit(check.model).alias("model"),
+                    F.lit(check.severity).alias("severity"), failures.alias("failures"),
+                    check.status(failures).alias("status"))
 
 
-def run(spark: SparkSession, checks: list[tuple[Check, DataFrame]]) -> DataFrame:
-    """Summary table: one row per check with its failure count and status
-    (``pass``, ``warn`` or ``fail``). Each count is one job; only the counts
-    come back to the driver."""
-    rows = []
-    for check, df in checks:
-        n = check.offending(df).count()
-        status = "pass" if n == 0 else ("warn" if check.severity == "warn" else "fail")
-        rows.append((check.name, check.model, check.severity, n, status))
-    return spark.createDataFrame(rows, SUMMARY_SCHEMA)
-
-
-def summary(checks: list[tuple[Check, DataFrame]]) -> DataFrame:
-    """The same summary as one lazy DataFrame (a union of one-row counts), so
-    the checks run as a single Spark job when the result is read."""
+def summary(checks: list[Check], models: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
+    """One row per check: name, model, severity, failures, status. All row-level checks
+    of a model are one aggregate over it; lazy, so one Spark job when the result is read."""
     parts = []
-    for check, df in checks:
-        n = check.offending(df).agg(F.count(F.lit(1)).alias("failures"))
-        fail = "warn" if check.severity == "warn" else "fail"
-        parts.append(n.select(
-            F.lit(check.name).alias("check"), F.lit(check.model).alias("model"),
-            F.lit(check.severity).alias("severity"), F.col("failures"),
-            F.when(F.col("failures") == 0, "pass").otherwise(fail).alias("status")))
+    for model in dict.fromkeys(c.model for c in checks):
+        df = models[model]()
+        by_row = [c for c in checks if c.model == model and c.bad is not None]
+        if by_row:
+            counts = df.agg(*[
+                F.count(F.when((F.expr(c.where) & c.bad) if c.where else c.bad, 1)).alias(f"n{k}")
+                for k, c in enumerate(by_row)])
+            lines = F.array(*[_line(c, F.col(f"n{k}")) for k, c in enumerate(by_row)])
+            parts.append(counts.select(F.inline(lines)))
+        for c in checks:
+            if c.model == model and c.bad is None:
+                n = c.offending(df).agg(F.count(F.lit(1)).alias("n"))
+                parts.append(n.select(F.inline(F.array(_line(c, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def gate(results: list) -> None:
+    """Raise ``CheckFailed`` if a collected summary row has status ``fail``."""
+    failed = {r["check"]: r["failures"] for r in results if r["status"] == "fail"}
+    if failed:
+        raise CheckFailed(failed)
+
+
 # --- freshness (M23, D7) ----------------------------------------------------
 
 def freshness(df: DataFrame, source: str, ts_col: str, now: datetime, warn_hours: int,

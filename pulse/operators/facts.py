@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.operators.staging import EVENT_COLUMNS
+from pulse.streaming.windows import FACT_WINDOW_DAYS
 
-# Fact window on a full build and lookback on an incremental run.
-WINDOW_DAYS = 90
-LOOKBACK_DAYS = 3
 
-
-def fct_events(stg: DataFrame, as_of: date, days: int = WINDOW_DAYS) -> DataFrame:
+def fct_events(stg: DataFrame, as_of: date, days: int = FACT_WINDOW_DAYS) -> DataFrame:
     """Events with ``event_date >= as_of - days`` (inclusive) and non-null actor and repo.
 
     ``event_date`` is the partition column of a stored staging table, so the
@@ -23,8 +20,3 @@ def fct_events(stg: DataFrame, as_of: date, days: int = WINDOW_DAYS) -> DataFram
     return (stg.filter(F.col("event_date") >= F.date_sub(F.lit(as_of), days))
             .filter(F.col("actor_id").isNotNull() & F.col("repo_id").isNotNull())
             .select(*EVENT_COLUMNS))
-
-
-def fct_events_incremental(stg: DataFrame, as_of: date, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """The slice an incremental run recomputes: the last ``lookback_days`` days."""
-    return fct_events(stg, as_of, lookback_days)

@@ -3,6 +3,7 @@ as of each snapshot (M10) and the as-of dimension lookup (M20)."""
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -23,13 +24,21 @@ def scd2(df: DataFrame, key: str, order_col: str, tracked: list[str], sk_name: s
     snapshot's time (``valid_from``) and closes, half-open, at the next
     version's first snapshot (``valid_to``, null while current).
 
-    Every window runs over the one spec (key, order_col): one shuffle on the key
+    Of several snapshots of a key at one time the one whose columns hash highest
+    counts; the others would be versions without duration.
+
+    Every window is partitioned by the key alone: one shuffle on the key
     and one sort serve them all. The version's last row is found with ``lead``
     instead of a second ranking pass, and its ``valid_to`` is simply the next
     snapshot's time. A key's group holds one row per snapshot, so its size is
     bounded by the number of snapshot days, not by the data volume.
     """
     columns = list(columns or [c for c in df.columns if c not in (order_col,)])
+    every = Window.partitionBy(key).orderBy(order_col, "_tie")
+    following = F.lead(order_col).over(every)
+    df = (df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_following", following)
+          .filter(F.col("_following").isNull() | (F.col("_following") != F.col(order_col)))
+          .drop("_tie", "_following"))
     w = Window.partitionBy(key).orderBy(order_col)
     changed = reduce(lambda a, b: a | b,
                      [is_distinct_from(F.lag(c).over(w), F.col(c)) for c in tracked])
@@ -73,140 +82,74 @@ def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_
                       core_repos: int = CORE_REPOS, core_days: int = CORE_DAYS) -> DataFrame:
     """Tier of each (user, snapshot) from the events at or before the snapshot.
 
-    A repo counts as of a snapshot exactly when the actor's first event on it
-    is at or before the snapshot. Instead of pairing every event with every
-    later snapshot (the literal range join), the count splits by day:
-
-    * repos first touched on *earlier days*: per-(user, day) counts of first
-      touches, carried to each snapshot by a running sum over the user's days;
-    * repos first touched on the *snapshot's own day*: an equi-join on
-      (user, day) with the time condition, so a touch meets only same-day
-      snapshots of its user.
-
-    Every per-user group is bounded by days (not by events or repos), the
-    heavy inputs are reduced by partial aggregation first, and the join on
-    (user, day) spreads even a user with a third of all events over its days.
+    Only events of users with a snapshot are read on (a semi join below the first
+    aggregate), and the fact is read once: it is reduced to first touches, and these are
+    laid out with the snapshots on one time line per (user, day). A repo counts as of a
+    snapshot exactly when it was first touched at or before it, so the count is a
+    running one within the day plus the totals of earlier days. The first
+    window is grouped by (user, day), the second holds one row a day and snapshot, so a
+    user with a third of all events is spread over days and never gathered whole.
     """
     snaps = user_snapshot_times(stg_users)
-    touches = first_touch(fct).select(F.col("actor_id").alias("user_id"), "first_at",
-                                      F.to_date("first_at").alias("day"))
-    daily = touches.groupBy("user_id", "day").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("first_at").alias("_first"))
-    # Earlier days: snapshot rows sort before the same day's counts, so the
-    # running aggregates at a snapshot row cover strictly earlier days only.
-    marks = snaps.select("user_id", F.col("snapshot_date").alias("day"), F.lit(0).alias("_kind"),
-                         "snapshot_at", F.lit(None).cast("bigint").alias("_n"),
-                         F.lit(None).cast("timestamp").alias("_first"))
-    counts = daily.select("user_id", "day", F.lit(1).alias("_kind"),
-                          F.lit(None).cast("timestamp").alias("snapshot_at"), "_n", "_first")
-    so_far = (Window.partitionBy("user_id").orderBy("day", "_kind")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = (marks.unionByName(counts)
-              .select("user_id", "snapshot_at", F.col("day").alias("snapshot_date"), "_kind",
-                      F.sum("_n").over(so_far).alias("_n_before"),
-                      F.min("_first").over(so_far).alias("_first_before"))
-              .filter(F.col("_kind") == 0).drop("_kind"))
-    # Same day: touches at or before the snapshot time on the snapshot's day.
-    s, t = snaps.alias("s"), touches.alias("t")
-    same_day = (s.join(t, (F.col("s.user_id") == F.col("t.user_id"))
-                       & (F.col("s.snapshot_date") == F.col("t.day"))
-                       & (F.col("t.first_at") <= F.col("s.snapshot_at")))
-                .groupBy(F.col("s.user_id").alias("user_id"), F.col("s.snapshot_at").alias("snapshot_at"))
-                .agg(F.count(F.lit(1)).alias("_n_same"), F.min("t.first_at").alias("_first_same")))
-    at_snapshots = (before.join(same_day, ["user_id", "snapshot_at"], "left")
-                    .select("user_id", "snapshot_at", "snapshot_date",
-                            F.least("_first_before", "_first_same").alias("first_event_at"),
-                            (F.coalesce(F.col("_n_before"), F.lit(0))
-                             + F.coalesce(F.col("_n_same"), F.lit(0))).cast("bigint")
-                            .alias("distinct_repos")))
+    users = stg_users.select(F.col("user_id").alias("actor_id")).distinct()
+    touches = first_touch(fct.join(users, "actor_id", "left_semi"))
+    line = touches.select(
+        F.col("actor_id").alias("user_id"), F.col("first_at").alias("at"), F.to_date("first_at").alias("day"),
+        F.lit(0).alias("snap"), F.col("first_at").alias("touch")).unionByName(
+        snaps.select("user_id", F.col("snapshot_at").alias("at"), F.col("snapshot_date").alias("day"),
+                     F.lit(1).alias("snap"), F.lit(None).cast("timestamp").alias("touch")))
+    in_day = Window.partitionBy("user_id", "day").orderBy("at", "snap")  # a touch at the snapshot's time counts
+    so_far = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marks = (line.withColumn("n", F.count("touch").over(so_far))
+             .withColumn("first", F.min("touch").over(so_far))
+             .withColumn("closes", F.lead("snap").over(in_day).isNull())
+             .filter((F.col("snap") == 1) | F.col("closes")))
+    number = F.datediff("day", F.lit("1970-01-01").cast("date"))
+    earlier = Window.partitionBy("user_id").orderBy("number").rangeBetween(Window.unboundedPreceding, -1)
+    totals = (marks.withColumn("number", number)
+              .withColumn("n_before", F.sum(F.when(F.col("closes"), F.col("n"))).over(earlier))
+              .withColumn("first_before", F.min(F.when(F.col("closes"), F.col("first"))).over(earlier))
+              .filter("snap = 1"))
+    at_snapshots = totals.select(
+        "user_id", F.col("at").alias("snapshot_at"), F.col("day").alias("snapshot_date"),
+        F.least("first_before", "first").alias("first_event_at"),
+        (F.coalesce("n_before", F.lit(0)) + F.col("n")).cast("bigint").alias("distinct_repos"))
     return _tier_columns(at_snapshots, new_days, core_repos, core_days)
 
 
-def contributor_tiers_direct(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_DAYS,
-                             core_repos: int = CORE_REPOS, core_days: int = CORE_DAYS) -> DataFrame:
-    """The literal form: left join every event at or before each snapshot, then
-    aggregate. Its join output grows as events x snapshots; kept only to check
-    the rewritten form on small inputs."""
-    s = user_snapshot_times(stg_users).alias("s")
-    e = fct.select("actor_id", "repo_id", "event_at").alias("e")
-    joined = s.join(e, (F.col("e.actor_id") == F.col("s.user_id"))
-                    & (F.col("e.event_at") <= F.col("s.snapshot_at")), "left")
-    agg = joined.groupBy("s.user_id", "s.snapshot_at", "s.snapshot_date").agg(
-        F.min("e.event_at").alias("first_event_at"),
-        F.count_distinct("e.repo_id").alias("distinct_repos"))
-    return _tier_columns(agg, new_days, core_repos, core_days)
-
-
-def _row_bytes(schema) -> int:
-    """Conservative in-memory width of one row (strings counted as 64 bytes)."""
-    widths = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4}
-    return 16 + sum(widths.get(f.dataType.typeName(), 64 if f.dataType.typeName() == "string" else 8)
-                    for f in schema.fields)
-
-
-def _broadcast_limit_bytes(spark) -> int:
-    """The session's broadcast size limit (``-1`` disables broadcasting)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    t = text.strip().lower().rstrip("b")
-    return int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t)
-
-
 def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
-               dim_columns: list[str], valid_from: str = "valid_from",
-               valid_to: str = "valid_to", prefix: str = "") -> DataFrame:
+               dim_columns: list[str], days: tuple[date, date], valid_from: str = "valid_from",
+               valid_to: str = "valid_to", prefix: str = "", span_days: int = 7,
+               small_dim: bool = False) -> DataFrame:
     """Left-join each fact row to the dimension version in force at its time:
     ``valid_from <= ts < valid_to`` (``valid_to`` null = open).
 
-    Versions of keys that occur in the fact are spread over the days they
-    cover -- clipped to the fact's own date range, read as one scalar subquery
-    -- and joined on (key, day); the half-open range then picks the
-    one version. A row therefore meets only the versions alive on its own day,
-    never all versions of its key, and a key with a third of all fact rows is
-    still split across its days (AQE splits a hot day further). The expanded
-    side holds at most (#keys x #days in the fact's window) + #versions rows.
-
-    Broadcast is decided by a measured size: the exact number of expanded rows
-    (one aggregate over the dimension) times the row width must fit under the
-    session's ``spark.sql.autoBroadcastJoinThreshold``. Catalyst cannot judge
-    this itself because its estimate ignores the explode's fan-out. Beyond the
-    limit the join is a sort-merge join on (key, day).
+    ``days`` is the fact's window (first and last day), which the caller knows from its
+    ``as_of``; it is cut into spans of ``span_days``. Each version is laid out once per span
+    it lives in, and rows meet the versions of their key and span; the half-open
+    range then picks the one version. Rows outside the window count to its first or last
+    span, as do versions, so ``days`` decides how work is spread and never the result. A key with a third of
+    all rows is split over its spans, and AQE splits a hot span further. The
+    laid-out side holds at most one row per version and span.
+
+    Building the frame starts no job and each side is read once. ``small_dim`` is the
+    caller's promise that versions times spans fit in memory: then that side is broadcast.
     """
-    spark = fact.sparkSession
-    fact_day = F.to_date(F.col(ts_col))
-    bounds = fact.select(F.struct(F.min(fact_day).alias("lo"), F.max(fact_day).alias("hi"))).scalar()
-
-    # Only keys that occur in the fact can match (a semi join on its distinct keys).
-    fact_keys = fact.select(key).distinct()
-
-    def spread_between(lo, hi):
-        start = F.to_date(F.col(valid_from))
-        end = F.coalesce(F.to_date(F.col(valid_to)), hi)
-        live = dim.filter((start <= hi) & (end >= lo)).join(fact_keys, key, "left_semi")
-        first_day, last_day = F.greatest(start, lo), F.least(end, hi)
-        cols = [c for c in dim_columns if c != key]
-        rows = live.select(
-            F.col(key).alias("_k"),
-            F.explode(F.sequence(first_day, last_day)).alias("_day"),
-            F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
-            *[F.col(c).alias(prefix + c) for c in cols])
-        return live, first_day, last_day, rows
-
-    live, first_day, last_day, spread = spread_between(bounds.getField("lo"), bounds.getField("hi"))
-    limit = _broadcast_limit_bytes(spark)
-    # One small job over the dimension (the fact's bounds come along as a
-    # scalar subquery): the expanded row count, and the bounds as literals.
-    stats = live.select((F.datediff(last_day, first_day) + 1).alias("_days"),
-                        bounds.alias("_b")).agg(
-        F.sum("_days").alias("n"), F.max("_b").alias("b")).first()
-    if stats["b"] is not None:
-        lo, hi = F.lit(stats["b"]["lo"]), F.lit(stats["b"]["hi"])
-        _, _, _, spread = spread_between(lo, hi)
-    fits = limit > 0 and (stats["n"] or 0) * _row_bytes(spread.schema) <= limit
-    spread = F.broadcast(spread) if fits else spread.hint("merge")
-    f = fact.withColumn("_fday", fact_day)
-    cond = ((f[key] == spread["_k"]) & (f["_fday"] == spread["_day"])
+    lo, hi = F.lit(days[0]), F.lit(days[1])
+    last = (days[1] - days[0]).days // span_days
+
+    def span(day):
+        return F.floor(F.datediff(F.least(F.greatest(day, lo), hi), lo) / span_days).cast("int")
+
+    until = F.when(F.col(valid_to).isNull(), F.lit(last)).otherwise(span(F.to_date(F.col(valid_to))))
+    spread = dim.select(
+        F.col(key).alias("_k"),
+        F.explode(F.sequence(span(F.to_date(F.col(valid_from))), until)).alias("_span"),
+        F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
+        *[F.col(c).alias(prefix + c) for c in dim_columns if c != key])
+    spread = F.broadcast(spread) if small_dim else spread.hint("merge")
+    f = fact.withColumn("_fspan", span(F.to_date(F.col(ts_col))))
+    cond = ((f[key] == spread["_k"]) & (f["_fspan"] == spread["_span"])
             & (spread["_from"] <= f[ts_col])
             & (spread["_to"].isNull() | (f[ts_col] < spread["_to"])))
-    joined = f.join(spread, cond, "left")
-    return joined.drop("_fday", "_k", "_day", "_from", "_to")
+    return f.join(spread, cond, "left").drop("_fspan", "_k", "_span", "_from", "_to")

@@ -35,21 +35,20 @@ def repo_health(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int
     repos = dim_repos_df.filter("is_current").select(
         "repo_id", "repo_full_name", "primary_language", "star_bucket", "stargazers_count",
         "is_archived", "repo_created_at")
-    by_actor = (_window(fct, as_of, days).join(_tracked_ids(dim_repos_df), "repo_id", "left_semi")
-                .groupBy("repo_id", "actor_id").agg(F.count(F.lit(1)).alias("events_by_actor")))
-    per_repo = by_actor.groupBy("repo_id").agg(
-        F.sum("events_by_actor").alias("events_90d"),
-        F.count("actor_id").alias("contributors_90d"),
-        F.max("events_by_actor").alias("top_contributor_events"))
-    j = repos.join(per_repo, "repo_id", "left")
+    shares = (_window(fct, as_of, days).join(_tracked_ids(dim_repos_df), "repo_id", "left_semi")
+              .groupBy("repo_id", "actor_id").agg(F.count(F.lit(1)).alias("n")))
+    activity = shares.groupBy("repo_id").agg(
+        F.sum("n").alias("events_90d"), F.count("actor_id").alias("contributors_90d"),
+        F.max("n").alias("most_by_one"))
+    j = repos.join(activity, "repo_id", "left")
     return j.select(
         "repo_id", "repo_full_name", "primary_language", "star_bucket", "stargazers_count",
         "is_archived",
         F.datediff(F.lit(as_of), F.to_date("repo_created_at")).alias("repo_age_days"),
         F.coalesce(F.col("events_90d"), F.lit(0)).cast("bigint").alias("events_90d"),
         F.coalesce(F.col("contributors_90d"), F.lit(0)).cast("bigint").alias("contributors_90d"),
-        F.round(safe_ratio("top_contributor_events", "events_90d"), 3).alias("top_contributor_share"),
-        bus_factor_label("events_90d", "top_contributor_events").alias("bus_factor_label"),
+        F.round(safe_ratio("most_by_one", "events_90d"), 3).alias("top_contributor_share"),
+        bus_factor_label("events_90d", "most_by_one").alias("bus_factor_label"),
     )
 
 
@@ -58,15 +57,14 @@ def language_trends(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days:
     """New contributors per (language, week): an actor is new to a language in
     the week of their first event on a current repo of that language.
 
-    ``min`` is decomposable, so events are first reduced to (actor, repo, first
-    date) with a partial aggregation; only those pairs meet the dimension.
+    Events meet the current repos with a language first, so only tracked repos' events
+    are grouped; ``min`` combines before the shuffle, so a hot actor or repo sends one
+    row per language from each task.
     """
     current = (dim_repos_df.filter(F.col("is_current") & F.col("primary_language").isNotNull())
                .select("repo_id", "primary_language"))
-    pairs = (_window(fct, as_of, days).groupBy("actor_id", "repo_id")
-             .agg(F.min("event_date").alias("first_date")))
-    first_seen = (pairs.join(current, "repo_id").groupBy("actor_id", "primary_language")
-                  .agg(F.min("first_date").alias("first_event_date")))
+    first_seen = (_window(fct, as_of, days).join(current, "repo_id")
+                  .groupBy("actor_id", "primary_language").agg(F.min("event_date").alias("first_event_date")))
     return (first_seen.groupBy(F.col("primary_language").alias("language"),
                                week_start("first_event_date", first_day).alias("week_start"))
             .agg(F.count(F.lit(1)).alias("new_contributors")))
@@ -76,20 +74,19 @@ def pr_velocity(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int
     """Per actor with two or more PR events on tracked repos: the first two PR
     times and the whole hours between them in days.
 
-    ``row_number() <= 2`` makes Spark add a partial ``WindowGroupLimit`` before
-    the shuffle, so a bot with millions of PR events sends two rows per task.
+    Keeping ranks up to 2 makes Spark add a partial ``WindowGroupLimit`` before the
+    shuffle, so a bot with millions of PR events sends two rows per task; the time after
+    the first is then the next row of the same window.
     """
-    prs = (_window(fct, as_of, days).filter(F.col("event_type") == "PullRequestEvent")
-           .join(_tracked_ids(dim_repos_df), "repo_id", "left_semi")
-           .select("actor_id", "event_at"))
-    in_order = Window.partitionBy("actor_id").orderBy("event_at")
-    first_two = (prs.withColumn("pr_num", F.row_number().over(in_order)).filter("pr_num <= 2")
-                 .groupBy("actor_id").agg(
-                     F.min(F.when(F.col("pr_num") == 1, F.col("event_at"))).alias("first_pr_at"),
-                     F.min(F.when(F.col("pr_num") == 2, F.col("event_at"))).alias("second_pr_at")))
-    return (first_two.filter(F.col("second_pr_at").isNotNull())
-            .select("actor_id", "first_pr_at", "second_pr_at",
-                    whole_hour_days("first_pr_at", "second_pr_at").alias("days_to_second_pr")))
+    opened = (_window(fct, as_of, days).filter(F.col("event_type") == "PullRequestEvent")
+              .join(_tracked_ids(dim_repos_df), "repo_id", "left_semi").select("actor_id", "event_at"))
+    by_time = Window.partitionBy("actor_id").orderBy("event_at")
+    starts = (opened.withColumn("place", F.row_number().over(by_time)).filter("place <= 2")
+              .withColumn("then", F.lead("event_at").over(by_time))
+              .filter((F.col("place") == 1) & F.col("then").isNotNull()))
+    return starts.select(
+        "actor_id", F.col("event_at").alias("first_pr_at"), F.col("then").alias("second_pr_at"),
+        whole_hour_days("event_at", "then").alias("days_to_second_pr"))
 
 
 # --- dashboard rollups (M19) -------------------------------------------------

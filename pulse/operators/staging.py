@@ -7,9 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default staging lookback (days) on a full build.
-FULL_LOOKBACK_DAYS = 95
-INCREMENTAL_LOOKBACK_DAYS = 3
+from pulse.streaming import windows
+
+#: Days staged by a full build.
+FULL_LOOKBACK_DAYS = windows.STAGING_WINDOW_DAYS
 
 EVENT_COLUMNS = ("event_id", "event_type", "event_at", "event_date", "actor_id", "actor_login",
                  "repo_id", "repo_full_name", "org_id", "org_login", "is_public")
@@ -19,8 +20,9 @@ def stage_events(raw: DataFrame, as_of: date, lookback_days: int = FULL_LOOKBACK
                  day_col: str = "dt") -> DataFrame:
     """Recent raw events -> one row per event id, 11 renamed columns.
 
-    The day filter is on the day-table column ``day_col`` when present, so a
-    day-partitioned source prunes whole directories (``PartitionFilters``).
+    The day filter is on the day-table column ``day_col``, so a day-partitioned
+    source prunes whole directories (``PartitionFilters``); a source without it
+    raises, since every day would be scanned.
     Only the struct subfields used are selected, so Parquet reads
     ``actor.id``/``actor.login``, not the whole structs. Duplicate ids keep the
     earliest copy; the remaining columns break ties so the pick is stable.
@@ -28,8 +30,9 @@ def stage_events(raw: DataFrame, as_of: date, lookback_days: int = FULL_LOOKBACK
     from this result always holds the whole day.
     """
     cutoff = F.date_sub(F.lit(as_of), lookback_days)
-    src = raw.filter(F.col(day_col) >= cutoff) if day_col in raw.columns else raw
-    src = src.select(
+    if day_col not in raw.columns:
+        raise ValueError(f"raw events need the day column {day_col!r}: without it the whole source is scanned")
+    src = raw.filter(F.col(day_col) >= cutoff).select(
         F.col("id"), F.col("type"), F.col("created_at"),
         F.col("actor.id").alias("actor_id"), F.col("actor.login").alias("actor_login"),
         F.col("repo.id").alias("repo_id"), F.col("repo.name").alias("repo_full_name"),
@@ -87,12 +90,14 @@ def stage_users(raw: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(df: DataFrame, key: str | list[str], order_col: str = "ingested_at") -> DataFrame:
-    """One current row per key: the row with the greatest ``order_col``.
+    """One current row per key: the row with the greatest ``order_col``; of several at
+    that time, the one whose columns hash highest, so reruns agree.
 
     ``row_number() = 1`` lets Spark insert a partial ``WindowGroupLimit`` before
     the shuffle, so each map task forwards only its latest row per key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    newest_first = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
+    newest_first = Window.partitionBy(*keys).orderBy(
+        F.col(order_col).desc(), F.xxhash64(*df.columns).desc())
     return (df.withColumn("_newest", F.row_number().over(newest_first))
             .filter("_newest = 1").drop("_newest"))

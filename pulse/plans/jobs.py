@@ -5,25 +5,36 @@ it (``dim_users``); weekly builds everything. Each step reads the previous
 step's *stored* table, so lineage is cut at every table and a lost executor
 only re-runs tasks of the current step. Tables live under ``cfg.root``, which
 must be shared storage on a cluster.
+
+A replaced table is written as a version, checked, and only then published; the
+day-partitioned event tables are checked after their refresh. An error-level failure raises
+``CheckFailed`` there and then: what depends on the failing table keeps its last good version.
 """
 
 from __future__ import annotations
 
+import threading
 import time as clock
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, datetime, time
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from pulse import schemas
-from pulse.operators import checks, dims, facts, history, marts, staging
+from pulse.operators import checks, declared, dims, facts, history, marts, staging
 from pulse.sources import ingest, tables
 from pulse.streaming import windows
 
 FACT_CLUSTER = ("repo_id", "event_type")
+RAW_EVENTS = StructType([*schemas.EVENTS.fields, StructField("dt", DateType())])
+_DAY = StructField("ingested_date", DateType())
+RAW_REPOS = StructType([*schemas.REPOS.fields, _DAY])
+RAW_USERS = StructType([*schemas.USERS.fields, _DAY])
 
 
 @dataclass
@@ -34,13 +45,16 @@ class PipelineConfig:
     raw_users: str                    # landed user snapshots
     as_of: date
     tier_params: dict = field(default_factory=dict)   # new_days, core_repos, core_days
+    now: datetime | None = None       # clock of the checks; the end of ``as_of`` if not given
+    lookback_days: int = windows.LOOKBACK_DAYS
+    full: bool = False                # rebuild the event tables over their whole windows
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-
-def _overwrite(df: DataFrame, path: str) -> None:
-    tables.replace_table(df, path)
+    @property
+    def clock(self) -> datetime:
+        return self.now or datetime.combine(self.as_of + timedelta(days=1), time())
 
 
 @contextmanager
@@ -52,13 +66,19 @@ def _step(timings: dict | None, name: str):
 
 
 def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,
-         user_docs: DataFrame | None, ingested_at) -> dict[str, int]:
-    """Land today's snapshot documents (already read with the document schemas)."""
+         user_docs: DataFrame | None, ingested_at, repo_targets: DataFrame | None = None,
+         user_targets: DataFrame | None = None) -> dict[str, int]:
+    """Land today's snapshot documents (already read with the document schemas). With a tracked
+    list (``full_name`` or ``login``, and ``enabled``) only documents of its enabled entries land."""
     out = {}
     if repo_docs is not None:
+        if repo_targets is not None:
+            repo_docs = ingest.only_tracked(repo_docs, repo_targets, "full_name")
         out["repos"] = ingest.land_repos(spark, repo_docs, ingested_at, cfg.raw_repos,
                                          cfg.raw_repos + "_rejects")
     if user_docs is not None:
+        if user_targets is not None:
+            user_docs = ingest.only_tracked(user_docs, user_targets, "login")
         out["users"] = ingest.land_users(spark, user_docs, ingested_at, cfg.raw_users,
                                          cfg.raw_users + "_rejects")
     return out
@@ -74,125 +94,131 @@ def _concurrently(*steps: Callable[[], object]) -> list:
         return [f.result() for f in [pool.submit(step) for step in steps]]
 
 
-def _daily_tables(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
-                  ) -> dict[str, str]:
-    status = {}
-    raw = spark.read.parquet(cfg.raw_events)
+class _Run:
+    """One run: builds, checks and publishes models, and keeps the check results."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig):
+        self.spark, self.cfg = spark, cfg
+        self.status: dict[str, str] = {}
+        self.results: list = []
+        self.lock = threading.Lock()
+
+    def read(self, name: str) -> DataFrame:
+        return tables.read(self.spark, self.cfg.path(name))
+
+    def raw_repos(self) -> DataFrame:
+        return tables.read(self.spark, self.cfg.raw_repos, RAW_REPOS)
+
+    def raw_users(self) -> DataFrame:
+        return tables.read(self.spark, self.cfg.raw_users, RAW_USERS)
+
+    def stg_users(self) -> DataFrame:
+        return staging.stage_users(self.raw_users())
+
+    def check(self, model: str, df: DataFrame) -> None:
+        """Check one model; its results are kept whether or not they stop the run."""
+        found = checks.summary(declared.declared(model, self.cfg.as_of, self.cfg.clock, self.stg_users),
+                               {model: lambda: df}).collect()
+        with self.lock:
+            self.results += found
+        checks.gate(found)
+
+    def replace(self, name: str, model: str, df: DataFrame) -> None:
+        """Write a version, check it, publish it."""
+        folder = tables.stage(df, self.cfg.path(name))
+        self.check(model, self.spark.read.parquet(folder))
+        tables.publish(self.spark, folder)
+        self.status[name] = "rebuilt"
+
+    def save_results(self) -> None:
+        if self.results:
+            tables.replace_table(self.spark.createDataFrame(self.results), self.cfg.path("check_results"))
+
+
+def _daily_tables(run: _Run, timings: dict | None) -> None:
+    spark, cfg = run.spark, run.cfg
 
     def events() -> None:
+        raw = tables.read(spark, cfg.raw_events, RAW_EVENTS)
         with _step(timings, "stg_events"):
-            status["stg_events"] = tables.refresh(
-                spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d),
-                cfg.as_of, windows.LOOKBACK_DAYS, windows.STAGING_WINDOW_DAYS, tiebreak="event_id")
+            run.status["stg_events"] = tables.refresh(
+                spark, cfg.path("stg_events"), lambda a, d: staging.stage_events(raw, a, d), cfg.as_of,
+                cfg.lookback_days, windows.STAGING_WINDOW_DAYS, tiebreak="event_id", full=cfg.full)
             tables.expire(spark, cfg.path("stg_events"), cfg.as_of, windows.STAGING_EXPIRY_DAYS)
-        stg = tables.read(spark, cfg.path("stg_events"))
+        stg = tables.read(spark, cfg.path("stg_events"), schemas.STORED_EVENTS)
+        run.check("stg_events", stg)
         with _step(timings, "fct_events"):
-            status["fct_events"] = tables.refresh(
+            run.status["fct_events"] = tables.refresh(
                 spark, cfg.path("fct_events"), lambda a, d: facts.fct_events(stg, a, d), cfg.as_of,
-                windows.LOOKBACK_DAYS, windows.FACT_WINDOW_DAYS, cluster_by=FACT_CLUSTER,
-                tiebreak="event_id")
+                cfg.lookback_days, windows.FACT_WINDOW_DAYS, cluster_by=FACT_CLUSTER, tiebreak="event_id",
+                full=cfg.full)
             tables.expire(spark, cfg.path("fct_events"), cfg.as_of, windows.FACT_EXPIRY_DAYS)
+        run.check("fct_events", fact(run))
 
     def repo_dims() -> None:
         with _step(timings, "dims"):
-            stg_repos = staging.stage_repos(tables.read(spark, cfg.raw_repos))
-            _overwrite(dims.dim_repos(stg_repos), cfg.path("dim_repos"))
-            _overwrite(dims.dim_languages(tables.read(spark, cfg.path("dim_repos"))),
-                       cfg.path("dim_languages"))
-
-    def calendar() -> None:
-        _overwrite(dims.dim_dates(spark), cfg.path("dim_dates"))
-
-    _concurrently(events, repo_dims, calendar)
-    fct = tables.read(spark, cfg.path("fct_events"))
-    dim_repos = tables.read(spark, cfg.path("dim_repos"))
+            run.check("raw_repos", run.raw_repos())
+            run.check("raw_users", run.raw_users())
+            stg_repos = staging.stage_repos(run.raw_repos())
+            run.check("stg_users", run.stg_users())
+            run.check("stg_repos", stg_repos)
+            run.replace("dim_repos", "dim_repos", dims.dim_repos(stg_repos))
+            run.replace("dim_languages", "dim_languages", dims.dim_languages(run.read("dim_repos")))
+
+    _concurrently(events, repo_dims)
+    fct, dim_repos = fact(run), run.read("dim_repos")
+    run.replace("dim_dates", "dim_dates", dims.dim_dates_covering(fct.select("event_date"), "event_date"))
     with _step(timings, "marts"):
         _concurrently(
-            lambda: _overwrite(marts.repo_health(dim_repos, fct, cfg.as_of),
-                               cfg.path("mart_repo_health")),
-            lambda: _overwrite(marts.language_trends(dim_repos, fct, cfg.as_of),
-                               cfg.path("mart_language_contributor_trends")),
-            lambda: _overwrite(marts.pr_velocity(dim_repos, fct, cfg.as_of),
-                               cfg.path("mart_pr_velocity")))
-    for s in ("stg_events", "fct_events", "dim_repos", "dim_languages", "dim_dates",
-              "mart_repo_health", "mart_language_contributor_trends", "mart_pr_velocity"):
-        status.setdefault(s, "rebuilt")
-    return status
-
-
-def _checks(spark: SparkSession, cfg: PipelineConfig, weekly: bool) -> list:
-    now = datetime.combine(cfg.as_of, time())
-    C = checks.Check
-    fct = tables.read(spark, cfg.path("fct_events"))
-    stg = tables.read(spark, cfg.path("stg_events"))
-    stg_users = staging.stage_users(tables.read(spark, cfg.raw_users))
-    stg_repos = staging.stage_repos(tables.read(spark, cfg.raw_repos))
-    dim_repos = tables.read(spark, cfg.path("dim_repos"))
-    health = tables.read(spark, cfg.path("mart_repo_health"))
-    recent = f"event_date >= date_sub(date'{cfg.as_of.isoformat()}', 7)"
-    out = [
-        (C("fct_event_keys_not_null", "fct_events", lambda d: checks.not_null(
-            d, "event_id", "event_type", "event_at", "event_date", "actor_id", "repo_id")), fct),
-        (C("fct_event_id_unique_7d", "fct_events", lambda d: checks.unique(d, "event_id"),
-           where=recent), fct),
-        (C("fct_event_type_accepted", "fct_events",
-           lambda d: checks.accepted_values(d, "event_type", schemas.EVENT_TYPES), "warn"), fct),
-        (C("fct_recency_48h", "fct_events", lambda d: checks.recency(d, "event_at", now, 48),
-           "warn"), fct),
-        (C("no_future_events", "stg_events",
-           lambda d: checks.no_future(d, "event_at", now, "event_id")), stg),
-        (C("repo_owner_is_user", "stg_repos",
-           lambda d: checks.relationships(d, "owner_id", stg_users, "user_id")), stg_repos),
-        (C("repo_snapshot_grain", "stg_repos",
-           lambda d: checks.unique(d, "repo_id", "ingested_at")), stg_repos),
-        (C("orgs_dont_follow", "stg_users", checks.orgs_dont_follow), stg_users),
-        (C("dim_repos_no_overlap", "dim_repos",
-           lambda d: checks.no_overlap(d, "dim_repos", "repo_id", "dim_repo_id")), dim_repos),
-        (C("bus_factor_label_accepted", "mart_repo_health",
-           lambda d: checks.accepted_values(d, "bus_factor_label", schemas.BUS_FACTOR_LABELS)),
-         health),
-    ]
-    if weekly:
-        dim_users = tables.read(spark, cfg.path("dim_users"))
-        tiers = tables.read(spark, cfg.path("int_user_contributor_tier_snapshots"))
-        out += [
-            (C("dim_users_no_overlap", "dim_users",
-               lambda d: checks.no_overlap(d, "dim_users", "user_id", "dim_user_id")), dim_users),
-            (C("tier_accepted", "int_user_contributor_tier_snapshots",
-               lambda d: checks.accepted_values(d, "contributor_tier", schemas.TIERS)), tiers),
-            (C("tier_grain", "int_user_contributor_tier_snapshots",
-               lambda d: checks.unique(d, "user_id", "snapshot_at")), tiers),
-        ]
-    return out
+            lambda: run.replace("mart_repo_health", "repo_health", marts.repo_health(dim_repos, fct, cfg.as_of)),
+            lambda: run.replace("mart_language_contributor_trends", "language_trends",
+                                marts.language_trends(dim_repos, fct, cfg.as_of)),
+            lambda: run.replace("mart_pr_velocity", "pr_velocity", marts.pr_velocity(dim_repos, fct, cfg.as_of)))
 
 
-def run_daily(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
-              ) -> dict[str, str]:
-    """Everything but the tier table and ``dim_users``; then the checks.
-    ``timings``, when given, receives wall seconds per step."""
-    status = _daily_tables(spark, cfg, timings)
-    with _step(timings, "checks"):
-        _overwrite(checks.summary(_checks(spark, cfg, weekly=False)), cfg.path("check_results"))
-    return status
-
-
-def run_weekly(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None
-               ) -> dict[str, str]:
-    """Everything, including the tier table (its own stored table, so
-    ``dim_users`` rebuilds read it instead of re-scanning the fact)."""
-    status = _daily_tables(spark, cfg, timings)
-    fct = tables.read(spark, cfg.path("fct_events"))
-    stg_users = staging.stage_users(tables.read(spark, cfg.raw_users))
+def fact(run: _Run) -> DataFrame:
+    return tables.read(run.spark, run.cfg.path("fct_events"), schemas.STORED_EVENTS)
+
+
+def _weekly_tables(run: _Run, timings: dict | None) -> None:
     with _step(timings, "tiers"):
-        _overwrite(history.contributor_tiers(stg_users, fct, **cfg.tier_params),
-                   cfg.path("int_user_contributor_tier_snapshots"))
-    tiers = tables.read(spark, cfg.path("int_user_contributor_tier_snapshots"))
+        run.replace("int_user_contributor_tier_snapshots", "contributor_tiers",
+                    history.contributor_tiers(run.stg_users(), fact(run), **run.cfg.tier_params))
     with _step(timings, "dim_users"):
-        _overwrite(dims.dim_users(stg_users, tiers), cfg.path("dim_users"))
-    status["int_user_contributor_tier_snapshots"] = status["dim_users"] = "rebuilt"
-    with _step(timings, "checks"):
-        _overwrite(checks.summary(_checks(spark, cfg, weekly=True)), cfg.path("check_results"))
-    return status
+        run.replace("dim_users", "dim_users",
+                    dims.dim_users(run.stg_users(), run.read("int_user_contributor_tier_snapshots")))
+
+
+def last_run(spark: SparkSession, cfg: PipelineConfig) -> date | None:
+    """Day of the newest completed run, None before the first."""
+    path = cfg.path("completed_runs")
+    return tables.read(spark, path).agg(F.max("as_of")).first()[0] if tables.exists(spark, path) else None
+
+
+def _run(spark: SparkSession, cfg: PipelineConfig, timings: dict | None, weekly: bool) -> dict[str, str]:
+    run = _Run(spark, cfg)
+    try:
+        _daily_tables(run, timings)
+        if weekly:
+            _weekly_tables(run, timings)
+    finally:
+        run.save_results()
+    before = last_run(spark, cfg)
+    newest = max(before, cfg.as_of) if before else cfg.as_of
+    tables.replace_table(spark.createDataFrame([(newest,)], "as_of date"), cfg.path("completed_runs"))
+    return run.status
+
+
+def run_daily(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None) -> dict[str, str]:
+    """Everything but the tier table and ``dim_users``, each model checked.
+    ``timings``, when given, receives wall seconds per step."""
+    return _run(spark, cfg, timings, weekly=False)
+
+
+def run_weekly(spark: SparkSession, cfg: PipelineConfig, timings: dict | None = None) -> dict[str, str]:
+    """Everything. User tiers are stored once a week, since they are the one model that reads
+    the fact's whole history; daily runs leave them and ``dim_users`` alone."""
+    return _run(spark, cfg, timings, weekly=True)
 
 
 # Stored model tables under the job root.
@@ -202,11 +228,28 @@ MODELS = ("stg_events", "fct_events", "dim_repos", "dim_languages", "dim_dates",
 
 
 def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
-    """Expose every built model as a temp view of the same name, so the marts
-    can be queried with ``spark.sql``. Returns the names registered."""
+    """Expose every built model, the staged snapshots and the dashboard panels as temp views, so
+    they can be queried with ``spark.sql``. Returns the names registered."""
     names = []
+
+    def view(name: str, df: DataFrame) -> None:
+        df.createOrReplaceTempView(name)
+        names.append(name)
+
     for name in MODELS:
         if tables.exists(spark, cfg.path(name)):
-            tables.read(spark, cfg.path(name)).createOrReplaceTempView(name)
-            names.append(name)
+            view(name, tables.read(spark, cfg.path(name)))
+    run = _Run(spark, cfg)
+    if tables.exists(spark, cfg.raw_repos):
+        view("stg_repos", staging.stage_repos(run.raw_repos()))
+    if tables.exists(spark, cfg.raw_users):
+        view("stg_users", run.stg_users())
+    for name, mart, panel in (
+            ("panel_trends", "mart_language_contributor_trends", marts.panel_trends),
+            ("panel_velocity_median", "mart_pr_velocity", marts.panel_velocity_median),
+            ("panel_velocity_hist", "mart_pr_velocity", marts.panel_velocity_hist),
+            ("panel_bus_factor", "mart_repo_health", marts.panel_bus_factor),
+            ("panel_characteristics", "mart_repo_health", marts.panel_characteristics)):
+        if mart in names:
+            view(name, panel(run.read(mart)))
     return names

@@ -10,15 +10,17 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse import DEFAULT_AS_OF, schemas
-from pulse.operators import checks, dims, facts, history, marts, staging
+from pulse.operators import checks, declared, dims, facts, history, marts, staging
+from pulse.plans import jobs
 from pulse.session import configure, shared_dir
 from pulse.sources import ingest, standins, tables
+from pulse.streaming import windows
 
 # Tier thresholds for the stand-in data. Its events span 30 days,
 # so the defaults (30 / 10 / 365) would make every tier "new".
@@ -28,9 +30,13 @@ TIER_CORE_DAYS = 24
 
 # The check clock, the simulated daily runs and the expiry run.
 CHECK_NOW = datetime(2024, 1, 31, 0, 0, 0)
+FLAWED_NOW = datetime(2024, 2, 5, 0, 0, 0)
+LANDED_AT = "2024-01-31 06:00:00"
+COLUMN_ADDED = date(2024, 1, 20)
+LATE_DAYS = (date(2024, 1, 20), date(2024, 1, 27))
 FIRST_DAILY_RUN = date(2024, 1, 28)
 EXPIRY_RUN = date(2024, 4, 15)
-FACT_CLUSTER = ("repo_id", "event_type")
+FACT_CLUSTER = jobs.FACT_CLUSTER
 
 
 class Inputs:
@@ -108,6 +114,18 @@ class Inputs:
     def pr_velocity(self) -> DataFrame:
         return marts.pr_velocity(self.dim_repos, self.fct, self.as_of)
 
+    @cached_property
+    def dim_languages(self) -> DataFrame:
+        return dims.dim_languages(self.dim_repos)
+
+    @cached_property
+    def dim_dates(self) -> DataFrame:
+        return dims.dim_dates_covering(self.fct, "event_date")
+
+    def model(self, name: str) -> DataFrame:
+        """A model by the name its checks are declared under."""
+        return getattr(self, {"fct_events": "fct", "contributor_tiers": "tiers"}.get(name, name))
+
     # -- stored tables (written under the cluster's shared checkpoint folder) --
 
     def scratch(self, name: str) -> str:
@@ -134,25 +152,25 @@ def daily_refreshes(i: Inputs, first_run: date = FIRST_DAILY_RUN) -> DataFrame:
         tables.refresh(i.spark, stg_path,
                        lambda a, d, src=arrived: staging.stage_events(src, a, d), run,
                        window_days=staging.FULL_LOOKBACK_DAYS, tiebreak="event_id")
-        staged = tables.read(i.spark, stg_path)
+        staged = tables.read(i.spark, stg_path, schemas.STORED_EVENTS)
         tables.refresh(i.spark, fct_path, lambda a, d, src=staged: facts.fct_events(src, a, d), run,
                        cluster_by=FACT_CLUSTER, tiebreak="event_id")
         run += timedelta(days=1)
-    return tables.read(i.spark, fct_path).select(*staging.EVENT_COLUMNS)
+    return tables.read(i.spark, fct_path, schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
 
 
-def expired_fact(i: Inputs, run: date = EXPIRY_RUN, days: int = facts.WINDOW_DAYS) -> DataFrame:
+def expired_fact(i: Inputs, run: date = EXPIRY_RUN, days: int = windows.FACT_WINDOW_DAYS) -> DataFrame:
     path = i.scratch("fct")
     i.write_fact(path)
     tables.expire(i.spark, path, run, days)
-    return tables.read(i.spark, path).select(*staging.EVENT_COLUMNS)
+    return tables.read(i.spark, path, schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
 
 
 def cloned_fact(i: Inputs) -> DataFrame:
     src, dst = i.scratch("fct"), i.scratch("fct_clone")
     i.write_fact(src)
     tables.clone_table(i.spark, src, dst, "event_date", FACT_CLUSTER, "event_id")
-    return tables.read(i.spark, dst).select(*staging.EVENT_COLUMNS)
+    return tables.read(i.spark, dst, schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
 
 
 def projected_repos(i: Inputs) -> DataFrame:
@@ -172,7 +190,81 @@ def landed_twice(i: Inputs) -> DataFrame:
     for _ in range(2):
         ingest.land_snapshots(projected_repos(i), f"{root}/repos", schemas.REPOS_REQUIRED, "id",
                               f"{root}/repos_rejects")
-    return tables.read(i.spark, f"{root}/repos")
+    return tables.read(i.spark, f"{root}/repos", jobs.RAW_REPOS)
+
+
+def landed_files(i: Inputs) -> str:
+    """Write the repo documents as NDJSON files (those of every twentieth repo without a full name),
+    read the files back, keep the tracked repos and land them. Returns the landing's folder."""
+    root = i.scratch("files")
+    docs = ingest.parse_documents(standins.repo_documents(i.spark, i.sf_dir), schemas.REPO_DOCUMENT)
+    nameless = F.when(F.col("id") % 20 != 3, F.col("full_name")).alias("full_name")
+    ingest.write_ndjson(docs.select(*[nameless if c == "full_name" else c for c in schemas.REPO_DOCUMENT.names], "dt"),
+                        f"{root}/docs")
+    read = ingest.read_documents(i.spark, f"{root}/docs", schemas.REPO_DOCUMENT)
+    ingest.land_repos(i.spark, read, LANDED_AT, f"{root}/repos", f"{root}/rejects")
+    return root
+
+
+def files_landed(i: Inputs) -> DataFrame:
+    targets = standins.repo_targets(i.spark, i.sf_dir)
+    landed = tables.read(i.spark, f"{landed_files(i)}/repos", jobs.RAW_REPOS)
+    return ingest.only_tracked(landed, targets, "full_name")
+
+
+def files_rejected(i: Inputs) -> DataFrame:
+    rejects = i.spark.read.schema("identifier string, reason string, ingested_date date").json(
+        f"{landed_files(i)}/rejects")
+    return rejects.select("identifier", "reason", "ingested_date")
+
+
+def seed_csv(i: Inputs) -> DataFrame:
+    """The raw repo snapshots written as a seed CSV and read back in the declared schema."""
+    path = i.scratch("seeds")
+    i.raw_repos.write.option("header", True).csv(path)
+    return ingest.read_seed_csv(i.spark, path, schemas.REPOS)
+
+
+def added_column(i: Inputs) -> DataFrame:
+    """Day partitions written before and after a column was added, read in the declared schema."""
+    path = i.scratch("added")
+    late = F.col("event_date") >= F.lit(COLUMN_ADDED)
+    tables.replace_partitions(i.stg_events.filter(~late).drop("org_login"), path, "event_date")
+    tables.replace_partitions(i.stg_events.filter(late), path, "event_date")
+    return tables.read(i.spark, path, schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
+
+
+def column_contract(i: Inputs) -> DataFrame:
+    """Columns in which raw repos with one column missing and one too many break their contract."""
+    broken = i.raw_repos.withColumn("stars", F.col("stargazers_count")).drop("stargazers_count")
+    return checks.schema_equals(broken, schemas.REPOS)
+
+
+def late_rows(i: Inputs) -> DataFrame:
+    """Two days that arrive late: the next run's lookback covers one of them, and the other
+    stays missing until a full rebuild."""
+    missed, caught = LATE_DAYS
+    on_time = i.raw_events.filter(~F.col("dt").isin(missed, caught))
+    path = i.scratch("late")
+    for source, run in ((on_time, caught + timedelta(days=2)), (i.raw_events, caught + timedelta(days=3))):
+        tables.refresh(i.spark, path, lambda a, d, src=source: facts.fct_events(
+            staging.stage_events(src, a, staging.FULL_LOOKBACK_DAYS), a, d), run,
+            cluster_by=FACT_CLUSTER, tiebreak="event_id")
+    return tables.read(i.spark, path, schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
+
+
+def weekly_job(i: Inputs, name: str) -> DataFrame:
+    """A stored table after the weekly job over landed raw tables, with all checks passed."""
+    root = i.scratch("job")
+    tables.replace_partitions(i.raw_events, f"{root}/raw_events", "dt")
+    ingest.land_snapshots(i.raw_repos, f"{root}/raw_repos", schemas.REPOS_REQUIRED)
+    ingest.land_snapshots(i.raw_users, f"{root}/raw_users", schemas.USERS_REQUIRED)
+    cfg = jobs.PipelineConfig(
+        root=f"{root}/out", raw_events=f"{root}/raw_events", raw_repos=f"{root}/raw_repos",
+        raw_users=f"{root}/raw_users", as_of=i.as_of, now=CHECK_NOW,
+        tier_params=dict(new_days=TIER_NEW_DAYS, core_repos=TIER_CORE_REPOS, core_days=TIER_CORE_DAYS))
+    jobs.run_weekly(i.spark, cfg)
+    return tables.read(i.spark, cfg.path(name))
 
 
 def freshness_report(i: Inputs) -> DataFrame:
@@ -185,80 +277,36 @@ def freshness_report(i: Inputs) -> DataFrame:
                                           CHECK_NOW, 25, 48)))
 
 
-def check_list(i: Inputs) -> list[tuple[checks.Check, Callable[[], DataFrame]]]:
-    """The pipeline's data-quality checks, each with a thunk for the model it
-    reads (so picking one check builds only that model's lineage)."""
-    C = checks.Check
-    recent = f"event_date >= date_sub(date'{i.as_of.isoformat()}', 7)"
-    event_keys = ("event_id", "event_type", "event_at", "event_date", "actor_id", "repo_id")
-    return [
-        (C("raw_event_id_unique", "raw_events", lambda d: checks.unique(d, "id"), "warn"),
-         lambda: i.raw_events),
-        (C("stg_event_keys_not_null", "stg_events",
-           lambda d: checks.not_null(d, *event_keys), "warn"),
-         lambda: i.stg_events),
-        (C("fct_event_keys_not_null", "fct_events", lambda d: checks.not_null(d, *event_keys)),
-         lambda: i.fct),
-        (C("fct_event_id_unique_7d", "fct_events", lambda d: checks.unique(d, "event_id"),
-           where=recent),
-         lambda: i.fct),
-        (C("fct_event_type_accepted", "fct_events",
-           lambda d: checks.accepted_values(d, "event_type", schemas.EVENT_TYPES), "warn"),
-         lambda: i.fct),
-        (C("repo_owner_is_user", "stg_repos",
-           lambda d: checks.relationships(d, "owner_id", i.stg_users, "user_id")
-           .select("repo_id", "owner_id", "ingested_at")),
-         lambda: i.stg_repos),
-        (C("repo_snapshot_grain", "stg_repos",
-           lambda d: checks.unique(d, "repo_id", "ingested_at")),
-         lambda: i.stg_repos),
-        (C("user_type_accepted", "stg_users",
-           lambda d: checks.accepted_values(d, "user_type", schemas.USER_TYPES)),
-         lambda: i.stg_users),
-        (C("fct_recency_48h", "fct_events",
-           lambda d: checks.recency(d, "event_at", CHECK_NOW, 48), "warn"),
-         lambda: i.fct),
-        (C("no_future_events", "stg_events",
-           lambda d: checks.no_future(d, "event_at", CHECK_NOW, "event_id")),
-         lambda: i.stg_events),
-        (C("orgs_dont_follow", "stg_users", checks.orgs_dont_follow),
-         lambda: i.stg_users),
-        (C("dim_repos_no_overlap", "dim_repos",
-           lambda d: checks.no_overlap(d, "dim_repos", "repo_id", "dim_repo_id")),
-         lambda: i.dim_repos),
-        (C("dim_users_no_overlap", "dim_users",
-           lambda d: checks.no_overlap(d, "dim_users", "user_id", "dim_user_id")),
-         lambda: i.dim_users),
-        (C("star_bucket_accepted", "dim_repos",
-           lambda d: checks.accepted_values(d, "star_bucket", schemas.STAR_BUCKETS)),
-         lambda: i.dim_repos),
-        (C("tier_accepted", "contributor_tiers",
-           lambda d: checks.accepted_values(d, "contributor_tier", schemas.TIERS)),
-         lambda: i.tiers),
-        (C("bus_factor_label_accepted", "repo_health",
-           lambda d: checks.accepted_values(d, "bus_factor_label", schemas.BUS_FACTOR_LABELS)),
-         lambda: i.repo_health),
-    ]
-
-
-def one_check(name: str) -> Callable[[Inputs], DataFrame]:
+def declared_checks(i: Inputs, now: datetime) -> list[checks.Check]:
+    return [c for model in declared.MODELS for c in declared.declared(model, i.as_of, now, lambda: i.stg_users)]
+
+
+def flawed_check(*names: str) -> Callable[[Inputs], DataFrame]:
+    """Offending rows of declared checks over flawed models (sound ones have none to find)."""
     def build(i: Inputs) -> DataFrame:
-        for check, model in check_list(i):
-            if check.name == name:
-                return check.offending(model())
-        raise KeyError(name)
+        picked = [c for c in declared_checks(i, FLAWED_NOW) if c.name in names]
+        return reduce(DataFrame.unionByName, [
+            c.offending(standins.flawed(c.model, i.model(c.model))) for c in picked])
     return build
 
 
+def _written(i: Inputs) -> None:
+    """Write the shared models, independent ones concurrently."""
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for f in [pool.submit(lambda name=n: getattr(i, name)) for n in ("stg_events", "dim_repos", "stg_users")]:
+            f.result()
+    i.tiers  # noqa: B018  (builds and writes the tier model)
+
+
 def all_checks(i: Inputs) -> DataFrame:
-    if i.checkpointed:
-        # The independent shared models are written concurrently, then the tiers.
-        with ThreadPoolExecutor(max_workers=3) as pool:
-            for f in [pool.submit(lambda name=n: getattr(i, name))
-                      for n in ("stg_events", "dim_repos", "stg_users")]:
-                f.result()
-        i.tiers  # noqa: B018  (builds and writes the tier model)
-    return checks.summary([(check, model()) for check, model in check_list(i)])
+    _written(i)
+    return checks.summary(declared_checks(i, CHECK_NOW), {m: lambda m=m: i.model(m) for m in declared.MODELS})
+
+
+def all_checks_flawed(i: Inputs) -> DataFrame:
+    _written(i)
+    return checks.summary(declared_checks(i, FLAWED_NOW), {
+        m: lambda m=m: standins.flawed(m, i.model(m)) for m in declared.MODELS})
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,8 +331,8 @@ QUERIES: dict[str, Query] = {
         "repo_id", "ingested_at", ["is_fork"], "version_id")),
     "contributor_tiers": _q(lambda i: i.tiers),
     "dim_users": _q(lambda i: i.dim_users),
-    "dim_languages": _q(lambda i: dims.dim_languages(i.dim_repos)),
-    "dim_dates": _q(lambda i: dims.dim_dates_covering(i.fct, "event_date")),
+    "dim_languages": _q(lambda i: i.dim_languages),
+    "dim_dates": _q(lambda i: i.dim_dates),
     "repo_health": _q(lambda i: i.repo_health),
     "language_trends": _q(lambda i: i.language_trends),
     "pr_velocity": _q(lambda i: i.pr_velocity),
@@ -295,7 +343,8 @@ QUERIES: dict[str, Query] = {
     "panel_characteristics": _q(lambda i: marts.panel_characteristics(i.repo_health)),
     "as_of_join": _q(lambda i: history.as_of_join(
         i.fct.select("event_id", "repo_id", "event_at"), i.dim_repos, "repo_id", "event_at",
-        ["dim_repo_id", "star_bucket", "is_archived", "is_current"])),
+        ["dim_repo_id", "star_bucket", "is_archived", "is_current"],
+        (i.as_of - timedelta(days=windows.FACT_WINDOW_DAYS), i.as_of))),
     "project_repos": _q(projected_repos),
     "project_users": _q(projected_users),
     "land_idempotent": _q(landed_twice),
@@ -304,17 +353,27 @@ QUERIES: dict[str, Query] = {
     "clone_table": _q(cloned_fact),
     "tracked_enabled": _q(lambda i: ingest.tracked(standins.repo_targets(i.spark, i.sf_dir))),
     "freshness": _q(freshness_report),
-    # Sixteen checks over nine models: the shared, shuffled ones are written once and read back.
+    "land_files": _q(files_landed),
+    "land_rejects": _q(files_rejected),
+    "seed_csv": _q(seed_csv),
+    "added_column": _q(added_column),
+    "column_contract": _q(column_contract),
+    "late_rows": _q(late_rows),
+    "job_weekly_health": _q(lambda i: weekly_job(i, "mart_repo_health")),
+    "job_weekly_users": _q(lambda i: weekly_job(i, "dim_users")),
+    "job_weekly_checks": _q(lambda i: weekly_job(i, "check_results")),
+    # Many checks over fourteen models: the shared, shuffled ones are written once and read back.
     "checks_summary": _q(all_checks, checkpointed=True),
-    "check_raw_event_id_unique": _q(one_check("raw_event_id_unique")),
-    "check_stg_event_keys_not_null": _q(one_check("stg_event_keys_not_null")),
-    "check_fct_event_id_unique_7d": _q(one_check("fct_event_id_unique_7d")),
-    "check_fct_event_type_accepted": _q(one_check("fct_event_type_accepted")),
-    "check_repo_owner_is_user": _q(one_check("repo_owner_is_user")),
-    "check_repo_snapshot_grain": _q(one_check("repo_snapshot_grain")),
-    "check_fct_recency_48h": _q(one_check("fct_recency_48h")),
-    "check_no_future_events": _q(one_check("no_future_events")),
-    "check_orgs_dont_follow": _q(one_check("orgs_dont_follow")),
-    "check_scd2_no_overlap": _q(lambda i: one_check("dim_repos_no_overlap")(i).unionByName(
-        one_check("dim_users_no_overlap")(i))),
+    "checks_summary_flawed": _q(all_checks_flawed, checkpointed=True),
+    "check_raw_event_id_unique": _q(lambda i: checks.unique(i.raw_events, "id")),
+    "check_stg_event_keys_not_null": _q(lambda i: i.stg_events.filter(checks.null_in(
+        "event_id", "event_type", "event_at", "event_date", "actor_id", "repo_id"))),
+    "check_fct_event_id_unique_7d": _q(flawed_check("fct_events_event_id_unique_7d")),
+    "check_fct_event_type_accepted": _q(flawed_check("fct_events_event_type_accepted")),
+    "check_repo_owner_is_user": _q(flawed_check("repo_owner_is_user")),
+    "check_repo_snapshot_grain": _q(flawed_check("stg_repos_repo_id_ingested_at_unique")),
+    "check_fct_recency_48h": _q(flawed_check("fct_recency_48h")),
+    "check_no_future_events": _q(flawed_check("no_future_events")),
+    "check_orgs_dont_follow": _q(flawed_check("orgs_dont_follow")),
+    "check_scd2_no_overlap": _q(flawed_check("dim_repos_no_overlap", "dim_users_no_overlap")),
 }

@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     BooleanType,
+    DateType,
     LongType,
     StringType,
     StructField,
@@ -107,6 +108,21 @@ EVENTS = StructType([
     StructField("public", BooleanType()),
 ])
 
+# Stored events (staged and fact): 11 columns, partitioned by event_date.
+STORED_EVENTS = StructType([
+    StructField("event_id", StringType()),
+    StructField("event_type", StringType()),
+    StructField("event_at", TimestampType()),
+    StructField("actor_id", LongType()),
+    StructField("actor_login", StringType()),
+    StructField("repo_id", LongType()),
+    StructField("repo_full_name", StringType()),
+    StructField("org_id", LongType()),
+    StructField("org_login", StringType()),
+    StructField("is_public", BooleanType()),
+    StructField("event_date", DateType()),
+])
+
 # Accepted event types (16).
 EVENT_TYPES = (
     "PushEvent", "PullRequestEvent", "IssuesEvent", "IssueCommentEvent",

@@ -9,6 +9,7 @@ bench; on a cluster, pass the session you already have to ``configure``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,16 +56,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for written tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set -- local tests -- a fresh scratch folder is created and
-    registered, so lineage cuts never land on a machine-local path on a cluster.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). A local
+    session without one gets a fresh scratch folder; anywhere else a missing setting is
+    an error, since every executor would write to a disk of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current.rstrip("/")
-    scratch = tempfile.mkdtemp(prefix="pulse-ckpt-")
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir().rstrip("/")
+    if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="pulse-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return (sc.getCheckpointDir() or current).rstrip("/")

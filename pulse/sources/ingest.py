@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -90,27 +89,33 @@ def land_snapshots(df: DataFrame, path: str, required: tuple[str, ...], identifi
 
     Re-landing a day replaces that day only -- dynamic partition overwrite --
     so running twice equals running once. Rows missing a required column go to
-    ``reject_path`` (written only when there are any). An empty batch raises
-    before writing: Spark's dynamic overwrite of nothing would silently keep
-    the old day. Returns the number of rows landed.
+    ``reject_path`` (written only when there are any). Returns the number of rows landed.
 
-    The batch is one day of entity snapshots (not events), so it is persisted
-    for the few passes landing needs (rows, rejects, count) and released after.
+    The batch is read once for the rows; counts and days are observed during that
+    write, and only a batch with rejects is read again for them. Days of which every
+    row is a reject keep what they held, and an empty batch changes nothing: both raise after the
+    rest has landed, so neither goes unreported.
     """
-    dated = df.withColumn(partition_col, F.to_date("ingested_at")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good, rejects = split_rejects(dated, required, identifier)
-        if good.isEmpty():
-            raise ValueError(f"refusing to land an empty batch into {path}")
-        tables.replace_partitions(good, path, partition_col)
-        landed_days = good.select(partition_col).distinct()
-        landed = (tables.read(df.sparkSession, path)
-                  .join(landed_days, partition_col, "left_semi").count())
-        if reject_path is not None and not rejects.isEmpty():
-            tables.replace_partitions(rejects, reject_path, partition_col, fmt="json")
-        return landed
-    finally:
-        dated.unpersist()
+    dated = df.withColumn(partition_col, F.to_date("ingested_at"))
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    seen = Observation()
+    watched = dated.observe(
+        seen, F.count(F.when(missing == "", 1)).alias("landed"), F.count(F.when(missing != "", 1)).alias("rejected"),
+        F.collect_set(F.when(missing == "", F.col(partition_col))).alias("days"),
+        F.collect_set(F.when(missing != "", F.coalesce(F.col(partition_col).cast("string"), F.lit("no day"))))
+        .alias("reject_days"))
+    good, _ = split_rejects(watched, required, identifier)
+    tables.replace_partitions(good, path, partition_col)
+    got = seen.get
+    if got["rejected"] and reject_path is not None:
+        _, rejects = split_rejects(dated, required, identifier)
+        tables.replace_partitions(rejects, reject_path, partition_col, fmt="json")
+    if not got["landed"]:
+        raise ValueError(f"refusing to land an empty batch into {path}")
+    lost = sorted(set(got["reject_days"]) - {d.isoformat() for d in got["days"]})
+    if lost:
+        raise ValueError(f"only rejected rows for {', '.join(lost)}: these days of {path} keep what they held")
+    return got["landed"]
 
 
 def land_repos(spark: SparkSession, docs: DataFrame, ingested_at, path: str,
@@ -148,6 +153,11 @@ def read_seeds(spark: SparkSession, repos_csv: str, users_csv: str) -> tuple[Dat
             read_seed_csv(spark, users_csv, schemas.USERS))
 
 
+def only_tracked(docs: DataFrame, targets: DataFrame, name: str) -> DataFrame:
+    """Documents of enabled targets only; the list and the documents share the column ``name``."""
+    return docs.join(tracked(targets).select(name).distinct(), name, "left_semi").select(*docs.columns)
+
+
 def tracked(targets: DataFrame, flag: str = "enabled") -> DataFrame:
     """Entities whose flag is true or missing (missing = enabled)."""
     return targets.filter(F.coalesce(F.col(flag), F.lit(True)))

@@ -195,3 +195,39 @@ def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return u.select(F.to_json(doc).alias("value"), "ingested_at",
                     F.to_date("ingested_at").alias("dt"))
+
+
+# What is wrong with the flawed models, in SQL that both engines read. By
+# model: columns replaced where a condition holds, and the condition of rows that come twice.
+_EVENT = "CAST(event_id AS BIGINT)"
+FLAWS: dict[str, tuple[dict[str, tuple[str, str]], str]] = {
+    "raw_repos": ({"id": ("id % 53 = 0", "NULL")}, "FALSE"),
+    "raw_users": ({"id": ("id % 47 = 0", "NULL")}, "FALSE"),
+    "stg_events": ({"event_type": (f"{_EVENT} % 30 = 7", "'UnknownEvent'"),
+                    "event_at": (f"{_EVENT} % 25 = 2", "event_at + INTERVAL 60 DAY")}, f"{_EVENT} % 40 = 1"),
+    "fct_events": ({"event_type": (f"{_EVENT} % 30 = 7", "'UnknownEvent'"),
+                    "event_id": (f"{_EVENT} % 307 = 3", "NULL")}, f"{_EVENT} % 40 = 1"),
+    "stg_repos": ({"owner_id": ("repo_id % 11 = 0", "owner_id + 1000000"),
+                   "is_fork": ("repo_id % 17 = 0", "NULL")}, "repo_id % 13 = 0"),
+    "stg_users": ({"following": ("user_id % 20 = 0", "CAST(3 AS BIGINT)"),
+                   "user_type": ("user_id % 19 = 7", "'Alien'")}, "user_id % 23 = 5"),
+    "dim_repos": ({"valid_to": ("repo_id % 7 = 0", "valid_to + INTERVAL 20 DAY"),
+                   "star_bucket": ("repo_id % 29 = 1", "'huge'")}, "repo_id % 31 = 2"),
+    "dim_users": ({"valid_to": ("user_id % 3 = 0", "NULL"),
+                   "contributor_tier": ("user_id % 13 = 1", "'expert'")}, "user_id % 17 = 3"),
+    "dim_languages": ({}, "language_name = 'lang_1'"),
+    "dim_dates": ({}, "day_of_month = 15"),
+    "contributor_tiers": ({"contributor_tier": ("user_id % 13 = 1", "'expert'")}, "user_id % 17 = 3"),
+    "repo_health": ({"bus_factor_label": ("repo_id % 37 = 0", "'unknown'")}, "repo_id % 41 = 1"),
+    "language_trends": ({}, "language = 'lang_2'"),
+    "pr_velocity": ({"days_to_second_pr": ("actor_id % 10 = 2", "NULL")}, "actor_id % 9 = 1"),
+}
+
+
+def flawed(model: str, df: DataFrame) -> DataFrame:
+    """``df``, a sound model, with the model's flaws spread over all its rows."""
+    changed, twice = FLAWS[model]
+    times = F.explode(F.expr(f"sequence(1, CASE WHEN {twice} THEN 2 ELSE 1 END)")).alias("_time")
+    return df.select(*[
+        F.expr(f"CASE WHEN {changed[c][0]} THEN {changed[c][1]} ELSE `{c}` END").alias(c) if c in changed else F.col(c)
+        for c in df.columns], times).drop("_time")

@@ -1,58 +1,114 @@
-"""Stored tables: partition-scoped overwrite, incremental refresh (M8),
-partition expiry (M9), clone (M21), and the fact's file layout (S14, S15).
-
-Tables are Parquet directories partitioned by a DATE column
-(``{path}/event_date=YYYY-MM-DD/``). Writes go through Spark's commit protocol,
-so a lost executor's task is retried and a failed job leaves the old table.
+"""Stored tables: versioned replacement, partition-scoped overwrite, incremental
+refresh (M8), partition expiry (M9), clone (M21), and the fact's file layout (S14, S15).
+
+A stored table is a folder of versions, ``{path}/v000001-<id>/``. Writing a version and
+publishing it are two steps: an empty marker ``_READY`` is created in the version once
+its job has committed, and readers take the newest version that has one. Nothing is
+deleted or renamed on the way, so a crash at any point leaves the previous version
+readable, and two runs never write to one folder. The version before the current one is
+kept for readers that still have it open; older ones are removed.
+
+Day-partitioned tables are refreshed inside their current version by dynamic
+partition overwrite, which Spark's commit protocol makes safe to retry. A plain
+folder without versions (raw day tables) reads as itself.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pulse.streaming import windows
 
 # Rows per output file: large sorted files, bounded so one hot day is split.
 MAX_RECORDS_PER_FILE = 5_000_000
+_READY = "_READY"
+# Tasks that the rows of one day and cluster key are spread over.
+TIE_BUCKETS = 4
 
 
 def _fs(spark: SparkSession, path: str):
     """Hadoop FileSystem for ``path`` (HDFS, object stores, local): PySpark has no
-    public wrapper, so the JVM gateway is used for listing, delete and rename."""
+    public wrapper, so the JVM gateway is used for listing, markers and delete."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _versions(spark: SparkSession, path: str, ready: bool = True) -> list[str]:
+    """Version folders of a table, oldest first."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("v0")]
+    jvm = spark.sparkContext._jvm
+    return sorted(v.getName() for v in found
+                  if not ready or fs.exists(jvm.org.apache.hadoop.fs.Path(v, _READY)))
+
+
+def location(spark: SparkSession, path: str) -> str:
+    """Folder that holds the table's current rows."""
+    current = _versions(spark, path)
+    return f"{path.rstrip('/')}/{current[-1]}" if current else path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table has a published version (or is a plain folder with rows)."""
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p)) and bool(fs.exists(p.suffix("/_SUCCESS")))
+    return bool(_versions(spark, path)) or (bool(fs.exists(p)) and not _versions(spark, path, ready=False))
+
 
+def read(spark: SparkSession, path: str, schema: StructType | None = None,
+         fmt: str = "parquet") -> DataFrame:
+    """Read a stored table. With the declared ``schema`` (partition column included), columns
+    that were added later read as null in older files, and no footer is read to find out."""
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(location(spark, path))
 
-def read(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a stored table; ``mergeSchema`` so appended columns read as null in
-    partitions written before them."""
-    return spark.read.format(fmt).option("mergeSchema", True).load(path)
+
+def stage(df: DataFrame, path: str, partition_col: str | None = None, fmt: str = "parquet") -> str:
+    """Write a new version that readers do not see yet; its folder."""
+    spark = df.sparkSession
+    numbers = [int(v[1:7]) for v in _versions(spark, path, ready=False)]
+    folder = f"{path.rstrip('/')}/v{max(numbers, default=0) + 1:06d}-{uuid.uuid4().hex[:8]}"
+    writer = df.write.format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if partition_col:
+        writer = writer.partitionBy(partition_col)
+    writer.save(folder)
+    return folder
+
+
+def publish(spark: SparkSession, folder: str) -> None:
+    """Make a staged version current; versions before the last one are removed."""
+    fs, p = _fs(spark, folder)
+    path = p.getParent()
+    jvm = spark.sparkContext._jvm
+    fs.create(jvm.org.apache.hadoop.fs.Path(p, _READY), True).close()
+    table = path.toString()
+    for old in _versions(spark, table)[:-2]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path, old), True)
 
 
 def layout(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...] = (),
            tiebreak: str | None = None) -> DataFrame:
-    """Range-partition on (day, cluster keys[, tiebreak]) and sort within tasks.
+    """Shuffle by (day, cluster keys[, tiebreak]) and sort within tasks.
 
-    Each task writes files for a contiguous key range of one or a few days, so
-    Parquet min/max statistics on the cluster keys are tight (row-group
-    skipping). The range bounds come from sampling; the tiebreak lets a single
-    hot cluster key still be split over several tasks.
+    Each task's files hold sorted runs of the cluster keys, so Parquet min/max statistics
+    let scans skip row groups. A hash needs no sampling pass over the input; the
+    tiebreak lets a single hot cluster key still be split over several tasks.
     """
     if not cluster_by and not tiebreak:
-        # A range on the day alone cannot split one day over several tasks.
         return df.sortWithinPartitions(partition_col)
     keys = [partition_col, *cluster_by] + ([tiebreak] if tiebreak else [])
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    spread = [partition_col, *cluster_by[:1]] + ([F.pmod(F.hash(tiebreak), F.lit(TIE_BUCKETS))] if tiebreak else [])
+    return df.repartition(*spread).sortWithinPartitions(*keys)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
@@ -65,56 +121,36 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str, fmt: str =
 
 def replace_table(df: DataFrame, path: str, partition_col: str | None = None,
                   fmt: str = "parquet") -> None:
-    """Replace the whole table, keeping the old one until the new one is complete.
-
-    A plain overwrite deletes the target before writing, so a failed job would
-    leave no table. Here the rows go to a sibling staging folder first; only
-    after that job has committed is the old folder removed and the staging
-    folder renamed into place.
-    """
-    spark = df.sparkSession
-    staging = path.rstrip("/") + "__staging"
-    writer = (df.write.mode("overwrite").format(fmt)
-              .option("partitionOverwriteMode", "static")
-              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
-    writer.save(staging)
-    fs, target = _fs(spark, path)
-    _, staged = _fs(spark, staging)
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(staged, target):
-        raise OSError(f"could not move {staging} to {path}")
-
-
-def rebuild(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
-    """Replace the whole partitioned table (see ``replace_table``)."""
-    replace_table(df, path, partition_col, fmt)
+    """Replace the whole table: a new version, published once it is complete."""
+    publish(df.sparkSession, stage(df, path, partition_col, fmt))
 
 
 def refresh(spark: SparkSession, path: str, build: Callable[[date, int], DataFrame], as_of: date,
             lookback_days: int = windows.LOOKBACK_DAYS, window_days: int = windows.FACT_WINDOW_DAYS,
             partition_col: str = "event_date",
-            cluster_by: tuple[str, ...] = (), tiebreak: str | None = None) -> str:
-    """Incremental refresh: if the table exists, recompute the last
-    ``lookback_days`` days and replace just those day partitions; otherwise
-    build the whole ``window_days`` window. ``build(as_of, days)`` returns the
-    rows with ``partition_col >= as_of - days``; rows older than that cutoff
-    are dropped again here so a replaced partition always holds a whole day.
-    Returns ``"incremental"`` or ``"full"``.
+            cluster_by: tuple[str, ...] = (), tiebreak: str | None = None,
+            full: bool = False) -> str:
+    """Incremental refresh: recompute the last ``lookback_days`` days and replace just
+    those day partitions. A table without any day partition (its first build), and any
+    table if ``full`` is given, is built over the whole ``window_days`` window instead.
+    ``build(as_of, days)`` returns the rows with ``partition_col >= as_of - days``; rows older
+    than that cutoff are dropped again here so a replaced partition always holds a
+    whole day. Returns ``"incremental"`` or ``"full"``.
     """
-    incremental = exists(spark, path)
+    incremental = not full and bool(partitions(spark, path, partition_col))
     window = windows.refresh_window(as_of, incremental, lookback_days, window_days)
     rows = build(as_of, window.days).filter(F.col(partition_col) >= F.lit(window.cutoff))
     rows = layout(rows, partition_col, cluster_by, tiebreak)
-    (replace_partitions if incremental else rebuild)(rows, path, partition_col)
+    if incremental:
+        replace_partitions(rows, location(spark, path), partition_col)
+    else:
+        replace_table(rows, path, partition_col)
     return "incremental" if incremental else "full"
 
 
 def partitions(spark: SparkSession, path: str, partition_col: str) -> list[str]:
     """Partition values present under ``path`` (directory listing, no data read)."""
-    fs, p = _fs(spark, path)
+    fs, p = _fs(spark, location(spark, path))
     if not fs.exists(p):
         return []
     prefix = f"{partition_col}="
@@ -130,7 +166,7 @@ def expire(spark: SparkSession, path: str, as_of: date, days: int,
     rewritten. Returns the dropped partition values.
     """
     cutoff = windows.expiry_cutoff(as_of, days).isoformat()
-    fs, root = _fs(spark, path)
+    fs, root = _fs(spark, location(spark, path))
     jvm = spark.sparkContext._jvm
     dropped = []
     for value in partitions(spark, path, partition_col):
@@ -143,4 +179,4 @@ def expire(spark: SparkSession, path: str, as_of: date, days: int,
 def clone_table(spark: SparkSession, src: str, dst: str, partition_col: str,
                 cluster_by: tuple[str, ...] = (), tiebreak: str | None = None) -> None:
     """Copy a stored table with its partitioning and layout, replacing ``dst``."""
-    rebuild(layout(read(spark, src), partition_col, cluster_by, tiebreak), dst, partition_col)
+    replace_table(layout(read(spark, src), partition_col, cluster_by, tiebreak), dst, partition_col)

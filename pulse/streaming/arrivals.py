@@ -2,10 +2,11 @@
 
 A file-source stream over the raw event day tables remembers, in its
 checkpoint, which files were already processed. Each time this runs it picks
-up only new files; for every day they belong to, in order, the daily job runs
-as of the following day -- exactly what a scheduler would have run, so missed
-runs are caught up and a crash mid-way resumes from the checkpoint (the daily
-job replaces whole partitions, so replaying a batch is harmless).
+up only new files and runs the daily job once: as of the day after the newest arrived
+day, but never before the last completed run, with the lookback stretched to the oldest
+arrived day. A late file therefore adds its rows without turning any table back, a backlog
+is one run, and a crash mid-way resumes from the checkpoint (the job replaces
+whole partitions, so replaying a batch is harmless).
 """
 
 from __future__ import annotations
@@ -31,16 +32,21 @@ def raw_event_stream(spark: SparkSession, path: str) -> DataFrame:
 def run_on_arrivals(spark: SparkSession, cfg: jobs.PipelineConfig, checkpoint: str,
                     run: Callable[[SparkSession, jobs.PipelineConfig], dict] = jobs.run_daily
                     ) -> list[str]:
-    """Run ``run`` once per newly arrived day (as of the next day); returns the
-    run dates. Only the distinct arrived days -- not rows -- reach the driver."""
+    """Run ``run`` once for what has arrived; returns the run's date, nothing if no file is
+    new. Only the first and last arrived day reach the driver."""
     done: list[str] = []
 
     def per_batch(batch: DataFrame, _epoch: int) -> None:
-        days = sorted(r["dt"] for r in batch.select("dt").distinct().collect())
-        for day in days:
-            as_of = day + timedelta(days=1)
-            run(spark, replace(cfg, as_of=as_of))
-            done.append(as_of.isoformat())
+        oldest, newest = batch.agg(F.min("dt"), F.max("dt")).first()
+        if newest is None:
+            return
+        as_of = newest + timedelta(days=1)
+        before = jobs.last_run(spark, cfg)
+        if before is not None:
+            as_of = max(as_of, before)
+        lookback = max(cfg.lookback_days, (as_of - oldest).days)
+        run(spark, replace(cfg, as_of=as_of, lookback_days=lookback))
+        done.append(as_of.isoformat())
 
     query = (raw_event_stream(spark, cfg.raw_events).select(F.col("dt"))
              .writeStream.foreachBatch(per_batch)

@@ -17,6 +17,8 @@ FACT_WINDOW_DAYS = 90
 STAGING_WINDOW_DAYS = 95
 FACT_EXPIRY_DAYS = 90
 STAGING_EXPIRY_DAYS = 100
+# Fixed value: days back that event ids are checked for repeats.
+UNIQUE_CHECK_DAYS = 7
 
 
 @dataclass(frozen=True)

@@ -4,16 +4,18 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
+from pulse.plans.oracle import ORACLE
+from pulse.plans.queries import QUERIES
 from pulse.plans.verify import compare
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle_sf0001(spark, name):
-    r = compare(spark, entry.queries()[name], entry.oracle_sql()[name], SF["0.001"])
+    r = compare(spark, QUERIES[name], ORACLE[name], SF["0.001"])
     assert r["ok"], r
 
 

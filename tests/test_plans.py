@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF
+from pulse.plans.queries import QUERIES
 from pulse.operators import history, staging
 from pulse.plans.inspect import count_shuffles, plan_text, plan_tree
 from pulse.sources import standins, tables
@@ -57,9 +58,9 @@ def test_stored_fact_filters_push_to_parquet(spark, scratch):
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_producing_joins_or_python(spark, name):
-    plan = plan_text(entry.queries()[name](spark, SF["0.001"]))
+    plan = plan_text(QUERIES[name](spark, SF["0.001"]))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     for python_exec in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "PythonUDF"):
         assert python_exec not in plan
@@ -72,17 +73,63 @@ def test_staging_dedup_limited_before_shuffle(spark, day_tables):
     assert "WindowGroupLimit" in below        # the partial limit runs map-side
 
 
-def test_as_of_join_broadcasts_only_under_measured_limit(spark):
-    q = entry.queries()["as_of_join"]
-    small = q(spark, SF["0.001"])
-    assert "BroadcastHashJoin LeftOuter" in plan_tree(small)
-    expected = sorted(map(tuple, small.collect()), key=repr)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
+def jobs_started(spark, build):
+    """Spark jobs that ``build`` starts."""
+    group = f"count-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        big = q(spark, SF["0.001"])
-        tree = plan_tree(big)
-        assert "SortMergeJoin LeftOuter" in tree and "BroadcastHashJoin LeftOuter" not in tree
-        assert sorted(map(tuple, big.collect()), key=repr) == expected
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_as_of_join_starts_no_job_and_reads_each_side_once(spark):
+    from pulse.plans import queries
+    i = queries.Inputs(spark, SF["0.001"])
+    made = []
+
+    def build():
+        for small in (False, True):
+            made.append(history.as_of_join(
+                i.fct.select("event_id", "repo_id", "event_at"), i.dim_repos, "repo_id", "event_at", ["star_bucket"],
+                (dt.date(2024, 1, 10), dt.date(2024, 1, 20)), small_dim=small))
+
+    i.fct, i.dim_repos  # noqa: B018
+    assert jobs_started(spark, build) == 0
+    tree = plan_text(made[0], "simple")
+    assert "SortMergeJoin" in tree and "LeftOuter" in tree and tree.count("FileScan parquet") == 2
+    assert "BroadcastHashJoin" in plan_text(made[1], "simple")
+    # A window smaller than the fact's days only changes how work is spread.
+    whole = entry.queries()["as_of_join"](spark, SF["0.001"]).select("event_id", "repo_id", "event_at", "star_bucket")
+    for df in made:
+        assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+
+
+def test_tiers_read_the_fact_once_for_snapshot_users(spark):
+    from pulse.plans import queries
+    i = queries.Inputs(spark, SF["0.001"])
+    fact = spark.createDataFrame(spark.sparkContext.parallelize(i.fct.limit(5).collect()), i.fct.schema)
+    users = i.stg_users.filter("user_id = 7")
+    tree = plan_text(history.contributor_tiers(users, fact), "simple")
+    lines = tree.splitlines()
+    assert sum("ExistingRDD" in line and "event_at" in line for line in lines) == 1
+    semi = next(k for k, line in enumerate(lines) if "LeftSemi" in line)
+    first_aggregate = max(k for k, line in enumerate(lines) if "partial_min(event_at" in line)
+    assert semi > first_aggregate        # deeper in the tree: before the aggregate
+
+
+def test_trends_meet_the_repos_before_the_aggregate(spark):
+    lines = plan_text(entry.queries()["language_trends"](spark, SF["0.001"]), "simple").splitlines()
+    aggregate = next(k for k, line in enumerate(lines) if "partial_min(event_date" in line)
+    join = next(k for k, line in enumerate(lines) if k > aggregate and "Join [repo_id" in line)
+    assert join > aggregate
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pulse.session import shared_dir
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))

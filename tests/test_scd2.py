@@ -1,11 +1,12 @@
-"""SCD2: the reference's three unit cases verbatim, our corner cases, and a
-property test over random snapshot histories."""
+"""SCD2: when a version opens, what it carries, corner cases, and a property test over
+random snapshot histories."""
 
 import datetime as dt
 import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pulse.operators.dims import dim_repos
 from pulse.operators.history import scd2
@@ -30,30 +31,39 @@ def versions(df, *cols):
                   key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
 
 
-def test_new_version_on_star_bucket_change(spark):
-    d = dim_repos(repos(spark, [(1, 50, False, "2026-03-01 00:00:00"),
-                                (1, 5000, False, "2026-04-01 00:00:00")]))
-    assert versions(d, "star_bucket", "valid_from", "valid_to", "is_current") == [
-        ("medium", T("2026-04-01 00:00:00"), None, True),
-        ("small", T("2026-03-01 00:00:00"), T("2026-04-01 00:00:00"), False)]
+def test_crossing_both_star_limits_opens_two_versions(spark):
+    d = dim_repos(repos(spark, [(41, 99, True, "2025-07-02 08:30:00"),
+                                (41, 100, True, "2025-07-09 08:30:00"),
+                                (41, 9999, True, "2025-07-16 08:30:00"),
+                                (41, 10000, True, "2025-07-23 08:30:00")]))
+    assert versions(d, "valid_from", "star_bucket", "valid_to") == [
+        (T("2025-07-02 08:30:00"), "small", T("2025-07-09 08:30:00")),
+        (T("2025-07-09 08:30:00"), "medium", T("2025-07-23 08:30:00")),
+        (T("2025-07-23 08:30:00"), "large", None)]
+    assert {r["valid_from"]: r["stargazers_count"] for r in d.collect()}[T("2025-07-09 08:30:00")] == 9999
 
 
-def test_unchanged_snapshots_collapse(spark):
-    d = dim_repos(repos(spark, [(2, 10, False, "2026-03-01 00:00:00"),
-                                (2, 20, False, "2026-03-02 00:00:00"),
-                                (2, 30, False, "2026-03-03 00:00:00")]))
-    assert versions(d, "star_bucket", "valid_from", "valid_to", "is_current") == [
-        ("small", T("2026-03-01 00:00:00"), None, True)]
-    # Type 1 columns come from the version's latest snapshot.
-    assert d.collect()[0]["stargazers_count"] == 30
+def test_other_columns_never_open_a_version(spark):
+    rows = [(42, 640 + 7 * k, False, f"2025-11-{k + 1:02d} 23:59:59") for k in range(12)]
+    d = dim_repos(repos(spark, rows).withColumn("primary_language", F.col("stargazers_count").cast("string")))
+    only, = d.collect()
+    assert (only["valid_from"], only["valid_to"], only["is_current"]) == (T("2025-11-01 23:59:59"), None, True)
+    assert (only["stargazers_count"], only["primary_language"]) == (717, "717")
 
 
-def test_new_version_on_archived_change(spark):
-    d = dim_repos(repos(spark, [(3, 5, False, "2026-03-01 00:00:00"),
-                                (3, 5, True, "2026-03-05 00:00:00")]))
-    assert versions(d, "is_archived", "valid_from", "valid_to", "is_current") == [
-        (False, T("2026-03-01 00:00:00"), T("2026-03-05 00:00:00"), False),
-        (True, T("2026-03-05 00:00:00"), None, True)]
+def test_unarchiving_opens_a_version_too(spark):
+    d = dim_repos(repos(spark, [(43, 20, True, "2024-02-28 00:00:00"), (43, 20, True, "2024-02-29 00:00:00"),
+                                (43, 20, False, "2024-03-01 00:00:00")]))
+    assert versions(d, "valid_from", "is_archived", "is_current") == [
+        (T("2024-02-28 00:00:00"), True, False), (T("2024-03-01 00:00:00"), False, True)]
+
+
+def test_snapshots_at_one_time_give_one_version(spark):
+    rows = [(44, 5, False, "2025-01-01 00:00:00"), (44, 50000, False, "2025-01-01 00:00:00"),
+            (44, 500, False, "2025-01-02 00:00:00")]
+    one, two = (sorted(map(tuple, dim_repos(repos(spark, r)).collect()), key=str) for r in (rows, rows[::-1]))
+    assert one == two and len({r[0] for r in one}) == len(one)
+    assert all(r[-2] is None or r[-3] < r[-2] for r in one)
 
 
 def test_a_b_a_gives_three_versions(spark):

@@ -24,10 +24,12 @@ def test_incremental_run_replaces_only_recent_days(spark, scratch):
     path = os.path.join(scratch, "fct")
     build = lambda a, d: facts.fct_events(staging.stage_events(raw, a, 95), a, d)
     assert tables.refresh(spark, path, build, AS_OF) == "full"
-    before = {p: os.path.getmtime(os.path.join(path, f"event_date={p}"))
+    folder = tables.location(spark, path)
+    before = {p: os.path.getmtime(os.path.join(folder, f"event_date={p}"))
               for p in tables.partitions(spark, path, "event_date")}
     assert tables.refresh(spark, path, build, AS_OF) == "incremental"
-    after = {p: os.path.getmtime(os.path.join(path, f"event_date={p}"))
+    assert tables.location(spark, path) == folder
+    after = {p: os.path.getmtime(os.path.join(folder, f"event_date={p}"))
              for p in tables.partitions(spark, path, "event_date")}
     changed = sorted(p for p in after if after[p] != before[p])
     assert changed == ["2024-01-28", "2024-01-29", "2024-01-30"]
@@ -54,7 +56,7 @@ def test_new_column_reads_null_in_old_partitions(spark, scratch):
     tables.replace_partitions(a, path, "d")
     b = spark.createDataFrame([(2, "new", dt.date(2024, 1, 2))], "x bigint, extra string, d date")
     tables.replace_partitions(b, path, "d")
-    rows = {r["x"]: r["extra"] for r in tables.read(spark, path).collect()}
+    rows = {r["x"]: r["extra"] for r in tables.read(spark, path, b.schema).collect()}
     assert rows == {1: None, 2: "new"}
 
 
@@ -67,9 +69,38 @@ def test_failed_rebuild_keeps_old_table(spark, scratch):
         F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
     with pytest.raises(Exception):
         tables.replace_table(bad, path)
-    assert spark.read.parquet(path).count() == 3
+    assert tables.read(spark, path).count() == 3
     tables.replace_table(spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5
+    assert tables.read(spark, path).count() == 5
+
+
+def test_refresh_goes_by_the_partitions(spark, scratch):
+    """Without the commit marker a table is still refreshed, and a full build is asked for."""
+    raw = standins.raw_events(spark, SF["0.001"])
+    path = os.path.join(scratch, "fct")
+    build = lambda a, d: facts.fct_events(staging.stage_events(raw, a, 95), a, d)
+    tables.refresh(spark, path, build, AS_OF)
+    os.remove(os.path.join(tables.location(spark, path), "_SUCCESS"))
+    assert tables.refresh(spark, path, build, AS_OF) == "incremental"
+    assert tables.refresh(spark, path, build, AS_OF, full=True) == "full"
+
+
+def test_unpublished_version_is_not_read(spark, scratch):
+    """A run that dies between writing a version and publishing it leaves the old one readable."""
+    path = os.path.join(scratch, "dim")
+    tables.replace_table(spark.range(3), path)
+    folder = tables.stage(spark.range(9), path)
+    assert tables.read(spark, path).count() == 3
+    tables.publish(spark, folder)
+    assert tables.read(spark, path).count() == 9
+    tables.replace_table(spark.range(4), path)
+    assert len([d for d in os.listdir(path) if d.startswith("v0")]) == 2
+
+
+def test_source_without_day_column_is_refused(spark):
+    import pytest
+    with pytest.raises(ValueError, match="day column"):
+        staging.stage_events(standins.raw_events(spark, SF["0.001"]).drop("dt"), AS_OF)
 
 
 def test_late_rows_within_lookback_picked_up_later_ones_wait_for_full_refresh(spark, scratch):

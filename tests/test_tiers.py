@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from conftest import SF
-from helpers import T, fct
+from helpers import contributor_tiers_direct, T, fct
 from pulse.operators import history, staging
 from pulse.sources import standins
 
@@ -72,7 +72,7 @@ def test_rewrite_equals_direct_join(spark, sf):
     u = staging.stage_users(standins.raw_users(spark, SF[sf]))
     kw = dict(new_days=5, core_repos=25, core_days=24)
     a = history.contributor_tiers(u, fct_df, **kw)
-    b = history.contributor_tiers_direct(u, fct_df, **kw)
+    b = contributor_tiers_direct(u, fct_df, **kw)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -88,5 +88,5 @@ def test_two_snapshots_same_day_split_by_time(spark):
                    "2025-06-01 20:00:00": (2, "2025-05-31 23:00:00"),
                    "2025-06-02 09:00:00": (2, "2025-05-31 23:00:00")}
     direct = {str(r["snapshot_at"]): r["distinct_repos"]
-              for r in history.contributor_tiers_direct(u, fct(spark, events)).collect()}
+              for r in contributor_tiers_direct(u, fct(spark, events)).collect()}
     assert direct == {k: v[0] for k, v in got.items()}
