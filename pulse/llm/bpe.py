@@ -12,12 +12,11 @@ the work is linear in the piece's length.
 
 from __future__ import annotations
 
-from itertools import chain
-
 import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 class Encoder:
     """Encodes and decodes by the ranks of one vocabulary file."""
 
-    def __init__(self, data: bytes, pattern: str = vocab.PATTERN):
+    def __init__(self, data: bytes):
         self.ranks = vocab.read_ranks(data)
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         self.automaton = ahocorasick.Automaton()
@@ -38,10 +37,10 @@ class Encoder:
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.length = [len(t) for t in self.bytes_of]
-        self.split = vocab.splitter(pattern)
+        self.sizes = np.array(self.length, dtype=np.int64)
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.fits: dict[int, bool] = {}
-        self.pieces: dict[str, tuple] = {}
-        self.units: dict[str, tuple] = {}
+        self.pieces = vocab.Memo(vocab.PIECE_ENTRIES)  # piece: ids as bytes
 
     def merged(self, data: bytes) -> list[int]:
         """The merges as defined: join the lowest-ranked neighbours until none is a token."""
@@ -58,7 +57,7 @@ class Encoder:
         key = left * len(self.bytes_of) + right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) >= vocab.MEMO_ENTRIES:
+            if len(self.fits) >= vocab.PIECE_ENTRIES:
                 self.fits.clear()
             both = self.bytes_of[left] + self.bytes_of[right]
             known = self.fits[key] = both not in self.ranks and self.merged(both) == [left, right]
@@ -97,36 +96,27 @@ class Encoder:
                 return tuple(self.merged(piece))
         return tuple(out)
 
-    def encode_pieces(self, text: str) -> tuple:
-        ids: list[int] = []
-        for piece in self.split(text):
-            known = self.pieces.get(piece)
-            if known is None:
-                if len(self.pieces) >= vocab.PIECE_ENTRIES:
-                    self.pieces.clear()
-                known = self.encode_piece(piece.encode())
-                if len(piece) <= 64:
-                    self.pieces[piece] = known
-            ids += known
-        return tuple(ids)
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        return [np.array([i for q in vocab.pieces_of(p) for i in self.encode_piece(q.encode())], dtype="<u4").tobytes()
+                for p in pieces]
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, start of each text's ids and their end)."""
+        pieces, index, starts = vocab.numbered_pieces(texts)
+        return vocab.laid_out(vocab.memoised(self.pieces, pieces, self.learn), index, starts, 4)
 
     def encode(self, text: str) -> list[int]:
-        parts = vocab.units(text)
-        if parts is None:
-            return list(self.encode_pieces(text))
-        if not parts:
-            return []
-        memo = self.units
-        if len(memo) >= vocab.MEMO_ENTRIES:
-            memo.clear()
-        for unit in set(parts).difference(memo):
-            memo[unit] = self.encode_pieces(" " + unit)
-        ids = list(self.encode_pieces(parts[0]))
-        ids += chain.from_iterable(map(memo.__getitem__, parts[1:]))
-        return ids
+        return self.encode_batch(pa.array([text]))[0].tolist()
+
+    def decode_batch(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The bytes that each run of ids stands for."""
+        data, ends = vocab.gathered(self.all_bytes, self.sizes, ids.astype(np.int64), starts)
+        return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [
+            None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        ids = np.array(ids, dtype=np.int64)
+        return self.decode_batch(ids, np.array([0, len(ids)]))[0].as_py()
 
 
 def _encoder(data: bytes) -> Encoder:
@@ -136,10 +126,8 @@ def _encoder(data: bytes) -> Encoder:
 _IDS = pa.list_(pa.int32())
 
 
-def _id_lists(lists: list[list[int]]) -> pa.Array:
-    ends = np.cumsum([0] + [len(x) for x in lists])
-    flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+def _id_lists(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
 def encode(docs: DataFrame, path: str = VOCABULARY, decoded: bool = False) -> DataFrame:
@@ -157,11 +145,11 @@ def encode(docs: DataFrame, path: str = VOCABULARY, decoded: bool = False) -> Da
     def run(batches):
         encoder = _encoder(shared.value)
         for batch in batches:
-            for part, found in common.texts(batch, step=256):
-                ids = [encoder.encode(t) for t in found]
-                columns = [part.column("doc_id"), _id_lists(ids)]
+            for part in common.parts(batch):
+                ids, starts = encoder.encode_batch(part.column("text"))
+                columns = [part.column("doc_id"), _id_lists(ids, starts)]
                 if decoded:
-                    columns.append([encoder.decode(x) for x in ids])
+                    columns.append(encoder.decode_batch(ids, starts).cast(pa.binary()))
                 yield common.out_batch(schema, *columns)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
@@ -178,8 +166,10 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     def run(batches):
         encoder = _encoder(shared.value)
         for batch in batches:
-            yield common.out_batch(schema, batch.column("doc_id"),
-                                   [encoder.decode(x or ()) for x in batch.column("ids").to_pylist()])
+            lists = batch.column("ids")
+            starts = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+            found = encoder.decode_batch(lists.flatten().to_numpy(), starts.astype(np.int64))
+            yield common.out_batch(schema, batch.column("doc_id"), found.cast(pa.binary()))
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, decoded binary")
 

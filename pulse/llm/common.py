@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,18 @@ def texts(batch: pa.RecordBatch, name: str = "text", step: int = 512) -> Iterato
         yield part, [t or "" for t in part.column(name).to_pylist()]
 
 
+def parts(batch: pa.RecordBatch, column: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each (one row at least), so that what is
+    made from texts at once stays small however long they are."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def out_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)],

@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import struct
 import uuid
-from itertools import chain
-
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -85,7 +83,7 @@ class ShardWriter:
         self.rest = np.empty(0, dtype=np.uint32)
         self.at = 0
 
-    def add(self, docs: list[int | None], lengths: list[int], ids: np.ndarray) -> None:
+    def add(self, docs: list[int | None], lengths, ids: np.ndarray) -> None:
         self.docs += docs
         self.starts += (self.starts[-1] + np.cumsum(lengths)).tolist()
         ids = np.concatenate([self.rest, ids])
@@ -155,7 +153,7 @@ def open_store(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class _TextIds:
-    """Ids of texts by the tokenizers library, memoised by unit and by piece as uint32 bytes.
+    """Ids of texts by the tokenizers library, memoised by piece as uint32 bytes.
 
     New pieces are encoded many to a text, with a special token between them that splits the
     text before anything else and marks where each piece's ids end.
@@ -171,43 +169,32 @@ class _TextIds:
         special = sorted(i for i, t in self.splitting.get_added_tokens_decoder().items() if t.special)
         self.mark_id = special[0] if special else None
         self.mark = self.splitting.id_to_token(self.mark_id) if special else None
-        self.split = vocab.splitter()
-        self.pieces: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.pieces = vocab.Memo(vocab.PIECE_ENTRIES)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def learn(self, units: set[str]) -> None:
-        """Encode units, each after a space, into the memos."""
-        split = [self.split(" " + u) for u in units]
-        pieces = self.pieces
-        new = list(set(chain.from_iterable(split)).difference(pieces))
-        odd = [p for p in new if self.mark is None or "<" in p]  # could form a special token's string
-        if odd:
-            pieces.update(zip(odd, self.whole(odd)))
-            new = [p for p in new if p not in pieces]
-        parts = [new[at: at + self._PIECES_A_TEXT] for at in range(0, len(new), self._PIECES_A_TEXT)]
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        # Odd texts, and pieces that could form a special token's string, are encoded as they are.
+        alone = [p for p in pieces if self.mark is None or "<" in p or vocab.pieces_of(p) != [p]]
+        found = dict(zip(alone, self.whole(["".join(vocab.pieces_of(p)) for p in alone])))
+        rest = [p for p in pieces if p not in found] if alone else pieces
+        parts = [rest[at: at + self._PIECES_A_TEXT] for at in range(0, len(rest), self._PIECES_A_TEXT)]
         joined = [self.mark + "".join([p + self.mark for p in part]) for part in parts]
-        for part, found in zip(parts, self.splitting.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(found.ids, dtype="<u4")
+        for part, got in zip(parts, self.splitting.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(got.ids, dtype="<u4")
             data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
-            pieces.update(zip(part, [data[a + 4: z] for a, z in zip(ends, ends[1:])]))
-        self.units.update(zip(units, [b"".join(map(pieces.__getitem__, s)) for s in split]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [vocab.units(t) for t in texts]
-        if len(self.units) >= vocab.MEMO_ENTRIES:
-            self.units.clear()
-        if len(self.pieces) >= vocab.PIECE_ENTRIES:
-            self.pieces.clear()
-        wanted = set(chain.from_iterable([p[1:] for p in split if p])).difference(self.units)
-        if wanted:
-            self.learn(wanted)
-        of_unit = self.units.__getitem__
-        firsts = self.whole([t if p is None else p[0] if p else "" for t, p in zip(texts, split)])
-        return [first + b"".join(map(of_unit, p[1:])) if p else first for first, p in zip(firsts, split)]
+            found.update(zip(part, [data[a + 4: z] for a, z in zip(ends, ends[1:])]))
+        return [found[p] for p in pieces]
+
+    def encode_batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id after it; start of each text's ids and their end)."""
+        pieces, index, starts = vocab.numbered_pieces(texts)
+        values = vocab.memoised(self.pieces, pieces, self.learn)
+        values.append(np.array([end_id], dtype="<u4").tobytes())
+        index = np.insert(index, starts[1:], len(values) - 1)
+        return vocab.laid_out(values, index, starts + np.arange(len(starts)), 4)
 
 
 def write_shards(docs: DataFrame, root: str, path: str = VOCABULARY, end_id: int = END_ID,
@@ -233,18 +220,14 @@ def write_shards(docs: DataFrame, root: str, path: str = VOCABULARY, end_id: int
         fs, at = open_store(root)
         final = f"{at}/ids-{number:06d}.bin"
         own = f"{final}.{task.taskAttemptId()}"
-        end = np.array([end_id], dtype="<u4").tobytes()
         writer = None
         for batch in batches:
-            for part, found in common.texts(batch, step=256):
-                if not found:
-                    continue
+            for part in common.parts(batch):
                 if writer is None:
                     sink = fs.open_output_stream(own)
                     writer = ShardWriter(sink, bits)
-                rows = [ids + end for ids in texts.encode(found)]
-                writer.add(part.column("doc_id").to_pylist(), [len(r) // 4 for r in rows],
-                           np.frombuffer(b"".join(rows), dtype="<u4"))
+                ids, starts = texts.encode_batch(part.column("text"), end_id)
+                writer.add(part.column("doc_id").to_pylist(), np.diff(starts), ids)
         if writer is not None:
             n_docs, n_ids = writer.close()
             sink.close()

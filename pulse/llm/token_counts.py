@@ -9,8 +9,10 @@ step a byte: no piece is built and no byte is read twice.
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 class Counter:
     """Numbers of greedy longest-match pieces, for a vocabulary with all single bytes."""
 
-    def __init__(self, data: bytes, pattern: str = vocab.PATTERN):
-        self.split = vocab.splitter(pattern)
-        self.units: dict[str, int] = {}
+    def __init__(self, data: bytes):
+        self.known = vocab.Memo(vocab.PIECE_ENTRIES)  # matches of the pattern: word pieces
         tokens = vocab.read_ranks(data)
         if any(bytes([b]) not in tokens for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes: some texts would have no pieces")
@@ -74,19 +75,17 @@ class Counter:
             node = fail[node]
         return count
 
+    def learn(self, matches: list[str]) -> list[int]:
+        return [sum([self.count_piece(q.encode()) for q in vocab.pieces_of(m)]) for m in matches]
+
+    def count_batch(self, texts: pa.Array) -> np.ndarray:
+        """Word pieces of each text."""
+        matches, index, starts = vocab.numbered_pieces(texts)
+        counts = np.array(vocab.memoised(self.known, matches, self.learn), dtype=np.int64)
+        return np.add.reduceat(counts[index], starts[:-1]) if len(starts) > 1 else counts
+
     def count(self, text: str) -> int:
-        parts = vocab.units(text)
-        if parts is None:
-            return sum(self.count_piece(p.encode()) for p in self.split(text))
-        if not parts:
-            return 0
-        memo = self.units
-        if len(memo) >= vocab.MEMO_ENTRIES:
-            memo.clear()
-        for unit in set(parts).difference(memo):
-            memo[unit] = sum(self.count_piece(p.encode()) for p in self.split(" " + unit))
-        return sum(self.count_piece(p.encode()) for p in self.split(parts[0])) + sum(
-            map(memo.__getitem__, parts[1:]))
+        return int(self.count_batch(pa.array([text]))[0])
 
 
 def token_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -104,9 +103,10 @@ def token_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     def run(batches):
         counter = vocab.once_per_worker("counts", shared.value, Counter)
         for batch in batches:
-            for part, found in common.texts(batch):
-                yield common.out_batch(schema, part.column("doc_id"), [counter.count(t) for t in found],
-                                       [len(t.encode()) for t in found])
+            for part in common.parts(batch):
+                texts = part.column("text")
+                yield common.out_batch(schema, part.column("doc_id"), counter.count_batch(texts),
+                                       pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_tokens long, n_bytes long")

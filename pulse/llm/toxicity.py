@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm import common, labelled, vocab
+from pulse.llm import common, labelled
 
 FOLDS, HELD_OUT = 3, 1
 CUT = 0.7
@@ -40,6 +40,8 @@ MIN_DOCS = 3
 SHORTEST, LONGEST = 3, 12
 #: Documents at the common rate that every gram is taken to have been found in besides.
 PRIOR_DOCS = 2.0
+#: Entries of a worker's memos of restored words and their evidence; results do not depend on it.
+MEMO_ENTRIES = 150_000
 _STRONGEST = 5
 _STEPS = (0.3, 0.5, 0.65, 0.78, 0.87, 0.93, 0.97)
 _FEATURES = len(_STEPS) + len(_STEPS[::2]) + 1
@@ -139,7 +141,7 @@ class Model:
         """Plain lower-case form of a token without white space; parts it falls into are joined by spaces."""
         known = self.restored.get(token)
         if known is None:
-            if len(self.restored) >= vocab.MEMO_ENTRIES // 2:
+            if len(self.restored) >= MEMO_ENTRIES:
                 self.restored.clear()
             known = self.restored[token] = self._restore(token.lower())
         return known
@@ -199,7 +201,7 @@ class Model:
     def known_weight(self, word: str) -> float:
         known = self.weights.get(word)
         if known is None:
-            if len(self.weights) >= vocab.MEMO_ENTRIES // 2:
+            if len(self.weights) >= MEMO_ENTRIES:
                 self.weights.clear()
             known = self.weights[word] = self.weight(word)
         return known

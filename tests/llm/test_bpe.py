@@ -51,7 +51,8 @@ def test_long_pieces(ours, theirs, text):
 
 
 def test_memo_limit_changes_nothing(data, theirs, monkeypatch):
-    monkeypatch.setattr(vocab, "MEMO_ENTRIES", 5)
+    monkeypatch.setattr(vocab, "PIECE_ENTRIES", 3)
+    monkeypatch.setattr(vocab.Memo, "_TURNS", 2)
     small = bpe.Encoder(data)
     text = "several words that fill the small memo many times over, again and again and again"
     for _ in range(5):
@@ -96,9 +97,9 @@ def test_counts_match_greedy_matching(data):
     rng = random.Random(9)
     for _ in range(1500):
         text = "".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 60)))
-        assert counter.count(text) == brute_count(tokens, counter.split, text), repr(text)
+        assert counter.count(text) == brute_count(tokens, vocab.splitter(), text), repr(text)
     for text in ("a" * 3000, " " * 999, "thethe" * 200):
-        assert counter.count(text) == brute_count(tokens, counter.split, text)
+        assert counter.count(text) == brute_count(tokens, vocab.splitter(), text)
 
 
 def test_counts_query(spark, data):
@@ -106,7 +107,7 @@ def test_counts_query(spark, data):
     docs = spark.read.parquet(f"{SF['0.001']}/documents.parquet").limit(40)
     rows = docs.collect()
     got = {r.doc_id: (r.n_tokens, r.n_bytes) for r in token_counts.token_counts(docs).collect()}
-    assert got == {r.doc_id: (brute_count(tokens, counter.split, r.text), len(r.text.encode())) for r in rows}
+    assert got == {r.doc_id: (brute_count(tokens, vocab.splitter(), r.text), len(r.text.encode())) for r in rows}
     odd = spark.createDataFrame([(1, None, 3), (1, "", 4), (None, "x y", 5)], "doc_id long, text string, n_tokens int")
     assert sorted((str(r.doc_id), r.n_tokens) for r in token_counts.token_counts(odd).collect()) == [
         ("1", 0), ("1", 0), ("None", 2)]
