@@ -45,11 +45,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; by their largest component first, so that no square over- or underflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _signatures(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """Each node once per table: ``(table, bucket, node, n, unit, signs)``; ``unit`` is its unit vector,
-    ``signs`` the buckets of all tables."""
+    """Each node once per table: ``(tab, bucket, node, n, x, signs)``; ``x`` is its vector as doubles, or
+    as floats where these hold it exactly, ``signs`` the buckets of all tables."""
     schema = pa.schema([("tab", pa.int32()), ("bucket", pa.int64()), ("node", pa.int64()), ("n", pa.int64()),
-                        ("unit", pa.binary()), ("signs", pa.binary())])
+                        ("x", pa.binary()), ("signs", pa.binary())])
     weights = (1 << np.arange(bits, dtype=np.int64))
 
     def run(batches):
@@ -59,23 +65,23 @@ def _signatures(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
             for dims in np.unique(sizes).tolist():  # vectors of other lengths never link: hash them apart
                 part = batch.take(pa.array(np.flatnonzero(sizes == dims)))
                 x = _matrix(part.column("x"))
-                # Scaled first, so that no square over- or underflows.
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
                 if dims not in planes:
                     planes[dims] = _planes(dims, bits, tables)
                 for at in range(0, len(x), 1024):
-                    unit = x[at: at + 1024]
+                    some = x[at: at + 1024]
+                    unit = _unit(some)
                     signs = ((unit @ planes[dims]) > 0).reshape(len(unit), tables, bits) @ weights
                     node = part.column("node").to_numpy()[at: at + 1024]
                     n = part.column("n").to_numpy()[at: at + 1024]
-                    rows = [u.tobytes() for u in unit]
+                    small = some.astype(np.float32)
+                    exact = (small == some).all(axis=1).tolist()
+                    rows = [(small[k] if fits else some[k]).tobytes() for k, fits in enumerate(exact)]
                     marks = [s.astype("<u4").tobytes() for s in signs]
                     for t in range(tables):
                         yield common.out_batch(schema, np.full(len(unit), t, np.int32),
                                                signs[:, t] + (np.int64(dims) << np.int64(32)), node, n, rows, marks)
 
-    return nodes.mapInArrow(run, "tab int, bucket long, node long, n long, unit binary, signs binary")
+    return nodes.mapInArrow(run, "tab int, bucket long, node long, n long, x binary, signs binary")
 
 
 _ROWS_AT_ONCE = 1024
@@ -124,11 +130,13 @@ def _links(cells: DataFrame, threshold: float) -> DataFrame:
             own = rows.column("own_chunk").to_numpy()
             lo, hi = rows.column("cell_lo").to_numpy(), rows.column("cell_hi").to_numpy()
             table = rows.column("tab").to_numpy()
-            units, signs = rows.column("unit").combine_chunks(), rows.column("signs").combine_chunks()
+            vectors, signs = rows.column("x").combine_chunks(), rows.column("signs").combine_chunks()
+            dims = rows.column("bucket").to_numpy() >> 32
             out: list[list] = [[], [], []]
             for g in np.flatnonzero(np.diff(starts) > 1).tolist():
                 a, z = int(starts[g]), int(starts[g + 1])
-                unit = np.frombuffer(b"".join(units[a:z].to_pylist())).reshape(z - a, -1)
+                unit = _unit(np.array([np.frombuffer(v, np.float32 if len(v) == 4 * dims[a] else np.float64)
+                                       for v in vectors[a:z].to_pylist()], dtype=np.float64))
                 marks = np.frombuffer(b"".join(signs[a:z].to_pylist()), "<u4").reshape(z - a, -1)
                 links, edges = _cell_links(unit, marks, int(table[a]), weight[a:z],
                                            own[a:z] if lo[a] != hi[a] else None, threshold)

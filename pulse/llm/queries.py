@@ -70,15 +70,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op7_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
             FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
             SELECT a.vec_id AS query_id, b.vec_id,
-                   CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
             FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 5
     """,
+    "op8_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        e AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+            WHERE list_inner_product(a.x, a.x) > 0 AND list_inner_product(b.x, b.x) > 0
+              AND list_inner_product(a.x, b.x)
+                  / (sqrt(list_inner_product(a.x, a.x)) * sqrt(list_inner_product(b.x, b.x))) >= 0.9),
+        reached(a, b) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, e.b FROM reached r JOIN e ON r.b = e.a)
+        SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM (
+            SELECT m.vec_id, min(r.b) AS component_id,
+                (SELECT count(*) FROM e WHERE e.a = m.vec_id) AS n_links
+            FROM embeddings m JOIN reached r ON r.a = m.vec_id GROUP BY m.vec_id)
+    """,
 }
