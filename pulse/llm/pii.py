@@ -27,11 +27,16 @@ PHONE = (r"(?<![\p{L}\p{N}+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{
          r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}([-.])\d{3}\1\d{4})" + _ENDS)
 IP = r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)"
 SSN = _ALONE + r"\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)"
+#: English month names.
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+          "November", "December")
+_MONTH = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ")"
+NAMED_DATE = _ALONE + rf"(?:\d{{1,2}} {_MONTH} \d{{4}}|{_MONTH} \d{{1,2}}, \d{{4}})" + _ENDS
 DATE = _ALONE + r"(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})" + _ENDS
 IBAN = _ALONE + r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})" + _ENDS
 CARD = _ALONE + r"(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})" + _ENDS
 CANDIDATE = "|".join(f"(?:{p})" for p in (EMAIL, PHONE.replace(r"([-.])", r"(?<sep>[-.])").replace(r"\1", r"\k<sep>"),
-                                           IP, DATE, SSN, CARD, IBAN))
+                                           IP, DATE, NAMED_DATE, SSN, CARD, IBAN))
 #: What every candidate holds; texts without it are passed by the full search.
 MAYBE = r"@|\d{2}|\d\.\d"
 
@@ -145,19 +150,33 @@ def _date(key, m):
     day = (f"case {shape} when 'ymd' then try_make_timestamp({part[0]}, {part[1]}, {part[2]}, 0, 0, 0) "
            f"when 'dmy' then try_make_timestamp({part[2]}, {part[1]}, {part[0]}, 0, 0, 0) "
            f"else try_make_timestamp({part[2]}, {part[0]}, {part[1]}, 0, 0, 0) end")
+    sep = f"regexp_extract({m}, '[-./]', 0)"
+    written = lambda at: (
+               f"date_format({at}, case {shape} "
+               f"when 'ymd' then concat('yyyy', {sep}, 'MM', {sep}, 'dd') "
+               f"when 'dmy' then concat('dd', {sep}, 'MM', {sep}, 'yyyy') "
+               f"else concat('MM', {sep}, 'dd', {sep}, 'yyyy') end)")
+    return _moved_day(key, f"cast({day} as date)", written)
+
+
+def _named_date(key, m):
+    # Day and month name, either first; names are short or whole.
+    named = f"regexp_extract({m}, '[A-Za-z]+', 0)"
+    month = f"if(length({named}) > 3, 'MMMM', 'MMM')"
+    shape = f"if({m} rlike '^[0-9]', concat('d ', {month}, ' yyyy'), concat({month}, ' d, yyyy'))"
+    return _moved_day(key, f"cast(try_to_timestamp({m}, {shape}) as date)", lambda at: f"date_format({at}, {shape})")
+
+
+def _moved_day(key, day, written):
+    """SQL of the day's pseudonym as ``written`` writes it; null if ``day`` is."""
     # A span of 100 years from 1930, 2030, ... has 36525 = 75 * 487 days with a leap century, else 36524 = 92 * 397.
     first = "make_date(1930 + 100 * cast(floor((year(day) - 1930) / 100) as int), 1, 1)"
     size_a = "if(datediff(add_months(first, 1200), first) = 36525, 75, 92)"
     size_b = "if(datediff(add_months(first, 1200), first) = 36525, 487, 397)"
     at = "datediff(day, first)"
     new = _numbers(key, "date", f"{at} div ({size_b})", f"{at} % ({size_b})", size_a, size_b)
-    sep = f"regexp_extract({m}, '[-./]', 0)"
-    written = (f"date_format(date_add(first, cast(v.a * ({size_b}) + v.b as int)), case {shape} "
-               f"when 'ymd' then concat('yyyy', {sep}, 'MM', {sep}, 'dd') "
-               f"when 'dmy' then concat('dd', {sep}, 'MM', {sep}, 'yyyy') "
-               f"else concat('MM', {sep}, 'dd', {sep}, 'yyyy') end)")
-    body = _let("first", first, _let("v", new, written))
-    return _let("day", f"cast({day} as date)", f"if(day is not null and year(day) between 130 and 9829, {body}, null)")
+    body = _let("first", first, _let("v", new, written(f"date_add(first, cast(v.a * ({size_b}) + v.b as int))")))
+    return _let("day", day, f"if(day is not null and year(day) between 130 and 9829, {body}, null)")
 
 
 def _card(key, m):
@@ -183,6 +202,7 @@ def pseudonym_sql(key: str, m: str = "m") -> str:
     return (f"case when {m} like '%@%' then {_email(key, m)} "
             f"when {m} rlike {_lit('^([0-9]{1,3}[.]){3}[0-9]{1,3}$')} then {_ip(key, m)} "
             f"when {m} rlike {_lit('^([0-9]{4}[-/][0-9]{2}[-/][0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$')} then {_date(key, m)} "
+            f"when {m} rlike {_lit('^([0-9]{1,2} [A-Z][a-z]+|[A-Z][a-z]+ [0-9]{1,2},) [0-9]{4}$')} then {_named_date(key, m)} "
             f"when {m} rlike {_lit('^[0-9]{3}-[0-9]{2}-[0-9]{4}$')} then {_ssn(key, m)} "
             f"when {m} rlike {_lit('^[+(]|^[0-9]{3}[-.][0-9]{3}[-.][0-9]{4}$')} then {_phone(key, m)} "
             f"when {m} rlike '^[A-Z]' then {_iban(key, m)} else {_card(key, m)} end")

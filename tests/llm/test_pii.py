@@ -57,6 +57,17 @@ def test_values_stay_valid_and_linked(spark):
         assert n == 1 and all(int(x) < 256 for x in text.split("."))
 
 
+def test_dates_with_month_names(spark):
+    (n, text), = run(spark, ["on 29 February 1984, Feb 29, 1984 and 1984-02-29; May 3, 2021 / 3 May 2021; 31 June 2000"])
+    assert n == 5 and text.endswith("; 31 June 2000")
+    whole, short, iso, a, b = re.search(
+        r"on (\d+ \w+ \d{4}), (\w+ \d+, \d{4}) and ([\d-]+); (\w+ \d+, \d{4}) / (\d+ \w+ \d{4});", text).groups()
+    day = dt.date.fromisoformat(iso)
+    assert whole == f"{day.day} {day:%B} {day.year}" and short == f"{day:%b} {day.day}, {day.year}"
+    assert dt.datetime.strptime(a[:3] + a[a.index(" "):], "%b %d, %Y") == dt.datetime.strptime(
+        re.sub(r"([A-Z][a-z]{2})[a-z]*", r"\1", b), "%d %b %Y")
+
+
 def test_one_to_one(spark):
     """Different values never share a pseudonym; equal ones always do."""
     days = [dt.date(2000, 1, 1) + dt.timedelta(k) for k in range(0, 3000)]
