@@ -66,7 +66,7 @@ def texts(batch: pa.RecordBatch, name: str = "text", step: int = 512) -> Iterato
         yield part, [t or "" for t in part.column(name).to_pylist()]
 
 
-def parts(batch: pa.RecordBatch, column: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def parts(batch: pa.RecordBatch, column: str = "text", size: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each (one row at least), so that what is
     made from texts at once stays small however long they are."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))

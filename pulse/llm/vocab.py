@@ -27,7 +27,7 @@ PATTERN = public_tokenizers.PATTERN
 #: Vocabulary files are a few MB; a larger one is refused rather than broadcast.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Entries a worker's memo of pieces holds; results do not depend on it.
-PIECE_ENTRIES = 600_000
+PIECE_ENTRIES = 300_000
 #: Longer pieces are not remembered.
 PIECE_CHARS = 64
 
