@@ -67,15 +67,15 @@ def test_reruns_agree_however_rows_are_split(spark):
 
 def test_expected_copies_are_kept(spark):
     """Over many seeds a document's mean copies come near its source's rate."""
-    df = spark.createDataFrame([(i, "w " * (1 + i % 3), "a" if i < 24 else "b") for i in range(60)], SCHEMA).cache()
-    runs = 14
+    df = spark.createDataFrame([(i, "w " * (1 + i % 3), "a" if i < 96 else "b") for i in range(240)], SCHEMA).cache()
+    runs = 4
     total = defaultdict(int)
     for seed in range(runs):
         for r in mixing.mix(df, seed=seed, leaf=16).where("source = 'b'").collect():
             total[r.size] += r.copies
             rate = r.target / r.source_size
     for size, copies in total.items():
-        assert copies / (12 * runs) == pytest.approx(rate, abs=0.2)
+        assert copies / (48 * runs) == pytest.approx(rate, abs=0.2)
 
 
 def test_repeated_rows_empty_table_and_clashing_columns(spark):
