@@ -76,6 +76,7 @@ def parts(batch: pa.RecordBatch, column: str = "text", size: int = 3 << 20) -> I
         to = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # idle workers keep no buffers
 
 
 def out_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
