@@ -21,7 +21,7 @@ _WORD = r"\p{L}\p{N}"
 _ALONE, _ENDS = rf"(?<![{_WORD}])", rf"(?![{_WORD}])"
 
 #: Candidates, most specific first. Look-behinds and possessive repeats keep the search linear.
-EMAIL = rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z0-9-]*[A-Za-z0-9]"
+EMAIL = rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]*[A-Za-z0-9])++"
 PHONE = (r"(?<![\p{L}\p{N}+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
          r"|\+[2-9]\d{7,14}|\+[2-9]\d{0,2}(?:[ .-](?:\(\d{2,4}\)|\d{2,8})){1,5}"
          r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}([-.])\d{3}\1\d{4})" + _ENDS)

@@ -101,6 +101,13 @@ def test_invalid_values_and_other_text_stay(spark, text):
     assert run(spark, [text]) == [(0, text)]
 
 
+def test_addresses_before_full_stops(spark):
+    ends = [". Next", ".", "... ok", ".)", ".\nNext", ", x", ""]
+    out = run(spark, [f"Mail bob@mail.example.com{end}" for end in ends])
+    local = out[0][1][5:8]
+    assert local != "bob" and out == [(1, f"Mail {local}@mail.example.com{end}") for end in ends]
+
+
 def test_keys_differ(spark):
     assert run(spark, ["born 1984-02-29"]) != run(spark, ["born 1984-02-29"], key="another")
 
