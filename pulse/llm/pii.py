@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses.
 
-Candidates are found by pattern and validated (check digits, ranges, the calendar); what
-does not validate stays as it is. A valid value is permuted by a keyed Feistel network within
+Candidates are found by pattern and validated (check digits, ranges, the calendar). A text with
+one that does not validate gets a second look at every place and length that a value may have in it; what
+does not validate then stays as it is. A valid value is permuted by a keyed Feistel network within
 its own format: digits become digits in the same places, check digits are made right again, dates
 stay dates of their century. The permutation depends on the key and the value alone, so equal
 values -- also when written with other separators -- have equal pseudonyms in all
@@ -22,9 +23,38 @@ _ALONE, _ENDS = rf"(?<![{_WORD}])", rf"(?![{_WORD}])"
 
 #: Candidates, most specific first. Look-behinds and possessive repeats keep the search linear.
 EMAIL = rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]*[A-Za-z0-9])++"
-PHONE = (r"(?<![\p{L}\p{N}+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}"
-         r"|\+[2-9]\d{7,14}|\+[2-9]\d{0,2}(?:[ .-](?:\(\d{2,4}\)|\d{2,8})){1,5}"
-         r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}([-.])\d{3}\1\d{4})" + _ENDS)
+#: A group after a space that begins a value of its own is not taken into a phone or card number.
+_OTHER = (r"(?!\d{4}[-/]\d{1,2}[-/]\d{1,2}(?!\d)|\d{1,2}[./]\d{1,2}[./]\d{4}(?!\d)|(?:\d{1,3}\.){3}\d|\d{3}-\d{2}-\d{4}(?!\d)"
+          r"|\d{3}[-.]\d{3}[-.]\d{4}(?!\d)|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d"
+          r"|\d{1,2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]* \d{4}(?!\d))")
+#: Digits of national numbers (least, most) by country code; others are found by groups alone.
+PLANS = {
+    (8, 8): "45 47 53 65 370 371 386 852 853", (7, 7): "354", (7, 8): "372", (8, 9): "32 36 51 66 213 353 359 381 385 886 966 971 972",
+    (9, 9): "27 31 33 34 40 41 48 56 61 93 94 212 233 254 351 380 420 421", (9, 10): "44 81 84 92", (8, 10): "20 60 63 64 82 234",
+    (10, 10): "7 30 52 57 58 90 91 880", (10, 11): "54 55 86", (8, 12): "62~", (7, 10): "46~ 95~", (6, 11): "39~ 49~ 352~ 358~", (6, 13): "43~",
+}
+#: Numbers of open plans have no fixed length: six digits in a row end them, as does a short group after five.
+_OPEN = r"(?:[.-]| (?<!\d{6} )(?:(?<!\d{5} )|(?=\d{3}))" + _OTHER + ")"
+_CLOSED = r"(?:[.-]| " + _OTHER + ")"
+
+
+def _plan(codes: list[str], least: int, most: int, sep: str) -> str:
+    return (rf"\+(?:{'|'.join(codes)})(?:{sep}?\(?\d(?:\)(?={sep}?\d))?){{{least},{most}}}" + _ENDS) if codes else "(?!)"
+
+
+NATIONAL = "|".join(
+    [r"\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}" + _ENDS, r"\+[2-9]\d{7,14}" + _ENDS]
+    + [_plan([c for c in codes.split() if "~" not in c], *size, _CLOSED) for size, codes in PLANS.items()]
+    + [_plan([c[:-1] for c in codes.split() if "~" in c], *size, _OPEN) for size, codes in PLANS.items() if "~" in codes])
+
+
+def _grouped(repeat: str) -> str:
+    return r"\+[2-9]\d{0,2}(?:" + _OPEN + r"(?:\(\d{2,4}\)|\d{2,8}))" + repeat + _ENDS
+
+
+_NOT_AFTER = r"(?<![\p{L}\p{N}+])"
+LOCAL = r"(?:\(\d{3}\) ?\d{3}-\d{4}|\d{3}(?<sep>[-.])\d{3}\k<sep>\d{4})" + _ENDS
+PHONE = _NOT_AFTER + f"(?:{NATIONAL}|{_grouped('{1,5}')}|{LOCAL})"
 IP = r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)"
 SSN = _ALONE + r"\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)"
 #: English month names.
@@ -33,10 +63,41 @@ MONTHS = ("January", "February", "March", "April", "May", "June", "July", "Augus
 _MONTH = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ")"
 NAMED_DATE = _ALONE + rf"(?:\d{{1,2}} {_MONTH} \d{{4}}|{_MONTH} \d{{1,2}}, \d{{4}})" + _ENDS
 DATE = _ALONE + r"(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})" + _ENDS
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _country(n: int, codes: str) -> str:
+    groups, last = divmod(n - 4, 4)
+    spaced = rf"(?: [A-Z0-9]{{4}}){{{groups}}}" + (rf" [A-Z0-9]{{{last}}}" if last else "")
+    return rf"(?:{codes.replace(' ', '|')})\d{{2}}(?:{spaced}|[A-Z0-9]{{{n - 4}}})"
+
+
+COUNTRY_IBAN = _ALONE + "(?:" + "|".join(_country(n, codes) for n, codes in IBAN_LENGTHS.items()) + ")" + _ENDS
 IBAN = _ALONE + r"[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})" + _ENDS
-CARD = _ALONE + r"(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})" + _ENDS
-CANDIDATE = "|".join(f"(?:{p})" for p in (EMAIL, PHONE.replace(r"([-.])", r"(?<sep>[-.])").replace(r"\1", r"\k<sep>"),
-                                           IP, DATE, NAMED_DATE, SSN, CARD, IBAN))
+_GAP = "(?:-| " + _OTHER + ")"
+#: A year before a card of four groups of four is not its first group.
+CARD = (_ALONE + r"(?!(?:19|20)\d{2} \d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}(?!\d))(?:\d{4}@\d{4}@\d{4}@\d{1,7}|\d{4}@\d{6}@\d{5}|\d{13,19})"
+        .replace("@", _GAP) + _ENDS)
+_KINDS = (PHONE, IP, DATE, NAMED_DATE, SSN, CARD, COUNTRY_IBAN, IBAN)
+CANDIDATE = "|".join(f"(?:{p})" for p in (EMAIL, *_KINDS))
+
+#: Where a candidate may start, for the second look at texts with one that does not validate.
+_START = (rf"(?<![{_WORD}])(?=\d|\+\d|\(\d|[A-Z]{{2}}\d{{2}}|{_MONTH} \d)")
+#: What may stand at a start, by its first character; the first that validates counts.
+_AT_SIGN = (PHONE, *(_NOT_AFTER + _grouped("{%d}" % k) for k in (4, 3, 2, 1)))
+_AT_DIGIT = (PHONE, IP, DATE, NAMED_DATE, SSN, CARD, *(_ALONE + p.replace("@", "[ -]") + _ENDS for p in (
+    r"\d{4}@\d{4}@\d{4}@\d{4}@\d{1,3}", r"\d{4}@\d{4}@\d{4}@\d{4}", r"\d{4}@\d{6}@\d{4}", r"\d{4}@\d{6}@\d{5}")))
+_AT_LETTER = (NAMED_DATE, COUNTRY_IBAN, IBAN, *(
+    _ALONE + r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){%d}%s" % (k, last) + _ENDS
+    for k in (7, 6, 5, 4, 3, 2) for last in (" [A-Z0-9]{1,3}", "")))
+#: Pieces and characters that a candidate other than an address may span.
+_PIECES, _SPAN = 40, 120
 #: What every candidate holds; texts without it are passed by the full search.
 MAYBE = r"@|\d{2}|\d\.\d"
 
@@ -208,6 +269,40 @@ def pseudonym_sql(key: str, m: str = "m") -> str:
             f"when {m} rlike '^[A-Z]' then {_iban(key, m)} else {_card(key, m)} end")
 
 
+def _second_look(key: str, text: str) -> str:
+    """SQL of ``struct(text, n)``: ``text`` with pseudonyms and their number, where every place that a
+    candidate may start at is tried, in order, with every length that it may have there.
+
+    Each line is cut around its addresses, and what is between them into pieces at those places.
+    """
+    def options(patterns):
+        return "array(" + ", ".join(f"regexp_extract(w, {_lit('(?s)^.(' + p + ')')}, 1)" for p in patterns) + ")"
+
+    tried = (f"case when substr(w, 2, 1) rlike '[0-9]' then {options(_AT_DIGIT)} "
+             f"when substr(w, 2, 1) rlike '[+(]' then {options(_AT_SIGN)} "
+             f"when substr(w, 2, 1) rlike '[A-Z]' then {options(_AT_LETTER)} else array('') end")
+    valid = (f"try_element_at(filter(transform(filter({tried}, o -> o <> ''), m -> "
+             f"named_struct('size', length(m), 'new', {pseudonym_sql(key)})), s -> s.new is not null), 1)")
+    window = (f"concat(if(i = 0, if(at = 0, '\\n', 'x'), right(pieces[i - 1], 1)), "
+              f"left(array_join(slice(pieces, i + 1, {_PIECES}), ''), {_SPAN}))")
+    found = f"transform(pieces, (piece, i) -> named_struct('piece', piece, 'hit', {_let('w', window, valid)}))"
+    step = ("case when acc.skip > 0 then named_struct('skip', greatest(acc.skip - length(f.piece), 0), 'n', acc.n, "
+            "'out', concat(acc.out, array(substr(f.piece, acc.skip + 1)))) "
+            "when f.hit is not null then named_struct('skip', greatest(f.hit.size - length(f.piece), 0), 'n', acc.n + 1, "
+            "'out', concat(acc.out, array(f.hit.new, substr(f.piece, f.hit.size + 1)))) "
+            "else named_struct('skip', 0, 'n', acc.n, 'out', concat(acc.out, array(f.piece))) end")
+    gap = _let("pieces", f"split(gap, {_lit(_START)}, -1)", (
+        f"aggregate({found}, named_struct('skip', 0, 'n', 0, 'out', cast(array() as array<string>)), (acc, f) -> {step}, "
+        "acc -> named_struct('text', array_join(acc.out, ''), 'n', acc.n))"))
+    between = f"transform(split(line, {_lit(EMAIL)}, -1), (gap, at) -> {gap})"
+    address = (f"transform(regexp_extract_all(line, {_lit(EMAIL)}, 0), m -> "
+               f"named_struct('text', {_email(key, 'm')}, 'n', 1))")
+    woven = f"flatten(zip_with({between}, {address}, (g, e) -> array(g, coalesce(e, named_struct('text', '', 'n', 0)))))"
+    lines = f"flatten(transform(split({text}, '(?<=\\n)', -1), line -> {woven}))"
+    return _let("parts", lines, ("named_struct('text', array_join(transform(parts, x -> x.text), ''), "
+                                 "'n', aggregate(parts, 0, (acc, x) -> acc + x.n))"))
+
+
 def with_pseudonyms(docs: DataFrame, key: str, text: str = "text", found: str = "n_found") -> DataFrame:
     """``docs`` with valid personal values in column ``text`` replaced by pseudonyms, and ``found``,
     the number of replacements, appended (a column of that name is replaced).
@@ -224,12 +319,12 @@ def with_pseudonyms(docs: DataFrame, key: str, text: str = "text", found: str =
            .withColumn("m", F.when(F.col("text").rlike(MAYBE), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))))
     out = out.withColumn("r", F.when(F.size("m") > 0, F.expr(f"transform(m, m -> {pseudonym_sql(key)})")))
     gaps = F.split("text", CANDIDATE, -1)
-    kept = F.zip_with("r", "m", lambda r, m: F.coalesce(r, m))
-    joined = F.array_join(F.flatten(F.zip_with(gaps, kept, lambda g, k: F.array(g, F.coalesce(k, F.lit(""))))), "")
-    count = F.coalesce(F.size(F.filter("r", lambda r: r.isNotNull())), F.lit(0))
-    changed = F.when(F.col("r").isNotNull(), joined).otherwise(F.col("text"))
+    joined = F.array_join(F.flatten(F.zip_with(gaps, "r", lambda g, k: F.array(g, F.coalesce(k, F.lit(""))))), "")
+    out = out.withColumn("s", F.when(F.exists("r", lambda r: r.isNull()), F.expr(_second_look(key, "text")))
+                         .when(F.col("r").isNotNull(), F.struct(joined.alias("text"), F.size("r").alias("n"))))
+    changed = F.coalesce(F.col("s.text"), F.col("text"))
     return out.select(*[changed.alias(c) if c == text else F.col("row")[c].alias(c) for c in names],
-                      F.when(F.col("r").isNull(), 0).otherwise(count).cast("int").alias(found))
+                      F.coalesce(F.col("s.n"), F.lit(0)).cast("int").alias(found))
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:

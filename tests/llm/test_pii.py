@@ -108,6 +108,22 @@ def test_addresses_before_full_stops(spark):
     assert local != "bob" and out == [(1, f"Mail {local}@mail.example.com{end}") for end in ends]
 
 
+@pytest.mark.parametrize("before,value,after", [
+    ("", "+49 30 901820", " 2024-01-01"), ("", "+44 20 7946 0958", " 10 times"), ("", "+49 30 901820", " 10 times"),
+    ("2024 ", "4111 1111 1111 1111", ""), ("1234 5678 ", "4111-1111-1111-1111", " 12"), ("in 31 ", "4111 1111 1111 1111", " 123 4567"),
+    ("", "BE68 5390 0754 7034", " OK"), ("", "DE89 3704 0044 0532 0130 00", " ABC 12"), ("XX12 3456 7890 ", "BE68 5390 0754 7034", " OK"),
+    ("1234 5678 9012 ", "10.0.0.1", "\n"), ("12 a@b.org 1234 5678 9012 3456 ", "555-123-4567", " 1.2.3.4.5"),
+    ("31 February ", "2024-02-03", ""), ("+99 12 ", "555-123-4567", "")])
+def test_neighbours_do_not_hide_a_value(spark, before, value, after):
+    """A value keeps its pseudonym whatever numbers and words are next to it."""
+    (_, alone), (n, text) = run(spark, [value, before + value + after])
+    assert alone != value and n >= 1
+    clean = before.replace("a@b.org", run(spark, ["a@b.org"])[0][1])
+    if "2024-01-01" in after:
+        after = after.replace("2024-01-01", run(spark, ["2024-01-01"])[0][1])
+    assert text == clean + alone + after
+
+
 def test_keys_differ(spark):
     assert run(spark, ["born 1984-02-29"]) != run(spark, ["born 1984-02-29"], key="another")
 
