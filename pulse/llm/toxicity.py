@@ -56,7 +56,6 @@ _SKIP_COST = 8.0  # a sign within a word stands for nothing
 _EDGE_COST = 2.0  # a sign at a word's edge stands for nothing
 _HALVE_COST = 0.5  # a long run of letters stands for one or two
 _SINGLE_COST = 4.0  # a double letter stands for one
-_MAX_WORD = 40  # characters of a written word that may be disguised; longer ones are taken as they are
 
 _TOKEN = re.compile(r"\S+").findall
 #: Characters around a word that say nothing about it; signs of LOOKS_LIKE stay when single.
@@ -109,7 +108,8 @@ class Model:
                 runs[-1] = (c, runs[-1][1] + 1)
             else:
                 runs.append((c, 1))
-        paths = {(0, 0): (0.0, "")}  # last two letters: cost and reading so far
+        # Last two letters: cost so far and the reading as a chain from its end, so time grows with the runs only.
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for place, (c, n) in enumerate(runs):
             options: list[tuple[str, float]] = []
             if c.isalpha():
@@ -123,7 +123,7 @@ class Model:
                         options.append((letter * 2, _LOOK_COST + _HALVE_COST))
                 edge = place in (0, len(runs) - 1) and not c.isdigit()
                 options.append(("", _EDGE_COST if edge else _SKIP_COST))
-            ahead: dict[tuple[int, int], tuple[float, str]] = {}
+            ahead: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, reading) in paths.items():
                 for letters, extra in options:
                     x, y, total = a, b, cost + extra
@@ -132,10 +132,15 @@ class Model:
                         x, y = y, code
                     best = ahead.get((x, y))
                     if best is None or total < best[0]:
-                        ahead[x, y] = (total, reading + letters)
+                        ahead[x, y] = (total, (reading, letters) if letters else reading)
             paths = ahead
-        return min((cost + self.costs[(a * _SYMBOLS + b) * _SYMBOLS], reading)
-                   for (a, b), (cost, reading) in paths.items())[1]
+        chain = min(((cost + self.costs[(a * _SYMBOLS + b) * _SYMBOLS], reading)
+                     for (a, b), (cost, reading) in paths.items()), key=operator.itemgetter(0))[1]
+        letters = []
+        while chain:
+            chain, last = chain
+            letters.append(last)
+        return "".join(reversed(letters))
 
     def restore(self, token: str) -> str:
         """Plain lower-case form of a token without white space; parts it falls into are joined by spaces."""
@@ -161,7 +166,7 @@ class Model:
         if _PLAIN(word) and not _RUN.search(word):
             return word
         letters = sum(map(str.isalpha, word))
-        if not letters or len(word) > _MAX_WORD or any(not c.isalpha() and c not in LOOKS_LIKE for c in word):
+        if not letters or any(not c.isalpha() and c not in LOOKS_LIKE for c in word):
             return " ".join(_LETTERS(word))
         return self.viterbi(word)
 
@@ -179,10 +184,9 @@ class Model:
                 single.append(bare.lower())
                 continue
             if len(set(single)) > 2:
-                for at in range(0, len(single), _MAX_WORD):
-                    joined = self._word("".join(single[at: at + _MAX_WORD]))
-                    # The first or last letter may be a word of its own.
-                    out += [joined, joined[1:], joined[:-1]]
+                joined = self._word("".join(single))
+                # The first or last letter may be a word of its own.
+                out += [joined, joined[1:], joined[:-1]]
             single = []
         return out
 

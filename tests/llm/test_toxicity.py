@@ -49,6 +49,19 @@ def test_spaced_letters_are_joined(trained):
     assert trained[2].words("a a a a a") == ["a"] * 5
 
 
+@pytest.mark.parametrize("written,plain", [
+    ("1" * 60 + "d10t", "idiot"), ("i" * 40 + "diot", "idiot"), ("l" + "o" * 5000 + "ser", "loser"), ("$tup" + "1" * 37 + "d", "stupid")])
+def test_long_words_are_restored_too(trained, written, plain):
+    restored = trained[2].restore(written)
+    assert restored in (plain, plain[0] + plain, plain.replace("oo", "o"))
+
+
+def test_no_cut_through_a_long_row_of_letters(trained):
+    text = " ".join("x" * 38 + "stupid")
+    assert any("stupid" in w for w in trained[2].words(text))
+    assert len(trained[2].words("a b 1 " * 50_000)) > 100_000
+
+
 def test_held_out_accuracy(spark, trained):
     docs, labels, _ = trained
     rows = tx.toxicity(docs, labels).join(labels, "doc_id").collect()
