@@ -4,7 +4,9 @@ A noisy channel takes written words to plain ones: letters may be written as dig
 signs that look like them, drawn out, or set apart by spaces and dots. A
 written word spans a lattice of the letters each of its characters may stand for (and
 of runs kept, halved or made single); the Viterbi path under a character trigram model is
-its restored form. The model counts trigrams over the words of all documents and, with
+its restored form. Neighbouring words span one lattice, in which each separator is either skipped or ends a word;
+where both sides are plain it is decided by the two letters on each side alone, as the trigrams across it are
+all that differs, so those decisions are remembered. Words that the path joins count besides the written ones. The model counts trigrams over the words of all documents and, with
 weight of its own, over words that mark toxic training documents, since those are what
 gets disguised.
 
@@ -55,6 +57,7 @@ _LOOK_COST = 1.0  # a sign stands for a letter
 _SKIP_COST = 8.0  # a sign within a word stands for nothing
 _EDGE_COST = 2.0  # a sign at a word's edge stands for nothing
 _HALVE_COST = 0.5  # a long run of letters stands for one or two
+_JOIN_COST = 2.0  # a separator within a word
 _SINGLE_COST = 4.0  # a double letter stands for one
 
 _TOKEN = re.compile(r"\S+").findall
@@ -92,16 +95,25 @@ class Model:
     slope: tuple[float, ...]
     restored: dict[str, str] = field(default_factory=dict)
     weights: dict[str, float] = field(default_factory=dict)
+    spans: dict[str, tuple | None] = field(default_factory=dict)
+    short: dict[str, str | None] = field(default_factory=dict)
+
+    def __post_init__(self):
+        # A word that begins with none of these has no evidence above the rate.
+        raising = [g for g, (p, n) in self.evidence.items() if (p + PRIOR_DOCS * self.rate) / (p + n + PRIOR_DOCS) > self.rate]
+        self.three, self.four = {g for g in raising if len(g) == SHORTEST}, {g[:SHORTEST + 1] for g in raising}
 
     def __getstate__(self):
         return self.costs, self.evidence, self.rate, self.slope
 
     def __setstate__(self, state):
         self.costs, self.evidence, self.rate, self.slope = state
-        self.restored, self.weights = {}, {}
+        self.restored, self.weights, self.spans, self.short = {}, {}, {}, {}
+        self.__post_init__()
 
-    def viterbi(self, written: str) -> str:
-        """Cheapest reading of one written word."""
+    def viterbi(self, written: str, open_end: bool = False) -> str:
+        """Cheapest reading of a written word, or of words and spaces that may be skipped. With ``open_end``
+        the last word goes on."""
         runs: list[tuple[str, int]] = []
         for c in written:
             if runs and runs[-1][0] == c:
@@ -112,7 +124,9 @@ class Model:
         paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for place, (c, n) in enumerate(runs):
             options: list[tuple[str, float]] = []
-            if c.isalpha():
+            if c == " ":
+                options += [("", _JOIN_COST), (" ", 0.0)]
+            elif c.isalpha():
                 options.append((c * min(n, 2), 0.0 if n <= 2 else _HALVE_COST))
                 if n > 1:
                     options.append((c, _HALVE_COST if n > 2 else _SINGLE_COST))
@@ -121,12 +135,18 @@ class Model:
                     options.append((letter, _LOOK_COST))
                     if n > 1:
                         options.append((letter * 2, _LOOK_COST + _HALVE_COST))
-                edge = place in (0, len(runs) - 1) and not c.isdigit()
+                edge = not c.isdigit() and (place in (0, len(runs) - 1) or " " in (runs[place - 1][0], runs[place + 1][0]))
                 options.append(("", _EDGE_COST if edge else _SKIP_COST))
             ahead: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, reading) in paths.items():
                 for letters, extra in options:
                     x, y, total = a, b, cost + extra
+                    if letters == " ":
+                        total, x, y = total + self.costs[(a * _SYMBOLS + b) * _SYMBOLS], 0, 0
+                        best = ahead.get((x, y))
+                        if best is None or total < best[0]:
+                            ahead[x, y] = (total, (reading, letters))
+                        continue
                     for code in _code(letters):
                         total += self.costs[(x * _SYMBOLS + y) * _SYMBOLS + code]
                         x, y = y, code
@@ -134,7 +154,7 @@ class Model:
                     if best is None or total < best[0]:
                         ahead[x, y] = (total, (reading, letters) if letters else reading)
             paths = ahead
-        chain = min(((cost + self.costs[(a * _SYMBOLS + b) * _SYMBOLS], reading)
+        chain = min(((cost + (0.0 if open_end else self.costs[(a * _SYMBOLS + b) * _SYMBOLS]), reading)
                      for (a, b), (cost, reading) in paths.items()), key=operator.itemgetter(0))[1]
         letters = []
         while chain:
@@ -152,6 +172,8 @@ class Model:
         return known
 
     def _restore(self, token: str) -> str:
+        if _PLAIN(token):  # no signs to take off
+            return token if not _RUN.search(token) else self.viterbi(token)
         core = _NOISE.sub("", token).strip(_EDGE)
         if core.endswith(("!", ")")) or core.startswith("("):
             core = core.rstrip("!)").lstrip("(")
@@ -160,7 +182,81 @@ class Model:
         parts = _SPLIT.split(core)
         if len(parts) > 2 and all(len(p) <= 1 for p in parts):  # s.e.t apart
             parts = ["".join(parts)]
-        return " ".join(self._word(p) for p in parts if p)
+        words = [w for p in parts if p for w in self._word(p).split(" ") if w]
+        return " ".join(words + self._across([p for p in parts if p], words)) if len(words) > 1 else " ".join(words)
+
+    def _across(self, tokens: list[str], plain: list[str]) -> list[str]:
+        """Words that the cheapest path joins from neighbouring tokens; ``plain`` are the restored tokens."""
+        if len(tokens) != len(plain):
+            return []
+        out: list[str] = []
+        spans, short = self.spans, self.short
+        left = ""  # the word so far, whose last two letters the decision depends on
+        joined = False
+        loose: list[str] = []
+        for token, word in zip([*tokens, ""], [*plain, ""]):
+            if 0 < len(token) < 4 and (raw := short[token] if token in short else self._loose(token)):
+                loose.append(raw)
+                continue
+            if " " in word:  # falls into parts: nothing is joined to it
+                word = ""
+            if loose:
+                key = f"{left[-2:]} {' '.join(loose)} {word[:2]}"
+                loose = []
+            elif left and word:
+                key = f"{left[-2:]} {word[:2]}"
+            else:
+                if joined:
+                    out.append(left)
+                left, joined = word, False
+                continue
+            read = spans.get(key, 0)
+            if read == 0:
+                read = self._read(key)
+                if len(key) <= 16:
+                    if len(self.spans) >= MEMO_ENTRIES:
+                        self.spans.clear()
+                    self.spans[key] = read
+            if read is None:  # nothing is joined
+                if joined:
+                    out.append(left)
+                left, joined = word, False
+                continue
+            words, starts, ends = read
+            first = left[:-2] + words[0] if starts else None
+            if first is not None and len(words) == 1 and ends:
+                left, joined = first + word[2:], True
+                continue
+            if first is not None:
+                if joined or words[0] != left[-2:]:
+                    out.append(first)
+            out += words[1 if starts else 0: -1 if ends else None]
+            joined = ends and words[-1] != word[:2]
+            left = words[-1] + word[2:] if ends else ""
+        return out
+
+    def _read(self, key: str):
+        """The words of the cheapest path and whether the first and last go on; None if no words are joined."""
+        starts, ends = not key.startswith(" "), not key.endswith(" ")
+        if len(set(key) - {" "}) < 2:
+            return None
+        read = self.viterbi(key.strip(), open_end=ends)
+        if read.count(" ") >= key.strip().count(" "):
+            return None
+        return [w for w in read.split(" ") if w], starts, ends
+
+    def _loose(self, token: str) -> str | None:
+        """A single character, or a short token with look-alikes among letters, as it is written: it is read with its neighbours."""
+        bare = token if _PLAIN(token) else token.strip(_EDGE + "|") or token
+        raw = None
+        if len(bare) == 1:
+            raw = bare.lower() if bare.isalpha() or bare in LOOKS_LIKE else None
+        elif not _PLAIN(bare) and any(map(str.isalpha, bare)) and all(c.isalpha() or c in LOOKS_LIKE for c in bare):
+            raw = bare.lower()
+        if len(self.short) >= MEMO_ENTRIES:
+            self.short.clear()
+        self.short[token] = raw
+        return raw
 
     def _word(self, word: str) -> str:
         if _PLAIN(word) and not _RUN.search(word):
@@ -173,29 +269,35 @@ class Model:
     def words(self, text: str) -> list[str]:
         """All restored words of a text. Single characters in a row are read as one spaced-out
         word as well, in which runs are not drawn out letters only."""
+        written, joined = self.readings(text)
+        return written + joined
+
+    def readings(self, text: str) -> tuple[list[str], list[str]]:
+        """Restored words as they are written, and those that neighbouring ones make."""
         tokens = _TOKEN(text)
-        out: list[str] = []
-        for restored in map(self.restore, tokens):
-            out += restored.split(" ") if " " in restored else (restored,)
+        get, restore = self.restored.get, self.restore
+        plain = [restore(t) if (r := get(t)) is None else r for t in tokens]
+        out = self._across(tokens, plain)
         single: list[str] = []
+        short = self.short
         for token in tokens + ["end"]:
-            if len(token) <= 2 and len(bare := token.strip(_EDGE + "|") or token) == 1 and (
-                    bare.isalpha() or bare in LOOKS_LIKE):
-                single.append(bare.lower())
-                continue
-            if len(set(single)) > 2:
-                joined = self._word("".join(single))
-                # The first or last letter may be a word of its own.
-                out += [joined, joined[1:], joined[:-1]]
-            single = []
-        return out
+            if len(token) <= 2 and (raw := short[token] if token in short else self._loose(token)) and len(raw) == 1:
+                single.append(raw)
+            elif single:
+                if len(set(single)) > 1:
+                    joined = self._word("".join(single))
+                    # The first or last letter may be a word of its own.
+                    out += [joined, joined[1:], joined[:-1]]
+                single = []
+        return " ".join(plain).split(" ") if plain else [], out
 
     def weight(self, word: str, own: int | None = None) -> float:
         """Evidence of the longest known of the word and its beginnings. ``own``: the label of the
         document the word is in, if that document is part of the counts and is to be left out."""
+        evidence = self.evidence
         for gram in grams(word):
-            if gram in self.evidence:
-                p, n = self.evidence[gram]
+            if gram in evidence:
+                p, n = evidence[gram]
                 if own is not None:
                     p, n = p - own, n - 1 + own
                 if p + n >= MIN_DOCS:
@@ -207,16 +309,26 @@ class Model:
         if known is None:
             if len(self.weights) >= MEMO_ENTRIES:
                 self.weights.clear()
-            known = self.weights[word] = self.weight(word)
+            known = self.weights[word] = self.joined_weight(word)
         return known
 
+    def joined_weight(self, word: str) -> float:
+        """Evidence above the rate; joined words are too many and too rare to be remembered."""
+        return self.weight(word) if word[:SHORTEST] in self.three or (word + "$")[:SHORTEST + 1] in self.four else self.rate
+
     def features(self, text: str, own: int | None = None) -> list[float]:
         """Which steps the strongest and the second strongest distinct word reach, and the mean of
         the five strongest beyond what a text without evidence has."""
-        words = set(self.words(text))
-        weights = map(self.known_weight, words) if own is None else [self.weight(w, own) for w in words]
-        found = sorted(weights, reverse=True)[:_STRONGEST]
-        found = [max(p, self.rate) for p in found] + [self.rate] * (_STRONGEST - len(found))
+        if own is None:
+            written, joined = self.readings(text)
+            written, get, known, rare = set(written), self.weights.get, self.known_weight, self.joined_weight
+            weights = [known(w) if (p := get(w)) is None else p for w in written]
+            weights += [rare(w) for w in set(joined) if w not in written]
+        else:
+            weights = [self.weight(w, own) for w in set(self.words(text))]
+        rate = self.rate
+        found = sorted([p for p in weights if p > rate], reverse=True)[:_STRONGEST]
+        found = found + [rate] * (_STRONGEST - len(found))
         return ([float(found[0] > s) for s in _STEPS] + [float(found[1] > s) for s in _STEPS[::2]]
                 + [sum(found) / _STRONGEST - self.rate])
 

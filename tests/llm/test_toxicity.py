@@ -49,6 +49,23 @@ def test_spaced_letters_are_joined(trained):
     assert trained[2].words("a a a a a") == ["a"] * 5
 
 
+@pytest.mark.parametrize("written,plain", [
+    ("y o u i d i o t", "idiot"), ("id iot", "idiot"), ("i d iot", "idiot"), ("st upid", "stupid"), ("s tupid", "stupid"), ("stu pid", "stupid"),
+    ("id-iot", "idiot"), ("id.iot", "idiot"), ("1d 10t", "idiot"), ("tra sh", "trash"), ("l o ser", "loser"), ("a s s", "ass")])
+def test_words_set_apart_are_joined(trained, written, plain):
+    text = "the thing is that it and the {} was here for all of them"
+    assert plain in trained[2].words(text.format(written)) and plain not in trained[2].words(text.format("house"))
+
+
+def test_joining_agrees_with_the_whole_path(trained):
+    """Decisions by two letters on each side are those of the Viterbi path over all words."""
+    model = trained[2]
+    for text in ("the id iot was here", "you are st upid and i d iot", "he said th at on ly", "so l o ser"):
+        tokens = text.split()
+        whole = set(model.viterbi(text).split())
+        assert {w for w in model._across(tokens, [model.restore(t) for t in tokens])} == whole - set(tokens)
+
+
 @pytest.mark.parametrize("written,plain", [
     ("1" * 60 + "d10t", "idiot"), ("i" * 40 + "diot", "idiot"), ("l" + "o" * 5000 + "ser", "loser"), ("$tup" + "1" * 37 + "d", "stupid")])
 def test_long_words_are_restored_too(trained, written, plain):
