@@ -54,6 +54,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def hash_bucket(n: int, *cols: Column) -> Column:
     """``xxhash64`` of the columns modulo ``n``; nulls hash like any value."""
     return F.pmod(F.xxhash64(*cols), F.lit(n))

@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import bpe, embedding_dedup, mixing, packed_ids, pii, quality_crf, simhash, token_counts, topk, toxicity
+from pulse.llm import (
+    bpe,
+    embedding_dedup,
+    lexical,
+    license_scan,
+    mixing,
+    packed_ids,
+    pii,
+    quality_crf,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    vector_codes,
+)
 from pulse.llm.common import table
 
 #: Key of the registered queries, which run on invented data; real jobs pass a secret of their own.
@@ -54,6 +68,18 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -65,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_pii": op9_pii,
     "op10_packed_ids": op10_packed_ids,
+    "op11_licenses": op11_licenses,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
@@ -98,4 +127,7 @@ ORACLE: dict[str, str] = {
                 (SELECT count(*) FROM e WHERE e.a = m.vec_id) AS n_links
             FROM embeddings m JOIN reached r ON r.a = m.vec_id GROUP BY m.vec_id)
     """,
+    "op11_licenses": license_scan.ORACLE_SQL,
+    "op12_lexical_search": lexical.ORACLE_SQL,
+    "op13_vector_codes": vector_codes.ORACLE_SQL,
 }

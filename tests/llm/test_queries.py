@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op9_pii": ["doc_id", "n_found", "text"],
     "op10_packed_ids": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11_licenses": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+    "op12_lexical_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
 
 
@@ -24,8 +27,10 @@ COLUMNS = {
 def test_columns_and_rows(spark, name):
     df = QUERIES[name](spark, SF["0.001"])
     assert set(COLUMNS[name]) <= set(df.columns)
-    table = "embeddings" if name in ("op7_topk", "op8_embedding_dedup") else "documents"
+    table = "embeddings" if name in ("op7_topk", "op8_embedding_dedup", "op13_vector_codes") else "documents"
     n = spark.read.parquet(f"{SF['0.001']}/{table}.parquet").count()
+    if name == "op12_lexical_search":
+        n = spark.read.parquet(f"{SF['0.001']}/benchmark.parquet").count() * 50
     assert df.count() == (n // 50 * 5 if name == "op7_topk" else n)
 
 
