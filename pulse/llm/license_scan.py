@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 #: What stands between words: ASCII but for digits and lower-case letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+# The Kelvin sign, and a letter that stands for it.
+KELVIN, NO_KELVIN = "\u212a", "\u0138"
+
 # Phrases whose places are counted, and their labels.
 PHRASES = (
     ("gnu general public license", "gpl"),
@@ -71,9 +74,13 @@ _DOC = ("doc_id", "h1", "h2")
 
 
 def words(text: Column) -> Column:
-    """Words of a text with A-Z lower-cased; none for null."""
-    lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.array_remove(F.split(lower, BETWEEN), "")
+    """Words of a text with A-Z lower-cased; none for null.
+
+    ``lower`` also changes other letters, which moves no border between words, and no template holds those. The one letter
+    beyond ASCII that it would turn into one of ASCII, the Kelvin sign, is another one first.
+    """
+    kept = F.replace(F.coalesce(text.cast("string"), F.lit("")), F.lit(KELVIN), F.lit(NO_KELVIN))
+    return F.array_remove(F.split(F.lower(kept), BETWEEN), "")
 
 
 def _pairs(of: Column) -> Column:

@@ -34,6 +34,7 @@ TEXTS = [
     None, "", "   \n\t", "mit", "license", "MIT License", "mit-license, MIT\nLICENSE! the mit licenses", "cc by cc by-sa CC  BY",
     "gnu general public gnu general public license license", "gnu public general license", "apache licensE.", "Mit licenseé mit license",
     "KELVIN Kelvin mit license", "apache gnu general public license", "general public license", "0 mit license 9 cc by4 cc by 4",
+    "MIT LICENSE m\u0130t license mit l\u0131cense", "\u212aey gnu general public license wor\u212a mit license", "\u0130\u0130 CC BY \u00c9 \u212a",
 ]
 
 

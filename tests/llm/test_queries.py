@@ -29,8 +29,10 @@ def test_columns_and_rows(spark, name):
     assert set(COLUMNS[name]) <= set(df.columns)
     table = "embeddings" if name in ("op7_topk", "op8_embedding_dedup", "op13_vector_codes") else "documents"
     n = spark.read.parquet(f"{SF['0.001']}/{table}.parquet").count()
-    if name == "op12_lexical_search":
-        n = spark.read.parquet(f"{SF['0.001']}/benchmark.parquet").count() * 50
+    if name == "op12_lexical_search":  # up to 50 an item
+        items = spark.read.parquet(f"{SF['0.001']}/benchmark.parquet").count()
+        assert items < df.count() <= 50 * items
+        return
     assert df.count() == (n // 50 * 5 if name == "op7_topk" else n)
 
 
