@@ -8,6 +8,7 @@ from pulse.functions.scalars import (
     safe_ratio,
     star_bucket,
     surrogate_key,
+    ts,
     week_start,
     whole_hour_days,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "safe_ratio",
     "star_bucket",
     "surrogate_key",
+    "ts",
     "week_start",
     "whole_hour_days",
 ]

@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulse.sources.standins import ts
+from pulse.functions import ts
 
 # Far-future stand-in for an open validity window.
 OPEN_END = "9999-12-31 00:00:00"
+#: Versions of a chunk: clusters of more are compared chunk by chunk.
+CHUNK = 1024
 
 
 class CheckFailed(Exception):
@@ -35,7 +37,7 @@ class CheckFailed(Exception):
 class Check:
     """A named check over one model: either ``bad``, a condition on a row, or ``rows``, a
     function to the offending rows. ``where`` scopes the rows checked (D12); an ``error``
-    stops the job, a ``warn`` is only recorded (D11)."""
+    stops the job, a ``warn`` is only recorded (D11); ``newest``: only the newest day of a day table matters."""
     name: str
     model: str
     rows: Callable[[DataFrame], DataFrame] | None = None
@@ -43,6 +45,7 @@ class Check:
     where: str | None = None
     bad: Column | None = None
     keep: tuple[str, ...] = ()
+    newest: bool = False
 
     def offending(self, df: DataFrame) -> DataFrame:
         scoped = df.filter(self.where) if self.where else df
@@ -101,29 +104,49 @@ def org_follows() -> Column:
     return (F.col("user_type") == "Organization") & (F.col("following") > 0)
 
 
-def no_overlap(dim: DataFrame, model: str, key: str, sk: str) -> DataFrame:
+def no_overlap(dim: DataFrame, model: str, key: str, sk: str, chunk: int = CHUNK) -> DataFrame:
     """Every ordered pair of versions of one key whose windows overlap.
 
     A version belongs to the same cluster as its predecessors while it starts before
     the latest of their ends; versions of different clusters cannot overlap. One window
     over the key marks the clusters, and only clusters of two or more versions are paired, so a
     sound dimension pairs nothing, whatever its number of versions.
+
+    A cluster is swept in chunks of ``chunk`` versions in order of their start. Two chunks are compared, in a cell of their
+    own, if the first one's latest end is after the second one's earliest start, so no task holds more
+    than two chunks of a long broken key and far chunks never meet.
     """
     end = F.coalesce(F.col("valid_to"), ts(OPEN_END))
     by_start = Window.partitionBy(key).orderBy("valid_from", sk)
+    in_cluster = Window.partitionBy(key, "_cluster")
     before = F.max("_end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     marked = (dim.select(key, sk, "valid_from", end.alias("_end"))
               .withColumn("_opens", F.coalesce(F.col("valid_from") >= before, F.lit(True)))
               .withColumn("_cluster", F.count(F.when(F.col("_opens"), 1)).over(
                   by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key, "_cluster")))
-              .filter("_n > 1"))
-    a, b = marked.alias("a"), marked.alias("b")
-    pairs = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._cluster") == F.col("b._cluster"))
-                   & (F.col(f"a.{sk}") != F.col(f"b.{sk}")) & (F.col("a.valid_from") < F.col("b._end"))
-                   & (F.col("b.valid_from") < F.col("a._end")))
-    return pairs.select(F.lit(model).alias("model"), F.col(f"a.{key}").cast("string").alias("natural_key"),
-                        F.col(f"a.{sk}").alias("a_sk"), F.col(f"b.{sk}").alias("b_sk"))
+              .withColumn("_n", F.count(F.lit(1)).over(in_cluster))
+              .filter("_n > 1")
+              .withColumn("_chunk", F.floor((F.row_number().over(in_cluster.orderBy("valid_from", sk)) - 1) / chunk)))
+    group = [F.col(key).alias("_key"), "_cluster"]
+    chunks = marked.groupBy(*group, "_chunk").agg(F.min("valid_from").alias("_low"), F.max("_end").alias("_high"))
+    one, two = (chunks.select("_key", "_cluster", F.col("_chunk").alias(c), F.col("_low").alias(f"{c}_low"),
+                              F.col("_high").alias(f"{c}_high")) for c in ("_i", "_j"))
+    cells = (one.join(two, ["_key", "_cluster"]).filter("_i <= _j AND _i_high > _j_low")
+             .select("_key", "_cluster", "_i", "_j"))
+
+    def side(place: str, name: str) -> DataFrame:
+        return marked.select(*group, F.col("_chunk").alias(place), F.col(sk).alias(f"{name}_sk"),
+                             F.col("valid_from").alias(f"{name}_from"), F.col("_end").alias(f"{name}_end")
+                             ).join(cells, ["_key", "_cluster", place])
+
+    pairs = (side("_i", "a").join(side("_j", "b"), ["_key", "_cluster", "_i", "_j"])
+             .filter("a_sk <> b_sk AND a_from < b_end AND b_from < a_end")
+             .select(F.col("_key").cast("string").alias("natural_key"), "a_sk", "b_sk", (F.col("_i") < F.col("_j")).alias("_apart")))
+    # A pair of two chunks was compared once and counts in both orders.
+    both = F.explode(F.when(F.col("_apart"), F.array(F.struct("a_sk", "b_sk"), F.struct(
+        F.col("b_sk").alias("a_sk"), F.col("a_sk").alias("b_sk")))).otherwise(F.array(F.struct("a_sk", "b_sk"))))
+    return pairs.select("natural_key", both.alias("_pair")).select(
+        F.lit(model).alias("model"), "natural_key", "_pair.a_sk", "_pair.b_sk")
 
 
 def schema_equals(df: DataFrame, expected: StructType) -> DataFrame:
@@ -169,6 +192,14 @@ def summary(checks: list[Check], models: Mapping[str, Callable[[], DataFrame]])
     return reduce(DataFrame.unionByName, parts)
 
 
+def day_counts(checks: list[Check], df: DataFrame, day_col: str) -> DataFrame:
+    """``(day, check, failures)`` of row-level checks, where a day has any; one aggregate over ``df``."""
+    counts = df.groupBy(F.col(day_col).cast("string").alias("day")).agg(*[
+        F.count(F.when((F.expr(c.where) & c.bad) if c.where else c.bad, 1)).alias(f"n{k}") for k, c in enumerate(checks)])
+    lines = F.array(*[F.struct(F.lit(c.name).alias("check"), F.col(f"n{k}").alias("failures")) for k, c in enumerate(checks)])
+    return counts.select("day", F.inline(lines)).filter("failures > 0")
+
+
 def gate(results: list) -> None:
     """Raise ``CheckFailed`` if a collected summary row has status ``fail``."""
     failed = {r["check"]: r["failures"] for r in results if r["status"] == "fail"}

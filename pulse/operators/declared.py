@@ -72,7 +72,7 @@ def declared(model: str, as_of: date, now: datetime,
     if model == "stg_events":
         out.append(Check("no_future_events", model, bad=checks.after("event_at", now), keep=("event_id", "event_at")))
     if model == "fct_events":
-        out.append(Check("fct_recency_48h", model, lambda d: checks.recency(d, "event_at", now, 48), "warn"))
+        out.append(Check("fct_recency_48h", model, lambda d: checks.recency(d, "event_at", now, 48), "warn", newest=True))
     if model == "stg_repos" and users is not None:
         out.append(Check("repo_owner_is_user", model, lambda d: checks.relationships(
             d, "owner_id", users(), "user_id").select("repo_id", "owner_id", "ingested_at")))

@@ -3,6 +3,7 @@ Type 1 (M14, M15)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pulse.functions import star_bucket, surrogate_key, week_start
 from pulse.functions.scalars import LARGE_STARS, SMALL_STARS
+from pulse.operators import history
 from pulse.operators.history import scd2
 
 # Calendar range of the date dimension.
@@ -24,21 +26,69 @@ USER_COLUMNS = ["user_id", "user_login", "user_type", "contributor_tier", "user_
                 "public_repos", "followers", "user_created_at"]
 
 
-def dim_repos(stg_repos: DataFrame, small: int = SMALL_STARS, large: int = LARGE_STARS) -> DataFrame:
-    """Repo versions on (star_bucket, is_archived)."""
-    snaps = stg_repos.select(*[c for c in REPO_COLUMNS if c != "star_bucket"], "ingested_at") \
-        .withColumn("star_bucket", star_bucket("stargazers_count", small, large))
-    return scd2(snaps, "repo_id", "ingested_at", ["star_bucket", "is_archived"],
-                "dim_repo_id", REPO_COLUMNS)
+# Fixed value: the closing day of versions that are current.
+OPEN_DAY = date(9999, 12, 31)
 
 
-def dim_users(stg_users: DataFrame, tiers: DataFrame) -> DataFrame:
-    """User versions on contributor_tier; users meet their tier at the same snapshot."""
+@dataclass(frozen=True)
+class Versioned:
+    """A Type 2 dimension. Stored, its rows also carry ``seen_at``, the time of a version's last snapshot, and
+    ``closed_on``, the day it closed, by which they are partitioned: what is current is one partition."""
+    name: str
+    key: str
+    tracked: tuple[str, ...]
+    columns: tuple[str, ...]
+    order_col: str = "ingested_at"
+
+    @property
+    def sk(self) -> str:
+        return f"dim_{self.key}"
+
+    def versions(self, snapshots: DataFrame) -> DataFrame:
+        """Versions of all ``snapshots``, with ``seen_at``."""
+        return scd2(snapshots, self.key, self.order_col, list(self.tracked), self.sk, list(self.columns), seen="seen_at")
+
+    def merge(self, current: DataFrame, fresh: DataFrame) -> DataFrame:
+        return history.scd2_merge(current, fresh, self.key, self.order_col, list(self.tracked), self.sk, list(self.columns))
+
+    def late_keys(self, current: DataFrame, fresh: DataFrame) -> DataFrame:
+        return history.late_keys(current, fresh, self.key, self.order_col)
+
+    @staticmethod
+    def stored(versions: DataFrame) -> DataFrame:
+        return versions.withColumn("closed_on", F.coalesce(F.to_date("valid_to"), F.lit(OPEN_DAY)))
+
+    @staticmethod
+    def published(rows: DataFrame) -> DataFrame:
+        """The dimension as its users see it."""
+        return rows.drop("seen_at", "closed_on")
+
+
+REPOS = Versioned("dim_repos", "repo_id", ("star_bucket", "is_archived"), tuple(REPO_COLUMNS))
+USERS = Versioned("dim_users", "user_id", ("contributor_tier",), tuple(USER_COLUMNS))
+
+
+def repo_snapshots(stg_repos: DataFrame, small: int = SMALL_STARS, large: int = LARGE_STARS) -> DataFrame:
+    return (stg_repos.select(*[c for c in REPO_COLUMNS if c != "star_bucket"], "ingested_at")
+            .withColumn("star_bucket", star_bucket("stargazers_count", small, large)))
+
+
+def user_snapshots(stg_users: DataFrame, tiers: DataFrame) -> DataFrame:
+    """Users meet their tier at the same snapshot."""
     u = stg_users.select("user_id", "user_login", "user_type", "user_company", "public_repos",
                          "followers", "user_created_at", "ingested_at")
     t = tiers.select("user_id", F.col("snapshot_at").alias("ingested_at"), "contributor_tier")
-    snaps = u.join(t, ["user_id", "ingested_at"], "inner")
-    return scd2(snaps, "user_id", "ingested_at", ["contributor_tier"], "dim_user_id", USER_COLUMNS)
+    return u.join(t, ["user_id", "ingested_at"], "inner")
+
+
+def dim_repos(stg_repos: DataFrame, small: int = SMALL_STARS, large: int = LARGE_STARS) -> DataFrame:
+    """Repo versions on (star_bucket, is_archived)."""
+    return REPOS.versions(repo_snapshots(stg_repos, small, large)).drop("seen_at")
+
+
+def dim_users(stg_users: DataFrame, tiers: DataFrame) -> DataFrame:
+    """User versions on contributor_tier."""
+    return USERS.versions(user_snapshots(stg_users, tiers)).drop("seen_at")
 
 
 def dim_languages(dim_repos_df: DataFrame) -> DataFrame:
@@ -69,6 +119,11 @@ def dim_dates(spark: SparkSession, start: date = CALENDAR_START, end: date = CAL
     return _calendar(one)
 
 
+def calendar_span(first: date, last: date, margin_years: int = CALENDAR_MARGIN_YEARS) -> tuple[date, date]:
+    """First and last calendar day for events from ``first`` to ``last``."""
+    return date(first.year, 1, 1), date(last.year + margin_years, 12, 31)
+
+
 def dim_dates_covering(df: DataFrame, date_col: str,
                        margin_years: int = CALENDAR_MARGIN_YEARS) -> DataFrame:
     """Calendar from the first day of the earliest year in ``date_col`` to the

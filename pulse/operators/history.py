@@ -3,7 +3,6 @@ as of each snapshot (M10) and the as-of dimension lookup (M20)."""
 
 from __future__ import annotations
 
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -14,7 +13,7 @@ from pulse.functions.scalars import CORE_DAYS, CORE_REPOS, NEW_DAYS
 
 
 def scd2(df: DataFrame, key: str, order_col: str, tracked: list[str], sk_name: str,
-         columns: list[str] | None = None) -> DataFrame:
+         columns: list[str] | None = None, opened: str | None = None, seen: str | None = None) -> DataFrame:
     """Collapse snapshots into Type 2 versions on the ``tracked`` columns.
 
     A snapshot opens a version when it is the key's first or when any tracked
@@ -32,8 +31,11 @@ def scd2(df: DataFrame, key: str, order_col: str, tracked: list[str], sk_name: s
     instead of a second ranking pass, and its ``valid_to`` is simply the next
     snapshot's time. A key's group holds one row per snapshot, so its size is
     bounded by the number of snapshot days, not by the data volume.
+
+    ``opened`` names a column with the time at which the version of a row was opened before, null for plain
+    snapshots; ``seen`` one to add, with the time of each version's last snapshot (see ``scd2_merge``).
     """
-    columns = list(columns or [c for c in df.columns if c not in (order_col,)])
+    columns = list(columns or [c for c in df.columns if c not in (order_col, opened)])
     every = Window.partitionBy(key).orderBy(order_col, "_tie")
     following = F.lead(order_col).over(every)
     df = (df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_following", following)
@@ -45,17 +47,41 @@ def scd2(df: DataFrame, key: str, order_col: str, tracked: list[str], sk_name: s
     opens = F.lag(order_col).over(w).isNull() | changed
     flagged = df.withColumn("_opens", opens)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.coalesce(opened, order_col) if opened else F.col(order_col)
     versions = (
         flagged
         .withColumn("_closes", F.lead("_opens", 1, True).over(w))
-        .withColumn("valid_from", F.max(F.when(F.col("_opens"), F.col(order_col))).over(running))
+        .withColumn("valid_from", F.max(F.when(F.col("_opens"), start)).over(running))
         .withColumn("valid_to", F.lead(order_col).over(w))
         .filter("_closes")
     )
     keep = [c for c in columns if c not in (key, "valid_from", "valid_to")]
-    out = versions.select(key, *keep, "valid_from", "valid_to")
-    return out.select(surrogate_key(out, key, "valid_from").alias(sk_name), "*",
-                      F.col("valid_to").isNull().alias("is_current"))
+    last_seen = [F.col(order_col).alias(seen)] if seen else []
+    out = versions.select(key, *keep, "valid_from", "valid_to", *last_seen)
+    return out.select(surrogate_key(out, key, "valid_from").alias(sk_name), *[c for c in out.columns if c != seen],
+                      F.col("valid_to").isNull().alias("is_current"), *([seen] if seen else []))
+
+
+def scd2_merge(current: DataFrame, fresh: DataFrame, key: str, order_col: str, tracked: list[str], sk_name: str,
+               columns: list[str], seen: str = "seen_at") -> DataFrame:
+    """The versions that stand after ``fresh`` snapshots, which are all newer than what their key had shown, meet
+    the ``current`` versions: those extended or left as they are, those closed, and those opened.
+
+    A current version takes part as one snapshot, at the time it was last seen, which opened when the version
+    did. Closed versions do not change and are not read.
+    """
+    keep = [c for c in columns if c != key]
+    held = current.select(key, *keep, F.col(seen).alias(order_col), F.col("valid_from").alias("_opened"))
+    new = fresh.select(key, *keep, order_col, F.lit(None).cast("timestamp").alias("_opened"))
+    return scd2(held.unionByName(new), key, order_col, tracked, sk_name, [key, *keep], opened="_opened", seen=seen)
+
+
+def late_keys(current: DataFrame, fresh: DataFrame, key: str, order_col: str, seen: str = "seen_at") -> DataFrame:
+    """Keys with a snapshot that is not newer than what they had shown: it may split a version or join two, which
+    only their whole history tells."""
+    held = current.select(F.col(key).alias("_key"), F.col(seen).alias("_seen"))
+    return (fresh.select(key, order_col).join(held, F.col(key) == F.col("_key"))
+            .filter(F.col(order_col) <= F.col("_seen")).select(key).distinct())
 
 
 def _tier_columns(df: DataFrame, new_days: int, core_repos: int, core_days: int) -> DataFrame:
@@ -72,10 +98,11 @@ def user_snapshot_times(stg_users: DataFrame) -> DataFrame:
 
 
 def first_touch(fct: DataFrame) -> DataFrame:
-    """(actor, repo) -> first event time. Partial aggregation collapses each
+    """(actor, repo) -> first event time, from the fact or its daily partials. Partial aggregation collapses each
     actor's events map-side, so even an actor with a third of all events ships
     only one row per repo it touched from each map task."""
-    return fct.groupBy("actor_id", "repo_id").agg(F.min("event_at").alias("first_at"))
+    at = "first_at" if "first_at" in fct.columns else "event_at"
+    return fct.groupBy("actor_id", "repo_id").agg(F.min(at).alias("first_at"))
 
 
 def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_DAYS,
@@ -117,39 +144,51 @@ def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_
     return _tier_columns(at_snapshots, new_days, core_repos, core_days)
 
 
-def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str,
-               dim_columns: list[str], days: tuple[date, date], valid_from: str = "valid_from",
-               valid_to: str = "valid_to", prefix: str = "", span_days: int = 7,
-               small_dim: bool = False) -> DataFrame:
+def as_of_join(fact: DataFrame, dim: DataFrame, key: str, ts_col: str, dim_columns: list[str],
+               valid_from: str = "valid_from", valid_to: str = "valid_to", prefix: str = "",
+               span: str = "hour") -> DataFrame:
     """Left-join each fact row to the dimension version in force at its time:
-    ``valid_from <= ts < valid_to`` (``valid_to`` null = open).
-
-    ``days`` is the fact's window (first and last day), which the caller knows from its
-    ``as_of``; it is cut into spans of ``span_days``. Each version is laid out once per span
-    it lives in, and rows meet the versions of their key and span; the half-open
-    range then picks the one version. Rows outside the window count to its first or last
-    span, as do versions, so ``days`` decides how work is spread and never the result. A key with a third of
-    all rows is split over its spans, and AQE splits a hot span further. The
-    laid-out side holds at most one row per version and span.
-
-    Building the frame starts no job and each side is read once. ``small_dim`` is the
-    caller's promise that versions times spans fit in memory: then that side is broadcast.
+    ``valid_from <= ts < valid_to`` (``valid_to`` null = open). Versions of a key must not overlap.
+
+    Nothing is joined. Fact rows and versions are laid on one time line per (key, ``span``), each once, and the last
+    version before a row is carried forward to it. A span also needs the version that was in force when it began: the
+    spans in which a key has rows, read from two columns of the fact and made distinct before any
+    shuffle, are laid on one line per key with its versions, which gives one carried-in row each. So no more rows are laid out
+    than the fact, the versions, and one for each key and span with rows.
+
+    A line holds the rows of one key in one span, so a key with a third of all rows is spread over
+    all spans of its window; the lines of whole keys hold versions and spans only. Rows without key or time
+    are spread by their hash and meet no version.
     """
-    lo, hi = F.lit(days[0]), F.lit(days[1])
-    last = (days[1] - days[0]).days // span_days
-
-    def span(day):
-        return F.floor(F.datediff(F.least(F.greatest(day, lo), hi), lo) / span_days).cast("int")
-
-    until = F.when(F.col(valid_to).isNull(), F.lit(last)).otherwise(span(F.to_date(F.col(valid_to))))
-    spread = dim.select(
-        F.col(key).alias("_k"),
-        F.explode(F.sequence(span(F.to_date(F.col(valid_from))), until)).alias("_span"),
-        F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
-        *[F.col(c).alias(prefix + c) for c in dim_columns if c != key])
-    spread = F.broadcast(spread) if small_dim else spread.hint("merge")
-    f = fact.withColumn("_fspan", span(F.to_date(F.col(ts_col))))
-    cond = ((f[key] == spread["_k"]) & (f["_fspan"] == spread["_span"])
-            & (spread["_from"] <= f[ts_col])
-            & (spread["_to"].isNull() | (f[ts_col] < spread["_to"])))
-    return f.join(spread, cond, "left").drop("_fspan", "_k", "_span", "_from", "_to")
+    columns = [c for c in dim_columns if c != key]
+    version = F.struct(F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
+                       *[F.col(c).alias(f"_c{k}") for k, c in enumerate(columns)])
+    opens = (dim.filter(F.col(key).isNotNull())
+             .select(F.col(key).alias("_k"), F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"), version.alias("_version")))
+    placed = F.col(key).isNotNull() & F.col(ts_col).isNotNull()
+    rows = fact.select(
+        F.col(key).alias("_k"), F.date_trunc(span, ts_col).alias("_span"), F.col(ts_col).alias("_at"), F.lit(1).alias("_kind"),
+        F.when(placed, F.lit(0)).otherwise(F.pmod(F.xxhash64(*fact.columns), F.lit(4096)).cast("int")).alias("_salt"),
+        F.struct(*fact.columns).alias("_row"))
+    # The version in force as each span with rows begins.
+    begun = (fact.filter(placed).select(F.col(key).alias("_k"), F.date_trunc(span, ts_col).alias("_at")).distinct()
+             .select("_k", "_at", F.lit(1).alias("_kind"), F.lit(None).cast(opens.schema["_version"].dataType).alias("_version")))
+    by_key = Window.partitionBy("_k").orderBy("_at", "_kind", F.xxhash64("_version"))
+    carried = (opens.unionByName(begun)
+               .withColumn("_version", F.last("_version", ignorenulls=True).over(
+                   by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+               .filter((F.col("_kind") == 1) & F.col("_version").isNotNull()
+                       & (F.col("_version._to").isNull() | (F.col("_version._to") > F.col("_at"))))
+               .withColumn("_kind", F.lit(0)))
+    versions = (opens.unionByName(carried)
+                .withColumn("_span", F.date_trunc(span, "_at")).withColumn("_salt", F.lit(0))
+                .withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)))
+    line = Window.partitionBy("_k", "_span", "_salt").orderBy("_at", "_kind", F.xxhash64("_version"))
+    empty = F.lit(None).cast(opens.schema["_version"].dataType)
+    met = (rows.withColumn("_version", empty).unionByName(versions)
+           .withColumn("_version", F.last("_version", ignorenulls=True).over(
+               line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+           .filter("_kind = 1"))
+    in_force = F.col("_version._to").isNull() | (F.col("_at") < F.col("_version._to"))
+    return met.select("_row.*", *[F.when(in_force, F.col(f"_version._c{k}")).alias(prefix + c)
+                                  for k, c in enumerate(columns)])

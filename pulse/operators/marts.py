@@ -13,6 +13,7 @@ from pulse.functions import bus_factor_label, safe_ratio, week_start, whole_hour
 MART_DAYS = 90
 HISTOGRAM_BIN_DAYS = 1.0
 MEDIAN_DIGITS = 4
+PR_EVENT = "PullRequestEvent"
 
 
 def _window(fct: DataFrame, as_of: date, days: int) -> DataFrame:
@@ -26,7 +27,7 @@ def _tracked_ids(dim_repos_df: DataFrame) -> DataFrame:
 
 def repo_health(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int = MART_DAYS) -> DataFrame:
     """One row per current repo: activity, contributors, top-contributor share,
-    bus-factor label and age.
+    bus-factor label and age. ``fct`` is the fact or its daily partials (``partials.day_activity``).
 
     Both aggregates are partial (map-side) aggregations, so a repo or an actor
     holding a third of the events is reduced to one row per task before any
@@ -35,8 +36,9 @@ def repo_health(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int
     repos = dim_repos_df.filter("is_current").select(
         "repo_id", "repo_full_name", "primary_language", "star_bucket", "stargazers_count",
         "is_archived", "repo_created_at")
+    events = F.sum("n_events") if "n_events" in fct.columns else F.count(F.lit(1))
     shares = (_window(fct, as_of, days).join(_tracked_ids(dim_repos_df), "repo_id", "left_semi")
-              .groupBy("repo_id", "actor_id").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("repo_id", "actor_id").agg(events.alias("n")))
     activity = shares.groupBy("repo_id").agg(
         F.sum("n").alias("events_90d"), F.count("actor_id").alias("contributors_90d"),
         F.max("n").alias("most_by_one"))
@@ -55,7 +57,8 @@ def repo_health(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int
 def language_trends(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int = MART_DAYS,
                     first_day: str = "SUN") -> DataFrame:
     """New contributors per (language, week): an actor is new to a language in
-    the week of their first event on a current repo of that language.
+    the week of their first event on a current repo of that language. ``fct`` is the fact or its daily
+    partials (``partials.day_activity``).
 
     Events meet the current repos with a language first, so only tracked repos' events
     are grouped; ``min`` combines before the shuffle, so a hot actor or repo sends one
@@ -72,13 +75,17 @@ def language_trends(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days:
 
 def pr_velocity(dim_repos_df: DataFrame, fct: DataFrame, as_of: date, days: int = MART_DAYS) -> DataFrame:
     """Per actor with two or more PR events on tracked repos: the first two PR
-    times and the whole hours between them in days.
+    times and the whole hours between them in days. ``fct`` is the fact or its first PRs by the day
+    (``partials.day_prs``).
 
     Keeping ranks up to 2 makes Spark add a partial ``WindowGroupLimit`` before the
     shuffle, so a bot with millions of PR events sends two rows per task; the time after
     the first is then the next row of the same window.
     """
-    opened = (_window(fct, as_of, days).filter(F.col("event_type") == "PullRequestEvent")
+    recent = _window(fct, as_of, days)
+    if "event_type" in fct.columns:
+        recent = recent.filter(F.col("event_type") == PR_EVENT)
+    opened = (recent
               .join(_tracked_ids(dim_repos_df), "repo_id", "left_semi").select("actor_id", "event_at"))
     by_time = Window.partitionBy("actor_id").orderBy("event_at")
     starts = (opened.withColumn("place", F.row_number().over(by_time)).filter("place <= 2")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,29 @@ EVENT_COLUMNS = ("event_id", "event_type", "event_at", "event_date", "actor_id",
                  "repo_id", "repo_full_name", "org_id", "org_login", "is_public")
 
 
+def stage_event_days(raw: DataFrame, days: list[date], around: int = windows.LOOKBACK_DAYS,
+                     day_col: str = "dt") -> DataFrame:
+    """The staged events of ``days`` only: their day tables and those up to ``around`` days from them are read
+    (partition pruning by a list), so that ids are deduplicated against neighbouring days as a full
+    build does; copies of one id that are further apart are not seen together."""
+    near = sorted({d + timedelta(days=k) for d in days for k in range(-around, around + 1)})
+    near_days = [F.lit(d) for d in near]
+    src = raw.filter(F.col(day_col).isin(near_days)).filter(F.to_date("created_at").isin(near_days))
+    rows = stage_events(src, near[-1], (near[-1] - near[0]).days, day_col)
+    return rows.filter(F.col("event_date").isin([F.lit(d) for d in sorted(days)]))
+
+
+def outdated_days(stored: DataFrame, rows: DataFrame, days: list[date], around: int = windows.LOOKBACK_DAYS) -> list[date]:
+    """Neighbouring stored days that hold a copy of an id which is now among the ``rows`` of ``days``: its earliest copy
+    has come, so theirs has to go. At most ``2 * around`` days a day."""
+    near = {d + timedelta(days=k) for d in days for k in range(-around, around + 1)} - set(days)
+    if not near:
+        return []
+    held = stored.filter(F.col("event_date").isin([F.lit(d) for d in sorted(near)])).select("event_date", "event_id")
+    found = held.join(rows.select("event_id"), "event_id", "left_semi").select("event_date").distinct()
+    return sorted(r.event_date for r in found.collect())
+
+
 def stage_events(raw: DataFrame, as_of: date, lookback_days: int = FULL_LOOKBACK_DAYS,
                  day_col: str = "dt") -> DataFrame:
     """Recent raw events -> one row per event id, 11 renamed columns.

@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse import DEFAULT_AS_OF, schemas
@@ -20,7 +20,7 @@ from pulse.operators import checks, declared, dims, facts, history, marts, stagi
 from pulse.plans import jobs
 from pulse.session import configure, shared_dir
 from pulse.sources import ingest, standins, tables
-from pulse.streaming import windows
+from pulse.streaming import arrivals, windows
 
 # Tier thresholds for the stand-in data. Its events span 30 days,
 # so the defaults (30 / 10 / 365) would make every tier "new".
@@ -36,6 +36,8 @@ COLUMN_ADDED = date(2024, 1, 20)
 LATE_DAYS = (date(2024, 1, 20), date(2024, 1, 27))
 FIRST_DAILY_RUN = date(2024, 1, 28)
 EXPIRY_RUN = date(2024, 4, 15)
+WEEKLY_RUN = date(2024, 1, 28)
+LATE_DAY = date(2024, 1, 10)
 FACT_CLUSTER = jobs.FACT_CLUSTER
 
 
@@ -151,7 +153,7 @@ def daily_refreshes(i: Inputs, first_run: date = FIRST_DAILY_RUN) -> DataFrame:
         arrived = i.raw_events.filter(F.col("dt") < F.lit(run))
         tables.refresh(i.spark, stg_path,
                        lambda a, d, src=arrived: staging.stage_events(src, a, d), run,
-                       window_days=staging.FULL_LOOKBACK_DAYS, tiebreak="event_id")
+                       window_days=staging.FULL_LOOKBACK_DAYS)
         staged = tables.read(i.spark, stg_path, schemas.STORED_EVENTS)
         tables.refresh(i.spark, fct_path, lambda a, d, src=staged: facts.fct_events(src, a, d), run,
                        cluster_by=FACT_CLUSTER, tiebreak="event_id")
@@ -267,6 +269,113 @@ def weekly_job(i: Inputs, name: str) -> DataFrame:
     return tables.read(i.spark, cfg.path(name))
 
 
+def _job(i: Inputs, root: str, as_of: date, **options) -> jobs.PipelineConfig:
+    return jobs.PipelineConfig(
+        root=f"{root}/out", raw_events=f"{root}/raw_events", raw_repos=f"{root}/raw_repos",
+        raw_users=f"{root}/raw_users", as_of=as_of, **options,
+        tier_params=dict(new_days=TIER_NEW_DAYS, core_repos=TIER_CORE_REPOS, core_days=TIER_CORE_DAYS))
+
+
+def _arrive(i: Inputs, root: str, events: Column | None, snapshots: Column | None) -> None:
+    """Land the raw events and snapshots of some days (a condition on ``day``)."""
+    if events is not None:
+        tables.replace_partitions(i.raw_events.withColumn("day", F.col("dt")).filter(events).drop("day"), f"{root}/raw_events", "dt")
+    if snapshots is not None:
+        for raw, name, required in ((i.raw_repos, "raw_repos", schemas.REPOS_REQUIRED), (i.raw_users, "raw_users", schemas.USERS_REQUIRED)):
+            some = raw.withColumn("day", F.to_date("ingested_at")).filter(snapshots).drop("day")
+            if not some.isEmpty():
+                ingest.land_snapshots(some, f"{root}/{name}", required)
+
+
+def daily_after_weekly(i: Inputs) -> jobs.PipelineConfig:
+    """A weekly run, then a daily one over the days that came since: the event days are replaced, their partials
+    feed the marts, and the repo versions are merged from the new snapshots."""
+    root, day = i.scratch("job"), F.col("day")
+    _arrive(i, root, day < F.lit(WEEKLY_RUN), day < F.lit(WEEKLY_RUN))
+    jobs.run_weekly(i.spark, _job(i, root, WEEKLY_RUN))
+    _arrive(i, root, day >= F.lit(WEEKLY_RUN), day >= F.lit(WEEKLY_RUN))
+    cfg = _job(i, root, i.as_of)
+    jobs.run_daily(i.spark, cfg)
+    return cfg
+
+
+def late_after_weekly(i: Inputs) -> jobs.PipelineConfig:
+    """A weekly run before one day's events and snapshots came, then a weekly run over that day and the new ones: the
+    late events change earlier tiers, the late snapshots split and join versions."""
+    root, day = i.scratch("job"), F.col("day")
+    on_time = (day < F.lit(WEEKLY_RUN)) & (day != F.lit(LATE_DAY))
+    _arrive(i, root, on_time, on_time)
+    jobs.run_weekly(i.spark, _job(i, root, WEEKLY_RUN))
+    _arrive(i, root, ~on_time, ~on_time)
+    new = [WEEKLY_RUN + timedelta(days=k) for k in range((i.as_of - WEEKLY_RUN).days + 1)]
+    cfg = _job(i, root, i.as_of, days=(LATE_DAY, *new))
+    jobs.run_weekly(i.spark, cfg)
+    return cfg
+
+
+def stored(scenario: Callable[[Inputs], jobs.PipelineConfig], name: str) -> Callable[[Inputs], DataFrame]:
+    """A stored table as the jobs of ``scenario`` leave it."""
+    def build(i: Inputs) -> DataFrame:
+        return dims.Versioned.published(tables.read(i.spark, scenario(i).path(name)))
+    build.__doc__ = scenario.__doc__
+    return build
+
+
+def flawed_day(i: Inputs) -> DataFrame:
+    """The stored fact after a daily run that met event days without ids: the run stops before anything of them is
+    published, so the fact is as the weekly run left it."""
+    root, day = i.scratch("job"), F.col("day")
+    _arrive(i, root, day < F.lit(WEEKLY_RUN), day == day)
+    jobs.run_weekly(i.spark, _job(i, root, WEEKLY_RUN))
+    nameless = i.raw_events.filter(F.col("dt") >= F.lit(WEEKLY_RUN)).withColumn(
+        "id", F.when(F.col("actor.id") % 3 > 0, F.col("id")))
+    tables.replace_partitions(nameless, f"{root}/raw_events", "dt")
+    cfg = _job(i, root, i.as_of)
+    try:
+        jobs.run_daily(i.spark, cfg)
+    except checks.CheckFailed:
+        pass
+    return tables.read(i.spark, cfg.path("fct_events"), schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
+
+
+def arrivals_fact(i: Inputs) -> DataFrame:
+    """The fact after two runs on arrivals, the second of them for the file of one day that came three weeks late."""
+    root, day = i.scratch("job"), F.col("day")
+    _arrive(i, root, day != F.lit(LATE_DAY), day == day)
+    cfg, seen = _job(i, root, i.as_of), f"{root}/seen"
+    arrivals.run_on_arrivals(i.spark, cfg, seen)
+    _arrive(i, root, day == F.lit(LATE_DAY), None)
+    arrivals.run_on_arrivals(i.spark, cfg, seen)
+    return tables.read(i.spark, cfg.path("fct_events"), schemas.STORED_EVENTS).select(*staging.EVENT_COLUMNS)
+
+
+def views_sql(i: Inputs) -> DataFrame:
+    """SQL over the views of a weekly job's tables."""
+    root = i.scratch("job")
+    _arrive(i, root, F.col("day") == F.col("day"), F.col("day") == F.col("day"))
+    cfg = _job(i, root, i.as_of)
+    jobs.run_weekly(i.spark, cfg)
+    jobs.register_views(i.spark, cfg)
+    return i.spark.sql("""
+        SELECT l.language_name, d.star_bucket, h.bus_factor_label, count(*) AS repos, sum(h.events_90d) AS events
+        FROM mart_repo_health h
+        JOIN dim_repos d ON d.repo_id = h.repo_id AND d.is_current
+        JOIN dim_languages l ON l.language_name = h.primary_language
+        GROUP BY l.language_name, d.star_bucket, h.bus_factor_label""")
+
+
+def malformed_landed(i: Inputs) -> DataFrame:
+    """Rejects of document files with broken lines, wrong types and missing parents: line, file's day and reason."""
+    root = i.scratch("files")
+    standins.malformed_documents(i.spark, i.sf_dir).write.partitionBy("dt").text(f"{root}/docs")
+    read = ingest.read_documents(i.spark, f"{root}/docs", schemas.REPO_DOCUMENT, traces=True)
+    ingest.land_repos(i.spark, read, LANDED_AT, f"{root}/repos", f"{root}/rejects")
+    rejects = i.spark.read.schema("identifier string, reason string, line string, file string, ingested_date date").json(
+        f"{root}/rejects")
+    return rejects.select("identifier", "reason", "line", F.to_date(F.regexp_extract("file", "dt=([0-9-]+)/", 1)).alias("file_day"),
+                          "ingested_date")
+
+
 def freshness_report(i: Inputs) -> DataFrame:
     recent = F.col("dt") >= F.date_sub(F.lit(i.as_of), 2)
     return (checks.freshness(i.raw_events.filter(recent), "raw.events", "created_at",
@@ -343,8 +452,7 @@ QUERIES: dict[str, Query] = {
     "panel_characteristics": _q(lambda i: marts.panel_characteristics(i.repo_health)),
     "as_of_join": _q(lambda i: history.as_of_join(
         i.fct.select("event_id", "repo_id", "event_at"), i.dim_repos, "repo_id", "event_at",
-        ["dim_repo_id", "star_bucket", "is_archived", "is_current"],
-        (i.as_of - timedelta(days=windows.FACT_WINDOW_DAYS), i.as_of))),
+        ["dim_repo_id", "star_bucket", "is_archived", "is_current"])),
     "project_repos": _q(projected_repos),
     "project_users": _q(projected_users),
     "land_idempotent": _q(landed_twice),
@@ -362,6 +470,16 @@ QUERIES: dict[str, Query] = {
     "job_weekly_health": _q(lambda i: weekly_job(i, "mart_repo_health")),
     "job_weekly_users": _q(lambda i: weekly_job(i, "dim_users")),
     "job_weekly_checks": _q(lambda i: weekly_job(i, "check_results")),
+    "job_daily_health": _q(stored(daily_after_weekly, "mart_repo_health")),
+    "job_daily_trends": _q(stored(daily_after_weekly, "mart_language_contributor_trends")),
+    "job_daily_velocity": _q(stored(daily_after_weekly, "mart_pr_velocity")),
+    "job_late_repos": _q(stored(late_after_weekly, "dim_repos")),
+    "job_late_users": _q(stored(late_after_weekly, "dim_users")),
+    "job_late_tiers": _q(stored(late_after_weekly, "int_user_contributor_tier_snapshots")),
+    "job_flawed_day": _q(flawed_day),
+    "job_arrivals": _q(arrivals_fact),
+    "job_views": _q(views_sql),
+    "land_malformed": _q(malformed_landed),
     # Many checks over fourteen models: the shared, shuffled ones are written once and read back.
     "checks_summary": _q(all_checks, checkpointed=True),
     "checks_summary_flawed": _q(all_checks_flawed, checkpointed=True),

@@ -55,9 +55,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                               now=args.now, full=args.full)
     if args.job == "land":
         stamp = args.ingested_at or f"{args.as_of.isoformat()} 00:00:00"
-        repo_docs = (ingest.read_documents(spark, args.repo_docs, schemas.REPO_DOCUMENT)
+        repo_docs = (ingest.read_documents(spark, args.repo_docs, schemas.REPO_DOCUMENT, traces=True)
                      if args.repo_docs else None)
-        user_docs = (ingest.read_documents(spark, args.user_docs, schemas.USER_DOCUMENT)
+        user_docs = (ingest.read_documents(spark, args.user_docs, schemas.USER_DOCUMENT, traces=True)
                      if args.user_docs else None)
         repo_targets = (ingest.read_seed_csv(spark, args.targets, "full_name string, enabled boolean")
                         if args.targets else None)

@@ -11,17 +11,48 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pulse import schemas
 from pulse.functions import blank_to_null
 from pulse.sources import tables
 
 
-def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+#: Columns that follow a document which was read with its traces.
+TRACES = ("_problem", "_line", "_file")
+
+
+def read_documents(spark: SparkSession, path: str, schema: StructType, traces: bool = False) -> DataFrame:
     """NDJSON with a fixed schema: undeclared keys (nested too) are dropped,
-    missing keys read as null. No inference pass over the files."""
-    return spark.read.schema(schema).json(path)
+    missing keys read as null. No inference pass over the files.
+
+    With ``traces`` each document also carries its file, and one that is not as declared its line and what is wrong
+    with it: not JSON at all, or the keys whose value has another type. Landing rejects such documents
+    with their text instead of taking nulls for what they held.
+    """
+    if not traces:
+        return spark.read.schema(schema).json(path)
+    wide = StructType([*schema.fields, StructField("_line", StringType())])
+    docs = spark.read.schema(wide).option("columnNameOfCorruptRecord", "_line").json(path)
+    wrong = F.concat_ws(",", *[F.when(F.get_json_object("_line", f"$.{name}").isNotNull() & F.col(name).isNull(), F.lit(name))
+                               for name in _leaves(schema)])
+    problem = F.when(F.col("_line").isNotNull(), F.when(F.get_json_object("_line", "$").isNull(), "not JSON")
+                     .otherwise(F.concat(F.lit("wrong type: "), wrong)))
+    return docs.withColumn("_problem", problem).withColumn("_file", F.col("_metadata.file_path"))
+
+
+def _leaves(schema: StructType, prefix: str = "") -> list[str]:
+    """Paths of all declared keys, those that hold others too."""
+    out = []
+    for f in schema.fields:
+        out.append(prefix + f.name)
+        if isinstance(f.dataType, StructType):
+            out += _leaves(f.dataType, f"{prefix}{f.name}.")
+    return out
+
+
+def _traces(docs: DataFrame) -> list[str]:
+    return [c for c in TRACES if c in docs.columns]
 
 
 def parse_documents(df: DataFrame, schema: StructType, text_col: str = "value") -> DataFrame:
@@ -56,7 +87,7 @@ def project_repos(docs: DataFrame, ingested_at: datetime | str | Column) -> Data
         "description", "fork", "language", "stargazers_count", "watchers_count",
         "forks_count", "open_issues_count", "archived",
         _time("created_at").alias("created_at"), _time("pushed_at").alias("pushed_at"),
-        _stamp(ingested_at).alias("ingested_at"),
+        _stamp(ingested_at).alias("ingested_at"), *_traces(docs),
     )
 
 
@@ -66,19 +97,27 @@ def project_users(docs: DataFrame, ingested_at: datetime | str | Column) -> Data
         "id", "node_id", "login", "type", "site_admin", "name", "company", "location",
         "public_repos", "followers", "following",
         _time("created_at").alias("created_at"),
-        _stamp(ingested_at).alias("ingested_at"),
+        _stamp(ingested_at).alias("ingested_at"), *_traces(docs),
     )
 
 
+def _reason(df: DataFrame, required: tuple[str, ...]) -> Column:
+    """Why a row cannot land; empty if it can."""
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    reason = F.when(missing == "", "").otherwise(F.concat(F.lit("missing required: "), missing))
+    if "_problem" in df.columns:
+        reason = F.coalesce(F.concat(F.lit("malformed: "), F.col("_problem")), reason)
+    return reason
+
+
 def split_rejects(df: DataFrame, required: tuple[str, ...], identifier: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with every required column, rejects as (identifier, reason))."""
-    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
-    reason = F.concat_ws(",", *missing)
-    flagged = df.withColumn("_missing", reason)
-    good = flagged.filter(F.col("_missing") == "").drop("_missing")
-    rejects = flagged.filter(F.col("_missing") != "").select(
-        F.col(identifier).cast("string").alias("identifier"),
-        F.concat(F.lit("missing required: "), F.col("_missing")).alias("reason"),
+    """(rows that can land, rejects as (identifier, reason), with line and file where documents were read with
+    their traces)."""
+    flagged = df.withColumn("_reason", _reason(df, required))
+    good = flagged.filter(F.col("_reason") == "").drop("_reason", *TRACES)
+    rejects = flagged.filter(F.col("_reason") != "").select(
+        F.col(identifier).cast("string").alias("identifier"), F.col("_reason").alias("reason"),
+        *[F.col(c).alias(c[1:]) for c in _traces(df) if c != "_problem"],
         *( [F.col("ingested_date")] if "ingested_date" in df.columns else []))
     return good, rejects
 
@@ -88,8 +127,8 @@ def land_snapshots(df: DataFrame, path: str, required: tuple[str, ...], identifi
     """Land snapshot rows into their day partitions (by ``ingested_at``).
 
     Re-landing a day replaces that day only -- dynamic partition overwrite --
-    so running twice equals running once. Rows missing a required column go to
-    ``reject_path`` (written only when there are any). Returns the number of rows landed.
+    so running twice equals running once. Rows missing a required column, and malformed documents that were
+    read with their traces, go to ``reject_path`` (written only when there are any). Returns the number of rows landed.
 
     The batch is read once for the rows; counts and days are observed during that
     write, and only a batch with rejects is read again for them. Days of which every
@@ -97,7 +136,7 @@ def land_snapshots(df: DataFrame, path: str, required: tuple[str, ...], identifi
     rest has landed, so neither goes unreported.
     """
     dated = df.withColumn(partition_col, F.to_date("ingested_at"))
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    missing = _reason(dated, required)
     seen = Observation()
     watched = dated.observe(
         seen, F.count(F.when(missing == "", 1)).alias("landed"), F.count(F.when(missing != "", 1)).alias("rejected"),
@@ -154,8 +193,13 @@ def read_seeds(spark: SparkSession, repos_csv: str, users_csv: str) -> tuple[Dat
 
 
 def only_tracked(docs: DataFrame, targets: DataFrame, name: str) -> DataFrame:
-    """Documents of enabled targets only; the list and the documents share the column ``name``."""
-    return docs.join(tracked(targets).select(name).distinct(), name, "left_semi").select(*docs.columns)
+    """Documents of enabled targets only; the list and the documents share the column ``name``. Malformed documents that
+    were read with their traces stay: whose they are is not known, and they have to be reported."""
+    names = tracked(targets).select(name).distinct()
+    if "_problem" not in docs.columns:
+        return docs.join(names, name, "left_semi").select(*docs.columns)
+    sound = docs.filter(F.col("_problem").isNull()).join(names, name, "left_semi").select(*docs.columns)
+    return sound.unionByName(docs.filter(F.col("_problem").isNotNull()))
 
 
 def tracked(targets: DataFrame, flag: str = "enabled") -> DataFrame:

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulse.functions import ts
+
 # Stand-in derivation constants.
 SNAPSHOT_TIMES = ("2024-01-03 00:00:00", "2024-01-08 00:00:00", "2024-01-15 00:00:00",
                   "2024-01-22 00:00:00", "2024-01-29 00:00:00")
@@ -38,11 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ts(text: str) -> Column:
-    """A TIMESTAMP literal parsed in the session time zone (UTC)."""
-    return F.lit(text).cast("timestamp")
-
-
 def _event_type(c: Column) -> Column:
     expr = None
     for src, dst in EVENT_TYPE_MAP:
@@ -197,6 +194,21 @@ def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_date("ingested_at").alias("dt"))
 
 
+def malformed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of repo documents, of which some are broken off, hold a value of another type, or lack what is
+    required: (``value``, ``dt``)."""
+    r = raw_repos(spark, sf_dir)
+    kind = F.col("id") % 20
+    name = F.when(kind == 3, "").otherwise(F.concat(F.lit('"full_name": "'), F.col("full_name"), F.lit('", ')))
+    owner = (F.when(kind == 9, "null").when(kind == 11, '"u1"')
+             .otherwise(F.concat(F.lit('{"id": '), F.col("owner_id").cast("string"), F.lit("}"))))
+    stars = F.when(kind == 7, '"many"').otherwise(F.col("stargazers_count").cast("string"))
+    line = F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(", "), name, F.lit('"owner": '), owner,
+                    F.lit(', "stargazers_count": '), stars, F.lit("}"))
+    return r.select(F.when(kind == 5, F.substring(line, 1, 25)).otherwise(line).alias("value"),
+                    F.to_date("ingested_at").alias("dt"))
+
+
 # What is wrong with the flawed models, in SQL that both engines read. By
 # model: columns replaced where a condition holds, and the condition of rows that come twice.
 _EVENT = "CAST(event_id AS BIGINT)"

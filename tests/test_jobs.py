@@ -101,16 +101,19 @@ def test_arrivals_never_go_back_in_time(spark, landed, tmp_path):
     seen = []
 
     def record(s, conf):
-        seen.append((conf.as_of.isoformat(), conf.lookback_days))
+        seen.append((conf.as_of.isoformat(), conf.days))
         return jobs.run_daily(s, conf)
 
     ckpt = str(tmp_path / "ckpt")
     assert arrivals.run_on_arrivals(spark, c, ckpt, record) == ["2024-01-21"]
     health = tables.read(spark, c.path("mart_repo_health")).select("repo_id", "repo_age_days").collect()
-    # A late file: the run stays at the newest day and reaches back to the late one.
+    # A late file: the run stays at the newest day and replaces the late one alone.
+    held = tables.days_in_force(spark, c.path("fct_events"))
     tables.replace_partitions(events.filter(F.col("dt") == "2024-01-10"), raw, "dt")
     assert arrivals.run_on_arrivals(spark, c, ckpt, record) == ["2024-01-21"]
-    assert seen[-1] == ("2024-01-21", 11)
+    assert seen[-1] == ("2024-01-21", (dt.date(2024, 1, 10),))
+    now = tables.days_in_force(spark, c.path("fct_events"))
+    assert {d for d in now if now[d] != held.get(d)} == {"2024-01-10"}
     days = {str(r[0]) for r in tables.read(spark, c.path("fct_events")).select("event_date").distinct().collect()}
     assert "2024-01-10" in days
     assert sorted(health) == sorted(tables.read(spark, c.path("mart_repo_health")).select("repo_id", "repo_age_days").collect())
