@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from conftest import SF
 from pulse.operators import facts, staging
 from pulse.plans import queries
@@ -119,3 +121,188 @@ def test_late_rows_within_lookback_picked_up_later_ones_wait_for_full_refresh(sp
     tables.refresh(spark, full, build(raw), dt.date(2024, 1, 30))
     days = {r[0].isoformat() for r in tables.read(spark, full).select("event_date").distinct().collect()}
     assert "2024-01-20" in days
+
+
+# --- layout by size ---------------------------------------------------------------
+
+def spread_over(spark, n_tasks=64):
+    from pyspark.sql import functions as F
+    return spark.range(0, 64_000, 1, n_tasks).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.xxhash64("id") % 5000).cast("bigint").alias("repo_id"),
+        F.expr("date_add(date'2024-01-01', cast(id % 4 as int))").alias("event_date"))
+
+
+@pytest.fixture()
+def advisory(spark):
+    """Sets the bytes that AQE gives a task, and sets them back."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, size)
+    spark.conf.set(name, old)
+
+
+def tasks_and_files(spark, path):
+    from pyspark.sql import functions as F
+    files = tables.read(spark, path).groupBy("event_date", F.input_file_name().alias("file")).count().collect()
+    by_day = {}
+    for r in files:
+        by_day.setdefault(r.event_date, set()).add(r.file)
+    return {len(v) for v in by_day.values()}
+
+
+def test_few_days_use_as_many_tasks_as_their_bytes(spark, advisory):
+    """Four days from 64 tasks: large ones are split over many tasks, small ones fill few."""
+    from pyspark.sql import functions as F
+    advisory("16k")
+    rows = tables.layout(spread_over(spark), "event_date")
+    per_task = rows.select("*", F.spark_partition_id().alias("p")).rdd.map(lambda r: (r.p, 1)).reduceByKey(lambda a, b: a + b).collect()
+    assert len(per_task) > 30 and max(n for _, n in per_task) < 8_000
+    advisory("64m")
+    assert tables.layout(spread_over(spark), "event_date").rdd.getNumPartitions() <= 4
+
+
+def test_files_of_a_day_follow_bytes_and_not_tasks(spark, scratch, advisory):
+    advisory("64m")
+    path = os.path.join(scratch, "small")
+    tables.publish(spark, tables.stage_clustered(spread_over(spark), path, "event_date", ("repo_id",), "event_id", alone=True))
+    assert tasks_and_files(spark, path) == {1}
+    advisory("24k")
+    path = os.path.join(scratch, "large")
+    for _ in range(2):  # the second time by the bytes of what is stored
+        tables.publish(spark, tables.stage_clustered(spread_over(spark), path, "event_date", ("repo_id",), "event_id", alone=True))
+    files = tasks_and_files(spark, path)
+    assert min(files) >= 4 and max(files) < 64
+
+
+def test_hot_repo_is_split_and_ranges_are_narrow(spark, scratch):
+    """A repo with a third of a day spans several ranges; the other ranges hold a slice of the repos."""
+    from pyspark.sql import functions as F
+    df = spread_over(spark).filter("event_date = '2024-01-01'")
+    ranged = tables.layout(df, "event_date", ("repo_id",), "event_id", row_bytes=tables.file_bytes(spark) / 1600)
+    order = [line for line in ranged._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort" in line][0]
+    assert "_range" in order
+    quantiles = tables.key_quantiles(df, "event_date", "repo_id").collect()
+    assert quantiles[0].n_rows == df.count() and quantiles[0].cuts == sorted(quantiles[0].cuts)
+    assert sum(c == 7 for c in quantiles[0].cuts) > 60  # a third of the quantiles
+    got = ranged.count()
+    assert got == df.count()
+    # Ten ranges of 1,600 rows: look at the rows of each as the layout deals them.
+    cuts = [quantiles[0].cuts[round(k * 256 / 10) - 1] for k in range(1, 10)]
+    low = F.lit(0)
+    for c in cuts:
+        low = low + (F.col("repo_id") > c).cast("int")
+    assert cuts.count(7) >= 2 and df.filter("repo_id <> 7").groupBy(low.alias("r")).count().count() >= 5
+
+
+def test_quantiles_of_strings_and_nulls_do_not_fail(spark, scratch):
+    from pyspark.sql import functions as F
+    df = spread_over(spark, 4).limit(1000).withColumn("name", F.concat(F.lit("r"), F.col("repo_id").cast("string")))
+    df = df.withColumn("repo_id", F.when(F.col("repo_id") % 2 == 0, F.col("repo_id")))
+    for key in ("name", "repo_id"):
+        out = tables.layout(df, "event_date", (key,), "event_id", row_bytes=tables.file_bytes(spark) / 50)
+        assert out.exceptAll(df).count() == 0 and out.count() == 1000
+
+
+def test_clone_keeps_the_quantiles(spark, scratch):
+    src, dst = os.path.join(scratch, "src"), os.path.join(scratch, "dst")
+    tables.publish(spark, tables.stage_clustered(spread_over(spark, 4), src, "event_date", ("repo_id",), "event_id", alone=True))
+    tables.clone_table(spark, src, dst, "event_date", ("repo_id",), "event_id")
+    one, two = (sorted(map(tuple, tables.stored_quantiles(spark, p).collect())) for p in (src, dst))
+    assert one == two and len(one) == 4
+    assert tables.read(spark, dst).exceptAll(tables.read(spark, src)).count() == 0
+
+
+# --- staging, publishing, recovering --------------------------------------------------
+
+def some_days(spark, first, n, value):
+    from pyspark.sql import functions as F
+    return spark.range(n).select(F.lit(value).alias("v"), F.date_add(F.lit(dt.date(2024, 1, first)), F.col("id").cast("int")).alias("d"))
+
+
+def held(spark, path):
+    return {str(r.d): r.v for r in tables.read(spark, path).collect()}
+
+
+def test_staged_days_are_not_read_until_published(spark, scratch):
+    path = os.path.join(scratch, "t")
+    tables.publish(spark, tables.stage_days(some_days(spark, 1, 4, "a"), path, "d"))
+    staged = tables.stage_days(some_days(spark, 3, 3, "b"), path, "d")
+    assert set(held(spark, path).values()) == {"a"} and len(held(spark, path)) == 4
+    after = {str(r.d): r.v for r in tables.as_published(spark, staged).collect()}
+    assert after == {"2024-01-01": "a", "2024-01-02": "a", "2024-01-03": "b", "2024-01-04": "b", "2024-01-05": "b"}
+    assert {r.v for r in tables.staged_rows(spark, staged).collect()} == {"b"}
+    tables.publish(spark, staged)
+    assert held(spark, path) == after
+    tables.publish(spark, staged)  # again: nothing changes
+    assert held(spark, path) == after
+
+
+def test_readers_of_the_list_before_are_left_their_files(spark, scratch):
+    path = os.path.join(scratch, "t")
+    for v in "abc":
+        tables.publish(spark, tables.stage_days(some_days(spark, 1, 2, v), path, "d"))
+    open_ = tables.read(spark, path)
+    tables.publish(spark, tables.stage_days(some_days(spark, 1, 2, "e"), path, "d"))
+    assert {r.v for r in open_.collect()} == {"c"}
+    writes = [n for n in os.listdir(path) if n.startswith("write=")]
+    assert len(writes) == 2 and len(os.listdir(os.path.join(path, "_days"))) >= 4
+
+
+def test_kill_between_two_tables_is_finished_by_the_next_run(spark, scratch, monkeypatch):
+    one, two = os.path.join(scratch, "one"), os.path.join(scratch, "two")
+    for p in (one, two):
+        tables.publish(spark, tables.stage_days(some_days(spark, 1, 2, "a"), p, "d"))
+    staged = [tables.stage_days(some_days(spark, 2, 2, "b"), p, "d") for p in (one, two)]
+    publish, seen = tables.publish, []
+
+    def dies(s, what):
+        seen.append(what)
+        if len(seen) == 2:
+            raise KeyboardInterrupt
+        publish(s, what)
+
+    monkeypatch.setattr(tables, "publish", dies)
+    with pytest.raises(KeyboardInterrupt):
+        tables.publish_together(spark, scratch, *staged)
+    monkeypatch.undo()
+    assert held(spark, one)["2024-01-02"] == "b" and held(spark, two) == {"2024-01-01": "a", "2024-01-02": "a"}
+    assert tables.recover(spark, scratch) == [one, two]
+    assert held(spark, one) == held(spark, two) == {"2024-01-01": "a", "2024-01-02": "b", "2024-01-03": "b"}
+    assert tables.recover(spark, scratch) == []
+
+
+def test_journal_that_is_not_whole_is_undone(spark, scratch):
+    path = os.path.join(scratch, "t")
+    tables.publish(spark, tables.stage_days(some_days(spark, 1, 2, "a"), path, "d"))
+    tables.stage_days(some_days(spark, 1, 2, "b"), path, "d")
+    os.makedirs(os.path.join(scratch, "_journal"))
+    with open(os.path.join(scratch, "_journal", "x.json"), "w") as f:
+        f.write('[{"path": "')
+    assert tables.recover(spark, scratch) == []
+    assert set(held(spark, path).values()) == {"a"} and os.listdir(os.path.join(scratch, "_journal")) == []
+    tables.publish(spark, tables.stage_days(some_days(spark, 1, 1, "c"), path, "d"))  # the abandoned write goes
+    assert len([n for n in os.listdir(path) if n.startswith("write=")]) == 2
+
+
+def test_days_leave_and_all_days_may_go(spark, scratch):
+    from dataclasses import replace
+    path = os.path.join(scratch, "t")
+    schema = some_days(spark, 1, 1, "a").schema
+    tables.publish(spark, replace(tables.stage_days(some_days(spark, 1, 3, "a"), path, "d"), note={"n": 1}))
+    tables.publish(spark, replace(tables.stage_days(some_days(spark, 9, 1, "b"), path, "d"), gone=("2024-01-02",)))
+    assert sorted(held(spark, path)) == ["2024-01-01", "2024-01-03", "2024-01-09"] and tables.note(spark, path) == {"n": 1}
+    assert len(tables.expire(spark, path, dt.date(2024, 2, 1), 1, "d")) == 3
+    assert tables.read(spark, path, schema).count() == 0 and tables.partitions(spark, path, "d") == []
+    assert tables.exists(spark, path)
+
+
+def test_versions_beyond_six_digits_and_abandoned_ones(spark, scratch):
+    path = os.path.join(scratch, "dim")
+    tables.replace_table(spark.range(3), path)
+    os.rename(tables.location(spark, path), os.path.join(path, "v999999-0123abcd"))
+    left = tables.stage(spark.range(7), path)  # never published
+    assert os.path.basename(left).startswith("v1000000-")
+    tables.replace_table(spark.range(4), path)
+    assert os.path.basename(tables.location(spark, path)).startswith("v1000001-") and tables.read(spark, path).count() == 4
+    assert not os.path.exists(left)
