@@ -266,7 +266,7 @@ def weekly_job(i: Inputs, name: str) -> DataFrame:
         raw_users=f"{root}/raw_users", as_of=i.as_of, now=CHECK_NOW,
         tier_params=dict(new_days=TIER_NEW_DAYS, core_repos=TIER_CORE_REPOS, core_days=TIER_CORE_DAYS))
     jobs.run_weekly(i.spark, cfg)
-    return tables.read(i.spark, cfg.path(name))
+    return dims.Versioned.published(tables.read(i.spark, cfg.path(name)))
 
 
 def _job(i: Inputs, root: str, as_of: date, **options) -> jobs.PipelineConfig:
