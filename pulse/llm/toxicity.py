@@ -6,7 +6,9 @@ written word spans a lattice of the letters each of its characters may stand for
 of runs kept, halved or made single); the Viterbi path under a character trigram model is
 its restored form. Neighbouring words span one lattice, in which each separator is either skipped or ends a word;
 where both sides are plain it is decided by the two letters on each side alone, as the trigrams across it are
-all that differs, so those decisions are remembered. Words that the path joins count besides the written ones. The model counts trigrams over the words of all documents and, with
+all that differs, so those decisions are remembered. Words that the path joins count besides the written ones. Scoring
+numbers the distinct tokens of a batch, restores each once, decides each pair of letters once, and walks through the words
+of a text only where tokens are disguised or joined. The model counts trigrams over the words of all documents and, with
 weight of its own, over words that mark toxic training documents, since those are what
 gets disguised.
 
@@ -26,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +37,6 @@ from pulse.llm import common, labelled
 FOLDS, HELD_OUT = 3, 1
 CUT = 0.7
 TRAIN_DOCS = 6000
-#: Entries of an evidence table at most (raising ones, and as many that take back what a beginning says).
-MAX_GRAMS = 60_000
 #: Sample documents that must hold a word or beginning before it is evidence.
 MIN_DOCS = 3
 #: Shortest and longest beginnings of a word that are evidence of their own.
@@ -59,8 +60,17 @@ _EDGE_COST = 2.0  # a sign at a word's edge stands for nothing
 _HALVE_COST = 0.5  # a long run of letters stands for one or two
 _JOIN_COST = 2.0  # a separator within a word
 _SINGLE_COST = 4.0  # a double letter stands for one
+#: Letters from which on a sign at the edge of a token ends a sentence rather than stands for a letter.
+_LONG = 4
 
 _TOKEN = re.compile(r"\S+").findall
+#: White space as Python has it, for Arrow.
+_BETWEEN = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+#: Words of letters whose lower case is one letter each, and a letter three times.
+_LATIN = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
+_EASY, _DRAWN = f"^[{_LATIN}]{{2,}}$", "|".join(c * 3 for c in _LATIN)
+#: Characters of tokens that are remembered.
+_REMEMBERED = 64
 #: Characters around a word that say nothing about it; signs of LOOKS_LIKE stay when single.
 _EDGE = "\"'.,;:?*#%&-_~`<>[]{}/\\=^…«»“”„’"
 _NOISE = re.compile(r"^(?:([^\w\s])\1+)+|(?:([^\w\s])\2+)+$")
@@ -97,9 +107,17 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     spans: dict[str, tuple | None] = field(default_factory=dict)
     short: dict[str, str | None] = field(default_factory=dict)
+    known: dict[str, tuple] = field(default_factory=dict)
 
     def __post_init__(self):
         # A word that begins with none of these has no evidence above the rate.
+        self.odds = {g: (p + PRIOR_DOCS * self.rate) / (p + n + PRIOR_DOCS) for g, (p, n) in self.evidence.items() if p + n >= MIN_DOCS}
+        #: Known grams by length, whole words under 0, and their evidence, for Arrow.
+        by_length: dict[int, list[str]] = {}
+        for gram in self.odds:
+            by_length.setdefault(0 if gram.endswith("$") else len(gram), []).append(gram)
+        self.known_grams = {n: (pa.array([g.removesuffix("$") for g in held], pa.string()), np.array([self.odds[g] for g in held]))
+                            for n, held in sorted(by_length.items(), reverse=True)}
         raising = [g for g, (p, n) in self.evidence.items() if (p + PRIOR_DOCS * self.rate) / (p + n + PRIOR_DOCS) > self.rate]
         self.three, self.four = {g for g in raising if len(g) == SHORTEST}, {g[:SHORTEST + 1] for g in raising}
 
@@ -108,7 +126,7 @@ class Model:
 
     def __setstate__(self, state):
         self.costs, self.evidence, self.rate, self.slope = state
-        self.restored, self.weights, self.spans, self.short = {}, {}, {}, {}
+        self.restored, self.weights, self.spans, self.short, self.known = {}, {}, {}, {}, {}
         self.__post_init__()
 
     def viterbi(self, written: str, open_end: bool = False) -> str:
@@ -195,7 +213,7 @@ class Model:
         joined = False
         loose: list[str] = []
         for token, word in zip([*tokens, ""], [*plain, ""]):
-            if 0 < len(token) < 4 and (raw := short[token] if token in short else self._loose(token)):
+            if token and (raw := short[token] if token in short else self._loose(token)):
                 loose.append(raw)
                 continue
             if " " in word:  # falls into parts: nothing is joined to it
@@ -212,11 +230,7 @@ class Model:
                 continue
             read = spans.get(key, 0)
             if read == 0:
-                read = self._read(key)
-                if len(key) <= 16:
-                    if len(self.spans) >= MEMO_ENTRIES:
-                        self.spans.clear()
-                    self.spans[key] = read
+                read = self._known_read(key)
             if read is None:  # nothing is joined
                 if joined:
                     out.append(left)
@@ -235,6 +249,16 @@ class Model:
             left = words[-1] + word[2:] if ends else ""
         return out
 
+    def _known_read(self, key: str):
+        read = self.spans.get(key, 0)
+        if read == 0:
+            read = self._read(key)
+            if len(key) <= 16:
+                if len(self.spans) >= MEMO_ENTRIES:
+                    self.spans.clear()
+                self.spans[key] = read
+        return read
+
     def _read(self, key: str):
         """The words of the cheapest path and whether the first and last go on; None if no words are joined."""
         starts, ends = not key.startswith(" "), not key.endswith(" ")
@@ -246,8 +270,10 @@ class Model:
         return [w for w in read.split(" ") if w], starts, ends
 
     def _loose(self, token: str) -> str | None:
-        """A single character, or a short token with look-alikes among letters, as it is written: it is read with its neighbours."""
+        """A single character, or a token with look-alikes among letters, as it is written: it is read with its neighbours."""
         bare = token if _PLAIN(token) else token.strip(_EDGE + "|") or token
+        if len(bare) >= _LONG and bare.endswith(("!", ")")) or bare.startswith("("):
+            bare = bare.rstrip("!)").lstrip("(") or bare
         raw = None
         if len(bare) == 1:
             raw = bare.lower() if bare.isalpha() or bare in LOOKS_LIKE else None
@@ -313,8 +339,32 @@ class Model:
         return known
 
     def joined_weight(self, word: str) -> float:
-        """Evidence above the rate; joined words are too many and too rare to be remembered."""
-        return self.weight(word) if word[:SHORTEST] in self.three or (word + "$")[:SHORTEST + 1] in self.four else self.rate
+        """What ``weight`` says of a word that is not remembered, if that is above the rate."""
+        if word[:SHORTEST] in self.three or (word + "$")[:SHORTEST + 1] in self.four:
+            get = self.odds.get
+            known = get(word + "$")
+            if known is not None:
+                return known
+            for n in range(min(LONGEST, len(word)), SHORTEST - 1, -1):
+                known = get(word[:n])
+                if known is not None:
+                    return known
+        return self.rate
+
+    def weights_of(self, words: pa.Array) -> np.ndarray:
+        """``weight`` of many words: whole ones first, then by the longest beginning."""
+        out = np.full(len(words), self.rate)
+        todo = np.arange(len(words))
+        for n in [0, *[n for n in self.known_grams if n]]:
+            if n not in self.known_grams or not len(todo):
+                continue
+            held, odds = self.known_grams[n]
+            rest = words.take(pa.array(todo))
+            at = pc.index_in(pc.utf8_slice_codeunits(rest, start=0, stop=n) if n else rest, value_set=held)
+            hit = at.is_valid().to_numpy(zero_copy_only=False)
+            out[todo[hit]] = odds[at.drop_null().to_numpy()]
+            todo = todo[~hit]
+        return out
 
     def features(self, text: str, own: int | None = None) -> list[float]:
         """Which steps the strongest and the second strongest distinct word reach, and the mean of
@@ -326,16 +376,217 @@ class Model:
             weights += [rare(w) for w in set(joined) if w not in written]
         else:
             weights = [self.weight(w, own) for w in set(self.words(text))]
+        return self._told([p for p in weights if p > self.rate])
+
+    def _told(self, weights: list[float]) -> list[float]:
+        """The features of a text whose distinct words have these weights above the rate."""
         rate = self.rate
-        found = sorted([p for p in weights if p > rate], reverse=True)[:_STRONGEST]
+        found = sorted(weights, reverse=True)[:_STRONGEST]
         found = found + [rate] * (_STRONGEST - len(found))
         return ([float(found[0] > s) for s in _STEPS] + [float(found[1] > s) for s in _STEPS[::2]]
                 + [sum(found) / _STRONGEST - self.rate])
 
-    def score(self, text: str) -> float:
-        at = sum(map(operator.mul, self.slope, (*self.features(text), 1.0)))
+    def _probability(self, told: list[float]) -> float:
+        at = sum(map(operator.mul, self.slope, (*told, 1.0)))
         return 1 / (1 + math.exp(-min(max(at, -500.0), 500.0)))
 
+    def score(self, text: str) -> float:
+        return self._probability(self.features(text))
+
+    def _about(self, token: str) -> tuple:
+        """(plain word, empty if it falls into parts; the token as a loose one; as a single letter; words above the rate)."""
+        known = self.known.get(token)
+        if known is None:
+            plain, raw = self.restore(token), self._loose(token)
+            single = raw if raw and len(token) <= 2 and len(raw) == 1 else None
+            strong = tuple(w for w in set(plain.split(" ")) if self.known_weight(w) > self.rate)
+            known = ("" if " " in plain else plain, raw, single, strong)
+            if len(token) <= _REMEMBERED:
+                if len(self.known) >= MEMO_ENTRIES:
+                    self.known.clear()
+                self.known[token] = known
+        return known
+
+    def _tokens(self, tokens: pa.Array) -> tuple[pa.Array, dict[int, str], dict[int, str], dict[int, tuple]]:
+        """What ``_about`` says of distinct tokens: their words, and by place the loose ones, the single letters and the
+        words above the rate of those that fall into parts."""
+        core = pc.utf8_trim(tokens, characters=_EDGE)
+        words = pc.utf8_lower(core)
+        # Most tokens: letters, with or without marks around them.
+        easy = pc.and_(pc.match_substring_regex(words, _EASY), pc.invert(pc.match_substring_regex(words, _DRAWN)))
+        easy = pc.and_(easy, pc.invert(pc.match_substring(core, "\u0130")))
+        raws, singles, strong, others = {}, {}, {}, []
+        hard = np.flatnonzero(~easy.to_numpy(zero_copy_only=False))
+        for k, token in zip(hard.tolist(), tokens.take(pa.array(hard)).to_pylist()):
+            word, raw, single, told = self._about(token)
+            others.append(word)
+            if raw is not None:
+                raws[k] = raw
+            if single is not None:
+                singles[k] = single
+            if told and told != (word,):
+                strong[k] = told
+        return pc.replace_with_mask(words, pc.invert(easy), pa.array(others, pa.string())), raws, singles, strong
+
+    def scores(self, texts: pa.Array) -> list[float]:
+        """``score`` of every text of a batch."""
+        split = pc.split_pattern_regex(pc.fill_null(texts, ""), pattern=_BETWEEN)
+        flat = split.flatten()
+        some = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[some]
+        coded = flat.filter(pa.array(some)).dictionary_encode()
+        out = [self._probability(self._told([]))] * len(texts)
+        if not len(doc):
+            return out
+        token = coded.indices.to_numpy()
+        words, raws, singles, strong = self._tokens(coded.dictionary)
+        extra: dict[int, set[str]] = {}  # words that are not a token's own
+        for place in np.flatnonzero(_flags(strong, len(words))[token]).tolist():
+            extra.setdefault(int(doc[place]), set()).update(strong[token[place]])
+        names = words.to_pylist()
+        self._join_all(extra, doc, token, words, names, raws)
+        self._join_singles(extra, doc, token, singles, len(words))
+        # The strongest distinct words of each text.
+        distinct = words.dictionary_encode()
+        weight, number = self.weights_of(distinct.dictionary), distinct.indices.to_numpy()
+        held = weight[number][token] > self.rate
+        n = len(distinct.dictionary)
+        of, word = np.divmod(np.unique(doc[held] * n + number[token[held]]), n)
+        order = np.lexsort((-weight[word], of))
+        of, word = of[order], word[order]
+        first = np.searchsorted(of, of)
+        best = np.arange(len(of)) - first < _STRONGEST
+        told: dict[int, list[tuple[str, float]]] = {}
+        for k, name, w in zip(of[best].tolist(), distinct.dictionary.take(pa.array(word[best])).to_pylist(), weight[word[best]].tolist()):
+            told.setdefault(k, []).append((name, w))
+        for k in {*told, *extra}:
+            strongest = dict(told.get(k, ()))
+            strongest.update((w, self.joined_weight(w)) for w in extra.get(k, ()))
+            out[k] = self._probability(self._told([w for w in strongest.values() if w > self.rate]))
+        return out
+
+    def _join_all(self, found: dict[int, set[str]], doc: np.ndarray, token: np.ndarray, plain: pa.Array, words: list[str],
+                  raws: dict[int, str]) -> None:
+        """Add the words that ``_across`` joins: it is walked from each loose token, and from each pair of
+        neighbours that is read otherwise than it is written, until nothing more is joined."""
+        loose = _flags(raws, len(words))
+        usable = pc.not_equal(plain, "").to_numpy(zero_copy_only=False) & ~loose
+        last = pc.utf8_slice_codeunits(plain, start=-2).dictionary_encode()
+        first = pc.utf8_slice_codeunits(plain, start=0, stop=2).dictionary_encode()
+        lasts, firsts = last.dictionary.to_pylist(), first.dictionary.to_pylist()
+        last, first = last.indices.to_numpy(), first.indices.to_numpy()
+        at = np.flatnonzero((doc[1:] == doc[:-1]) & usable[token[:-1]] & usable[token[1:]])
+        pair = last[token[at]].astype(np.int64) * len(firsts) + first[token[at + 1]]
+        event = loose[token]
+        self._settle_alone(event, doc, token, raws, last, first, lasts, firsts)
+        reads = np.zeros(len(lasts) * len(firsts), dtype=bool)
+        reads[pair] = True
+        for code in np.flatnonzero(reads).tolist():
+            reads[code] = self._known_read(f"{lasts[code // len(firsts)]} {firsts[code % len(firsts)]}") is not None
+        event[at[reads[pair]] + 1] = True
+        events = np.flatnonzero(event).tolist()
+        ends = np.searchsorted(doc, np.arange(int(doc[-1]) + 1), "right").tolist()
+        starts = [0, *ends[:-1]]
+        here = 0  # nothing before this place is left to be walked
+        rate, weight = self.rate, self.joined_weight
+        at_doc = doc[events].tolist() if events else []
+        for place, k in zip(events, at_doc):
+            if place < here:
+                continue
+            joined: list[str] = []
+            here = self._walk(joined, token, words, raws, place, starts[k], ends[k])
+            for w in joined:
+                if weight(w) > rate:
+                    found.setdefault(k, set()).add(w)
+
+    def _settle_alone(self, event: np.ndarray, doc: np.ndarray, token: np.ndarray, raws: dict[int, str], last: np.ndarray,
+                      first: np.ndarray, lasts: list[str], firsts: list[str]) -> None:
+        """Take out the loose tokens between plain neighbours that join nothing: that depends on the token and the letters
+        next to it alone."""
+        same = np.concatenate([[False], doc[1:] == doc[:-1], [False]])  # as the token before
+        lonely = event & ~(np.concatenate([[False], event[:-1]]) & same[:-1]) & ~(np.concatenate([event[1:], [False]]) & same[1:])
+        at = np.flatnonzero(lonely)
+        if not len(at):
+            return
+        raw = pa.array([raws[t] for t in token[at].tolist()], pa.string()).dictionary_encode()
+        names = raw.dictionary.to_pylist()
+        before = np.where(same[at], last[token[at - 1]], len(lasts))
+        after = np.where(same[at + 1], first[token[np.minimum(at + 1, len(token) - 1)]], len(firsts))
+        codes = (before.astype(np.int64) * len(names) + raw.indices.to_numpy()) * (len(firsts) + 1) + after
+        held, code = np.unique(codes, return_inverse=True)
+        lasts, firsts = [*lasts, ""], [*firsts, ""]
+        plain = []
+        for c in held.tolist():
+            c, f = divmod(c, len(firsts))
+            b, n = divmod(c, len(names))
+            plain.append(self._known_read(f"{lasts[b]} {names[n]} {firsts[f]}") is None)
+        event[at[np.array(plain)[code]]] = False
+
+    def _walk(self, out: list[str], token: np.ndarray, words: list[str], raws: dict[int, str], place: int, start: int, end: int) -> int:
+        """``_across`` from ``place`` on, until it has joined nothing; the place where it stopped."""
+        left = words[token[place - 1]] if place > start else ""
+        joined = False
+        spans = self.spans
+        loose: list[str] = []
+        while place <= end:
+            word = ""
+            if place < end:
+                k = int(token[place])
+                if k in raws:
+                    loose.append(raws[k])
+                    place += 1
+                    continue
+                word = words[k]
+            place += 1
+            if loose:
+                key = f"{left[-2:]} {' '.join(loose)} {word[:2]}"
+                loose = []
+            elif left and word:
+                key = f"{left[-2:]} {word[:2]}"
+            else:
+                key = None
+            read = None if key is None else spans.get(key, 0)
+            if read == 0:
+                read = self._known_read(key)
+            if read is None:
+                if joined:
+                    out.append(left)
+                return min(place, end)
+            parts, starts_, ends_ = read
+            begun = left[:-2] + parts[0] if starts_ else None
+            if begun is not None and len(parts) == 1 and ends_:
+                left, joined = begun + word[2:], True
+                continue
+            if begun is not None and (joined or parts[0] != left[-2:]):
+                out.append(begun)
+            out += parts[1 if starts_ else 0: -1 if ends_ else None]
+            joined = ends_ and parts[-1] != word[:2]
+            left = parts[-1] + word[2:] if ends_ else ""
+        return end
+
+    def _join_singles(self, found: dict[int, set[str]], doc: np.ndarray, token: np.ndarray, singles: dict[int, str], n: int) -> None:
+        """Add the words that rows of single letters make."""
+        places = np.flatnonzero(_flags(singles, n)[token])
+        if not len(places):
+            return
+        new = np.concatenate([[True], (np.diff(places) > 1) | (doc[places[1:]] != doc[places[:-1]])])
+        starts = np.flatnonzero(new)
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(places)]):
+            if z - a < 2:
+                continue
+            letters = [singles[t] for t in token[places[a:z]].tolist()]
+            if len(set(letters)) > 1:
+                whole = self._word("".join(letters))
+                for w in (whole, whole[1:], whole[:-1]):
+                    if self.joined_weight(w) > self.rate:
+                        found.setdefault(int(doc[places[a]]), set()).add(w)
+
+
+def _flags(places, n: int) -> np.ndarray:
+    out = np.zeros(n, dtype=bool)
+    out[list(places)] = True
+    return out
+
 
 def grams(word: str) -> list[str]:
     """The word itself (marked by its end) and its beginnings, longest first."""
@@ -418,20 +669,20 @@ def _gram_counts(sample: DataFrame, base: Model) -> DataFrame:
 
 
 def _evidence(sample: DataFrame, base: Model, rate: float) -> dict[str, tuple[int, int]]:
-    """Counts of the grams that matter: those well above the rate of toxic documents, the strongest
-    first, and those that begin with one of them (they say that a beginning is harmless in a longer word).
+    """Counts of the grams that matter: those well above the rate of toxic documents, and those that begin
+    with one of them (they say that a beginning is harmless in a longer word). Their number is bounded by the sample.
 
     A gram in ``p`` toxic of ``p + n`` documents counts as ``(p + PRIOR_DOCS * rate) / (p + n + PRIOR_DOCS)``.
     """
     counts = common.cut(_gram_counts(sample, base).where(F.expr(f"p + n >= {MIN_DOCS}")))
     value = (F.col("p") + PRIOR_DOCS * rate) / (F.col("p") + F.col("n") + PRIOR_DOCS)
-    raising = counts.where(value > 2 * rate).orderBy(value.desc(), "gram").limit(MAX_GRAMS)
+    raising = counts.where(value > 2 * rate)
     begin = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("gram") - 1, F.lit(LONGEST))),
                         lambda k: F.substring("gram", F.lit(1), k))
     taking_back = (counts.where(value <= 2 * rate).where(F.length("gram") > SHORTEST)
                    .withColumn("begin", F.explode(begin))
-                   .join(F.broadcast(raising.select(F.col("gram").alias("begin"))), "begin", "left_semi")  # at most MAX_GRAMS
-                   .drop("begin").distinct().orderBy(F.desc("n"), "gram").limit(MAX_GRAMS))
+                   .join(raising.select(F.col("gram").alias("begin")), "begin", "left_semi")
+                   .drop("begin").distinct())
     return {r.gram: (r.p, r.n) for r in raising.collect() + taking_back.collect()}
 
 
@@ -491,13 +742,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     classes all texts get the smoothed share of toxic ones. An empty table gives no row.
     """
     model = train(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_GRAMS entries and one trigram table
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # grams of the sample and one trigram table
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
         for batch in batches:
-            for part, found in common.texts(batch):
-                yield common.out_batch(schema, part.column("doc_id"), [shared.value.score(t) for t in found])
+            for part in common.parts(batch):
+                yield common.out_batch(schema, part.column("doc_id"), shared.value.scores(part.column("text")))
 
     scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, score double")

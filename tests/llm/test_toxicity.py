@@ -1,8 +1,10 @@
 import itertools
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulse.llm import toxicity as tx
@@ -79,6 +81,54 @@ def test_no_cut_through_a_long_row_of_letters(trained):
     assert len(trained[2].words("a b 1 " * 50_000)) > 100_000
 
 
+def test_batches_score_as_single_texts_do(spark, trained):
+    """Scores of batches, from numbered tokens and pairs, are those of the texts one by one."""
+    docs, _, model = trained
+    rng = random.Random(3)
+    texts = [r.text for r in docs.select("text").limit(400).collect()]
+    for text in texts[:250]:
+        words = text.split()[:40]
+        for k in range(len(words)):
+            r = rng.random()
+            if r < 0.1:
+                words[k] = " ".join(words[k])
+            elif r < 0.2:
+                words[k] = words[k][:2] + " " + words[k][2:]
+            elif r < 0.3:
+                words[k] = words[k].replace("i", "1").replace("s", "$").replace("e", "3")
+            elif r < 0.4:
+                words[k] = rng.choice(["idiot", "id iot", "st upid", "1d1ot", "l0ser", "lo ser", "a", "I", "!", "(we", "me!", "x.y.z"])
+        texts.append(" ".join(words))
+    texts += [None, "", "   ", "a", "a b", "i d iot", "y o u i d i o t", "\u3000s t u p i d\x85x", "a a a", "x " * 5000 + "s t upid"]
+    assert model.scores(pa.array(texts, pa.string())) == [model.score(t or "") for t in texts]
+    for k in range(0, 400, 7):  # and whatever stands beside them in the batch
+        assert model.scores(pa.array([texts[k]], pa.string())) == [model.score(texts[k])]
+
+
+def test_long_disguised_word_next_to_a_fragment(trained):
+    """A disguised token of any length is read together with its neighbours."""
+    model = trained[2]
+    text = "the thing is that it and the {} was here for all of them"
+    for written, plain in (("stu p1d", "stupid"), ("$tup 1d", "stupid"), ("st up1d", "stupid"), ("i d10t", "idiot"), ("lo s3r", "loser"), ("l 0s3r", "loser")):
+        assert plain in model.words(text.format(written)), written
+        assert model.score(text.format(written)) > 0.7, written
+
+
+def test_all_evidence_of_the_sample_is_kept(spark):
+    """More grams than sixty thousand: none is dropped."""
+    words = ["".join(p) + "xyqz"[k % 4] + "mn"[k // 4 % 2] for k, p in enumerate(itertools.product("abcdefgh", repeat=5))
+             if not any(a == b for a, b in zip(p, p[1:]))]
+    size = 500
+    texts = [" ".join(words[at: at + size]) for at in range(0, len(words), size)]
+    rows = [(k * 20 + c, t) for k, t in enumerate(texts) for c in range(9)]
+    rows += [(10**6 + k, f"plain w{k} text") for k in range(4000)]
+    learned = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1 for w in t.split() if i < 10**6)
+    model = tx.train(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, int(i < 10**6)) for i, _ in rows], LABELS))
+    wanted = {w + "$" for w, n in learned.items() if n >= tx.MIN_DOCS}
+    assert len(model.evidence) > 60_000 and len(wanted) > 15_000
+    assert wanted <= set(model.evidence)
+
+
 def test_held_out_accuracy(spark, trained):
     docs, labels, _ = trained
     rows = tx.toxicity(docs, labels).join(labels, "doc_id").collect()
