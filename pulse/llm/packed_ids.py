@@ -16,8 +16,10 @@ task that is run again, or twice, leaves one whole shard.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -153,7 +155,7 @@ def open_store(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class _TextIds:
-    """Ids of texts by the tokenizers library, memoised by piece as uint32 bytes.
+    """Ids of texts by the tokenizers library with its defaults, memoised by piece as uint32 bytes.
 
     New pieces are encoded many to a text, with a special token between them that splits the
     text before anything else and marks where each piece's ids end.
@@ -162,11 +164,14 @@ class _TextIds:
     _PIECES_A_TEXT = 512
 
     def __init__(self, data: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.plain = Tokenizer.from_str(data.decode())
-        self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.plain.get_vocab_size(with_added_tokens=True)
         self.splitting = Tokenizer.from_str(data.decode())
-        special = sorted(i for i, t in self.splitting.get_added_tokens_decoder().items() if t.special)
+        added = self.splitting.get_added_tokens_decoder()
+        special = sorted(i for i, t in added.items() if t.special)
+        #: The library takes these out of a text before anything else, so texts that hold one are encoded whole.
+        self.added = tuple(sorted(t.content for t in added.values()))
         self.mark_id = special[0] if special else None
         self.mark = self.splitting.id_to_token(self.mark_id) if special else None
         self.pieces = vocab.Memo(vocab.PIECE_ENTRIES)
@@ -190,7 +195,7 @@ class _TextIds:
 
     def encode_batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id after it; start of each text's ids and their end)."""
-        pieces, index, starts = vocab.numbered_pieces(texts)
+        pieces, index, starts = vocab.numbered_pieces(texts, self.added)
         values = vocab.memoised(self.pieces, pieces, self.learn)
         values.append(np.array([end_id], dtype="<u4").tobytes())
         index = np.insert(index, starts[1:], len(values) - 1)

@@ -94,14 +94,16 @@ def splitter(pattern: str = PATTERN) -> Callable[[str], list[str]]:
     return regex.compile(spaces).findall
 
 
-def numbered_pieces(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def numbered_pieces(texts: pa.Array, apart: tuple[str, ...] = ()) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct pieces, number of each piece in order, start of each text's pieces and their end).
 
     Every text begins with the empty piece, so it has one at least. An odd text is that and one
-    piece of its own, marked; ``pieces_of`` splits it.
+    piece of its own, marked; ``pieces_of`` splits it. Texts that hold one of ``apart`` are odd too.
     """
     texts = pc.fill_null(texts, "")
     odd = pc.match_substring_regex(texts, _ODD)
+    for held in apart:
+        odd = pc.or_(odd, pc.match_substring(texts, held))
     marked = pc.replace_substring_regex(pc.if_else(odd, "", texts), _PIECE, _MARK + r"\0")
     split = pc.split_pattern(marked, _MARK)
     starts = split.offsets.to_numpy().astype(np.int64)

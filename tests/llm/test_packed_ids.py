@@ -13,9 +13,7 @@ from tests.conftest import SF
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(packed_ids.VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(packed_ids.VOCABULARY)  # with the library's defaults
 
 
 def brute(rows, tokenizer):
@@ -59,6 +57,14 @@ def test_whole_table(spark, tokenizer):
     assert got == brute(rows, tokenizer)
 
 
+def test_special_strings_are_what_the_library_makes_of_them(spark, tokenizer):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  \n\n y", "<|endoftext", "|endoftext|>", " <|endoftext|>it's"]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rows = list(enumerate(texts * 3))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in packed_ids.round_trip(df).collect()) == brute(rows, tokenizer)
+
+
 def test_odd_rows(spark, tokenizer):
     rows = [(4, "a  b\n\n c <|endoftext|> d", 1), (2, None, 2), (3, "", 3), (9, "long " * 30000, 4), (None, "x", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, start int")
