@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pulse.llm import common, labelled
 
 TRAIN_DOCS = 3000
-#: Lines of one document that the sample keeps at most: a window at a hashed place. Scoring has no such bound.
-TRAIN_LINES = 64
+#: Lines of the sample at most, over whole documents: those that would exceed it are left out. Scoring has no such bound.
+TRAIN_LINES = 200_000
 FOLDS, HELD_OUT = 5, 0
 CUT = 0.3
 
@@ -186,22 +186,43 @@ def _chain_pass(unary: np.ndarray, mask: np.ndarray, trans: np.ndarray):
     return total.sum(), one, pairs
 
 
-def _fit_field(x, lines, mask, weights, trans, y, share, rounds: int, penalty: float = 0.3):
-    """Adam on the penalised conditional likelihood; ``lines`` maps padded places to rows of ``x``."""
-    n = mask.sum()
-    keep = mask.astype(float)
+@dataclass
+class _Chains:
+    """Documents of similar length: their rows, and their lines as padded places."""
+    docs: np.ndarray
+    lines: np.ndarray
+    mask: np.ndarray
+
+
+def _by_length(starts: np.ndarray) -> list[_Chains]:
+    """All documents, in groups within a power of two of lines, so that few long ones do not pad the others."""
+    sizes = np.diff(starts)
+    power = np.ceil(np.log2(np.maximum(sizes, 8))).astype(int)
+    out = []
+    for b in np.unique(power):
+        docs = np.flatnonzero(power == b)
+        places = np.arange(sizes[docs].max())
+        out.append(_Chains(docs, np.minimum(starts[docs, None] + places, starts[docs + 1, None] - 1), places < sizes[docs, None]))
+    return out
+
+
+def _fit_field(x, chains: list[_Chains], weights, trans, labels: list[np.ndarray], share, rounds: int, penalty: float = 0.3):
+    """Adam on the penalised conditional likelihood; ``labels`` are those of the chains' places."""
+    n = sum(c.mask.sum() for c in chains)
     seen = np.zeros((2, 2))
-    for a in (0, 1):
-        for b in (0, 1):
-            seen[a, b] = ((y[:, :-1] == a) & (y[:, 1:] == b) & mask[:, 1:]).sum()
+    for c, y in zip(chains, labels):
+        for a in (0, 1):
+            for b in (0, 1):
+                seen[a, b] += ((y[:, :-1] == a) & (y[:, 1:] == b) & c.mask[:, 1:]).sum()
     m1, m2 = np.zeros(len(weights)), np.zeros(len(weights))
     p1, p2 = np.zeros((2, 2)), np.zeros((2, 2))
     for k in range(1, rounds + 1):
-        unary = np.where(mask, (x @ weights)[lines], 0)
-        _, one, pairs = _chain_pass(unary, mask, trans)
-        off = (y - one) * keep
-        per_line = np.zeros(len(x))
-        np.add.at(per_line, lines[mask], off[mask])
+        unary = x @ weights
+        per_line, pairs = np.zeros(len(x)), np.zeros((2, 2))
+        for c, y in zip(chains, labels):
+            _, one, both = _chain_pass(np.where(c.mask, unary[c.lines], 0), c.mask, trans)
+            pairs += both
+            per_line[c.lines[c.mask]] += (y - one)[c.mask]
         grad = x.T @ per_line / n - penalty * weights / n
         grad_t = (seen - pairs) / n - penalty * trans / n
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
@@ -224,20 +245,24 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
         return Model(np.zeros(columns, np.float32), (0.0, 0.0, 0.0, 0.0), 0.0, prior)
     starts = np.cumsum([0] + [len(n) for _, _, n in rows])
     x = _expand(np.concatenate([m for _, m, _ in rows]), starts[:-1]).astype(np.float64)
-    longest = int(np.diff(starts).max())
-    lines = np.minimum(starts[:-1, None] + np.arange(longest), starts[1:, None] - 1)
-    mask = np.arange(longest) < np.diff(starts)[:, None]
+    chains = _by_length(starts)
     bad_doc = np.array([1 - y for y, _, _ in rows])
-    lengths = np.concatenate([n for _, _, n in rows])[lines]
-    y = np.where(mask, bad_doc[:, None], 0)
+    all_lengths = np.concatenate([n for _, _, n in rows])
+    labels = [np.where(c.mask, bad_doc[c.docs, None], 0) for c in chains]
     weights, trans = np.zeros(x.shape[1]), np.zeros((2, 2))
+    share = np.zeros(len(rows))
     for rounds in (80, 60, 60):
-        weights, trans = _fit_field(x, lines, mask, weights, trans, y, 0.1, rounds)
-        _, one, _ = _chain_pass(np.where(mask, (x @ weights)[lines], 0), mask, trans)
-        worst = np.where(mask, one * np.sqrt(lengths), -1).argmax(axis=1)
-        y = np.where(mask & (bad_doc[:, None] == 1) & (one > 0.5), 1, 0)
-        y[np.flatnonzero(bad_doc), worst[np.flatnonzero(bad_doc)]] = 1
-    share = 1 - (one * lengths * mask).sum(axis=1) / (lengths * mask).sum(axis=1)
+        weights, trans = _fit_field(x, chains, weights, trans, labels, 0.1, rounds)
+        unary = x @ weights
+        labels = []
+        for c in chains:
+            _, one, _ = _chain_pass(np.where(c.mask, unary[c.lines], 0), c.mask, trans)
+            lengths, bad = all_lengths[c.lines], bad_doc[c.docs]
+            worst = np.where(c.mask, one * np.sqrt(lengths), -1).argmax(axis=1)
+            y = np.where(c.mask & (bad[:, None] == 1) & (one > 0.5), 1, 0)
+            y[np.flatnonzero(bad), worst[np.flatnonzero(bad)]] = 1
+            labels.append(y)
+            share[c.docs] = 1 - (one * lengths * c.mask).sum(axis=1) / (lengths * c.mask).sum(axis=1)
     slope, offset = _calibrate(np.array([_logit(g) for g in share]), 1 - bad_doc)
     flat = tuple(float(v) for v in trans.reshape(-1))
     return Model(weights.astype(np.float32), flat, slope, offset)
@@ -255,24 +280,27 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(beta[0]), 0.0), float(beta[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
-    """Fit on at most ``limit`` documents outside the held-out fold. Measures are taken in
-    tasks; the driver gets at most ``limit * TRAIN_LINES`` lines of ``_MEASURES`` numbers."""
+def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> Model:
+    """Fit on at most ``limit`` documents outside the held-out fold, each with all its lines and ``max_lines`` in all: in
+    the sample's order, documents that would exceed them are left out. Measures are taken in tasks; the
+    driver gets one small row a sampled document and ``_MEASURES`` numbers a line."""
     common.ship_package(docs.sparkSession)
-    sample = labelled.training_sample(docs, labels, "quality", FOLDS, HELD_OUT, limit)
+    sample = common.cut(labelled.training_sample(docs, labels, "quality", FOLDS, HELD_OUT, limit))
+    lines = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"))
+    chosen, room = set(), max_lines
+    for r in sorted(sample.select(F.xxhash64("doc_id").alias("h"), "doc_id", lines.alias("n")).collect()):
+        if r.n <= room:
+            chosen.add(r.doc_id)
+            room -= r.n
     schema = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("m", pa.binary()), ("n", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for part, found in common.texts(batch):
-                ids = part.column("doc_id").to_pylist()
-                measures, lengths = [], []
-                for i, text in zip(ids, found):
-                    m, n = text_measures(text)
-                    at = (i * 2654435761 % 2**32) % max(len(n) - TRAIN_LINES + 1, 1)
-                    measures.append(m[at: at + TRAIN_LINES].tobytes())
-                    lengths.append(n[at: at + TRAIN_LINES].tobytes())
-                yield common.out_batch(schema, ids, part.column("y"), measures, lengths)
+                ids, ys = part.column("doc_id").to_pylist(), part.column("y").to_pylist()
+                taken = [(i, y, *text_measures(t)) for i, y, t in zip(ids, ys, found) if i in chosen]
+                yield common.out_batch(schema, [i for i, _, _, _ in taken], [y for _, y, _, _ in taken],
+                                       [m.tobytes() for _, _, m, _ in taken], [n.tobytes() for _, _, _, n in taken])
 
     rows = sample.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, m binary, n binary").collect()
     rows.sort(key=lambda r: r.doc_id)

@@ -62,6 +62,48 @@ def test_sample_never_holds_held_out_labels(spark):
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows)
 
 
+GOOD_LINE = "The committee met on Tuesday and agreed on the plan for the coming year."
+BAD_LINE = "$$$ WIN!!! ### click >>> |||| 000 ### $$$ !!!"
+
+
+def test_bad_lines_far_into_a_long_document_are_learned(spark, monkeypatch):
+    """Sampled documents are seen whole: what makes them bad may stand anywhere."""
+    rows = [(k, "\n".join([GOOD_LINE + f" {n}" for n in range(8 + k % 5)])) for k in range(0, 60)]
+    rows += [(k, "\n".join([GOOD_LINE + f" {n}" for n in range(300)] + [BAD_LINE + str(n) for n in range(60)])) for k in range(100, 160)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], LABELS)
+    seen = []
+    fit = q.fit
+    monkeypatch.setattr(q, "fit", lambda sample: seen.append(sample) or fit(sample))
+    model = q.train(docs, labels)
+    assert {len(n) for y, _, n in seen[0] if not y} == {360}
+    short = "\n".join([GOOD_LINE + f" {n}" for n in range(9)])
+    assert model.scores([BAD_LINE + "\n" + BAD_LINE])[0] < 0.3 < model.scores([short])[0]
+
+
+def test_sample_is_bounded_by_whole_documents(spark, monkeypatch):
+    rows = [(k, "\n".join(["a line"] * (k % 7 + 1))) for k in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], LABELS)
+    seen = []
+    monkeypatch.setattr(q, "fit", lambda sample: seen.append(sample))
+    q.train(docs, labels, max_lines=100)
+    q.train(docs, labels)
+    few, every = ([len(n) for _, _, n in sample] for sample in seen)
+    assert 90 < sum(few) <= 100 < sum(every) and len(few) < len(every)
+
+
+def test_documents_of_all_lengths_are_grouped(spark):
+    sizes = np.array([1, 8, 9, 64, 65, 400, 2, 16])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    chains = q._by_length(starts)
+    assert sorted(np.concatenate([c.docs for c in chains]).tolist()) == list(range(8))
+    for c in chains:
+        assert c.mask.shape[1] <= 2 * max(sizes[c.docs].min(), 8)
+        for d, lines, mask in zip(c.docs, c.lines, c.mask):
+            assert lines[mask].tolist() == list(range(starts[d], starts[d + 1]))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (None, "a text", "c"), (4, "w " * 200000, "d"), (4, "\n" * 5000, "e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
