@@ -71,10 +71,10 @@ def text_fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` for every row, and its long columns ``keep``; ``fp`` holds the 64 bits as a signed long."""
     common.ship_package(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), *[(k, pa.int64()) for k in keep]])
 
     def run(batches):
         for batch in batches:
@@ -83,10 +83,11 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
                 found = [text_fingerprint(t or b"", shingle_words)
                          for t in part.column("text").cast(pa.binary()).to_pylist()]
                 yield common.out_batch(schema, part.column("doc_id"),
-                                       pa.array(np.array(found, dtype=np.uint64).view(np.int64)))
+                                       pa.array(np.array(found, dtype=np.uint64).view(np.int64)),
+                                       *[part.column(k) for k in keep])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep).mapInArrow(
+        run, ", ".join(["doc_id long, fp long", *[f"{k} long" for k in keep]]))
 
 
 @lru_cache(maxsize=1)
@@ -224,9 +225,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     rows each keep their row. A null ``doc_id`` never names a component: its row takes
     the smallest id of its component, null if that has none. An empty table gives no row.
     """
+    fps = common.cut(fingerprints(docs, shingle_words))
+    named = _components(fps, max_bits, group_limit)
+    ids = common.cut(named.groupBy("component").agg(F.min("first_id").alias("component_id")))
+    classes = common.cut(named.join(ids, "component").select("fp", "component_id"))
+    return fps.join(classes, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _components(fps: DataFrame, max_bits: int, group_limit: int) -> DataFrame:
+    """``(fp, first_id, component)``: every fingerprint, its smallest id, and the smallest fingerprint it reaches."""
     if not 0 <= max_bits <= 4:
         raise ValueError("max_bits must be within 0 to 4: the blocks and radii are chosen for 4 bits")
-    fps = common.cut(fingerprints(docs, shingle_words))
     # Equal fingerprints are one node, named by its smallest id; ids can be
     # null, so nodes are the fingerprints' own 64 bits until the end.
     distinct = common.cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
@@ -236,19 +246,25 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
              .repartition("anchor", "cell_lo", "cell_hi")
              .sortWithinPartitions("anchor", "cell_lo", "cell_hi"))
     linked = common.components(_links(cells, max_bits), "a", "b")
-    named = distinct.join(linked, distinct.fp == linked.node, "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    named = common.cut(named)
-    ids = common.cut(named.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    classes = common.cut(named.join(ids, "component").select("fp", "component_id"))
-    return fps.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return common.cut(distinct.join(linked, distinct.fp == linked.node, "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component")))
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
-    Repeated rows of that id are one document; documents without an id stay."""
-    kept = (near_duplicates(docs, **options).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept_id")).distinct())
-    first = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
-    return first.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+               group_limit: int = common.GROUP_LIMIT) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id, null last; of several with that
+    id the one whose text, and then whose row, hashes lowest. Rows stand for themselves: two texts under one id are
+    compared like any others, and rows without an id too. Of rows that are equal throughout one stays.
+    """
+    names, keys = docs.columns, ("_text_1", "_text_2", "_row")
+    text = F.col("text").cast("string")
+    marked = docs.withColumns({"_text_1": F.xxhash64(text), "_text_2": F.xxhash64(text, F.lit(1)), "_row": F.xxhash64(*names)})
+    fps = common.cut(fingerprints(marked, shingle_words, keys))
+    classes = _components(fps, max_bits, group_limit).select("fp", "component")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *keys)
+    first = common.cut(fps.join(classes, "fp").groupBy("component").agg(F.min(rank).alias("first")).select("first.*"))
+    first = first.select(F.col("doc_id").alias("_first_id"), *[F.col(k).alias(f"_first{k}") for k in keys])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_first_id"))
+    for k in keys:
+        same &= F.col(k) == F.col(f"_first{k}")
+    return marked.join(first, same, "left_semi").dropDuplicates(["doc_id", *keys]).select(*names)

@@ -77,3 +77,29 @@ def test_no_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DIR)
     assert docs.collect() == []
+
+
+def test_odd_rows_from_end_to_end(spark, tmp_path):
+    """Nulls in any column, repeated rows and ids, a very long text, and columns of the operators' own names."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    sample = docs.limit(40).collect()
+    odd = [(None, None, None, None, None), (None, "", "en", None, 0), (9001, None, "en", "web", 0), (9002, "word " * 100_000, "en", "web", 500_000),
+           (9003, "first text of this id, which is about one thing", "en", None, 1), (9003, "second text under the same id, on something else", "en", None, 1)]
+    rows = [tuple(r) + ("x", 1) for r in sample + sample[:5]] + [r + ("x", 1) for r in odd + odd[:1]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, copies int"
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{DIR}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, folder).write.parquet(f"{folder}/{k}")
+        after = spark.read.parquet(f"{folder}/{k}")
+        if name != "bpe_tokens":
+            assert after.columns == now.columns
+        if name == "simhash_near_dedup":
+            texts = [r.text for r in after.collect()]
+            assert len(texts) == len(set(texts)) and sum("id" in (t or "") and "text" in (t or "") for t in texts) >= 2
+        now = after
+    last = now.collect()
+    assert last and all(r.n_tokens > 90_000 for r in last if r.doc_id == 9002)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()), key=str) == sorted(map(tuple, last), key=str)

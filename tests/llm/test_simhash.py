@@ -115,7 +115,7 @@ def test_empty_repeated_null_ids_and_extra_columns(spark):
     kept = simhash.keep_first(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id is None, r.text) for r in kept.collect()) == [
-        (False, "a b c d e"), (True, "a b c d e"), (True, "quite another text here")]
+        (False, "a b c d e"), (True, "quite another text here")]
 
 
 def test_long_text_in_chunks(spark, monkeypatch):
@@ -127,3 +127,18 @@ def test_long_text_in_chunks(spark, monkeypatch):
 def test_rejects_wider_thresholds(spark):
     with pytest.raises(ValueError):
         simhash.near_duplicates(spark.createDataFrame([], SCHEMA), max_bits=5)
+
+
+def test_keep_first_goes_by_rows(spark):
+    """Two texts under one id are two documents; rows without an id are compared too; equal rows count once."""
+    one, two, three = ("one two three four five six seven", "other words that have nothing in common with it", "a third text of its own kind here")
+    rows = [(1, one, "a"), (1, two, "a"), (2, one, "b"), (None, three, "a"), (None, three, "a"), (None, three, "b"), (None, two, "c"),
+            (3, three, "z"), (5, None, "a"), (4, "", "a"), (None, None, "q")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component string")
+    got = sorted(map(tuple, simhash.keep_first(df).collect()), key=str)
+    assert got == sorted([(1, one, "a"), (1, two, "a"), (3, three, "z"), (4, "", "a")], key=str)
+    nameless = df.where("doc_id is null and text is not null")
+    kept = simhash.keep_first(nameless).collect()
+    assert sorted(r.text for r in kept) == sorted([two, three]) and all(r.doc_id is None for r in kept)
+    again = simhash.keep_first(nameless.repartition(5)).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, kept), key=str)
