@@ -101,9 +101,9 @@ def _combine(units: DataFrame, leaf_key: str, seed: int) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT,
         seed: int = SEED, leaf: int = LEAF) -> DataFrame:
-    """One row per row of ``docs`` (``doc_id``, ``text``, ``source``): ``doc_id``, ``source``, ``size``
-    (words), ``source_size``, ``target`` (its source's), ``copies`` (0 to ``max_repeat``), ``taken``
-    (``size * copies``).
+    """One row per row of ``docs`` (``doc_id``, ``text``, ``source``): ``doc_id``, ``size``
+    (words), ``source_size``, ``target`` (its source's), ``taken`` (``size * copies``), ``source``, ``copies`` (0 to
+    ``max_repeat``).
 
     A source's taken words miss its target by at most half the words of the one document left at the
     root, which is rounded to the nearer side. Draws are hashes of the seed and the
@@ -147,10 +147,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT,
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
+    copies = F.col("whole") + F.col("extra")
     return out.join(goal, "src").select(
-        "doc_id", "source", "size", "source_size", "target",
-        (F.col("whole") + F.col("extra")).alias("copies"),
-        (F.col("size") * (F.col("whole") + F.col("extra"))).alias("taken"))
+        "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), "source", copies.alias("copies"))
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
