@@ -35,6 +35,8 @@ from pulse.session import shared_dir
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 BLOCK_IDS = 8192
+#: Bytes of text that are split and laid out at once; the more, the fewer times a piece is looked up.
+SLICE_BYTES = 8 << 20
 
 _MAGIC = b"PULSEID1"
 _END = struct.Struct("<8sIIQQQ")
@@ -165,29 +167,28 @@ class _TextIds:
 
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        self.plain = Tokenizer.from_str(data.decode())
-        self.vocabulary = self.plain.get_vocab_size(with_added_tokens=True)
-        self.splitting = Tokenizer.from_str(data.decode())
-        added = self.splitting.get_added_tokens_decoder()
+        self.tokenizer = Tokenizer.from_str(data.decode())
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder()
         special = sorted(i for i, t in added.items() if t.special)
         #: The library takes these out of a text before anything else, so texts that hold one are encoded whole.
         self.added = tuple(sorted(t.content for t in added.values()))
         self.mark_id = special[0] if special else None
-        self.mark = self.splitting.id_to_token(self.mark_id) if special else None
+        self.mark = self.tokenizer.id_to_token(self.mark_id) if special else None
         self.pieces = vocab.Memo(vocab.PIECE_ENTRIES)
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def learn(self, pieces: list[str]) -> list[bytes]:
         # Odd texts, and pieces that could form a special token's string, are encoded as they are.
-        alone = [p for p in pieces if self.mark is None or "<" in p or vocab.pieces_of(p) != [p]]
+        alone = [p for p in pieces if not p or "<" in p or p[0] == vocab.MARK or self.mark is None]
         found = dict(zip(alone, self.whole(["".join(vocab.pieces_of(p)) for p in alone])))
         rest = [p for p in pieces if p not in found] if alone else pieces
         parts = [rest[at: at + self._PIECES_A_TEXT] for at in range(0, len(rest), self._PIECES_A_TEXT)]
         joined = [self.mark + "".join([p + self.mark for p in part]) for part in parts]
-        for part, got in zip(parts, self.splitting.encode_batch_fast(joined, add_special_tokens=False)):
+        for part, got in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(got.ids, dtype="<u4")
             data, ends = ids.tobytes(), (np.flatnonzero(ids == self.mark_id) * 4).tolist()
             found.update(zip(part, [data[a + 4: z] for a, z in zip(ends, ends[1:])]))
@@ -227,7 +228,7 @@ def write_shards(docs: DataFrame, root: str, path: str = VOCABULARY, end_id: int
         own = f"{final}.{task.taskAttemptId()}"
         writer = None
         for batch in batches:
-            for part in common.parts(batch):
+            for part in common.parts(batch, size=SLICE_BYTES):
                 if writer is None:
                     sink = fs.open_output_stream(own)
                     writer = ShardWriter(sink, bits)

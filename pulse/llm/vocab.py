@@ -33,8 +33,8 @@ PIECE_CHARS = 64
 
 _SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: Put before each piece by Arrow; a text that holds it, or two white-space characters in a row, is odd.
-_MARK = "\x01"
-_ODD = rf"[{_SPACE}\x{{1c}}-\x{{1f}}]{{2}}|{_MARK}"
+MARK = "\x01"
+_ODD = rf"[{_SPACE}\x{{1c}}-\x{{1f}}]{{2}}|{MARK}"
 #: PATTERN for texts that are not odd, as RE2 writes it.
 _PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]"
 _built: dict[tuple[str, str], object] = {}
@@ -104,22 +104,22 @@ def numbered_pieces(texts: pa.Array, apart: tuple[str, ...] = ()) -> tuple[list[
     odd = pc.match_substring_regex(texts, _ODD)
     for held in apart:
         odd = pc.or_(odd, pc.match_substring(texts, held))
-    marked = pc.replace_substring_regex(pc.if_else(odd, "", texts), _PIECE, _MARK + r"\0")
-    split = pc.split_pattern(marked, _MARK)
+    marked = pc.replace_substring_regex(pc.if_else(odd, "", texts), _PIECE, MARK + r"\0")
+    split = pc.split_pattern(marked, MARK)
     starts = split.offsets.to_numpy().astype(np.int64)
     coded = split.flatten().dictionary_encode()
     pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     places = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
     if len(places):
         index = np.insert(index, starts[places + 1], len(pieces) + np.arange(len(places)))
-        pieces += [_MARK + t for t in texts.take(pa.array(places)).to_pylist()]
+        pieces += [MARK + t for t in texts.take(pa.array(places)).to_pylist()]
         starts = starts + np.concatenate([[0], np.cumsum(odd.to_numpy(zero_copy_only=False))])
     return pieces, index, starts
 
 
 def pieces_of(piece: str) -> list[str]:
     """The pieces that a numbered piece stands for: itself, none if empty, those of an odd text."""
-    if piece[:1] == _MARK and len(piece) > 1:
+    if piece[:1] == MARK and len(piece) > 1:
         return splitter()(piece[1:])
     return [piece] if piece else []
 
