@@ -62,6 +62,22 @@ def test_recall_and_exactness(spark):
     assert all(a[1] >= b[1] for a, b in zip(want, have))
 
 
+def test_recall_at_64_dimensions(spark):
+    rows = clustered(1500, 64, 7, noise=0.2)
+    want, have = brute(rows), got(ed.near_duplicates(spark.createDataFrame(rows, SCHEMA)))
+    total, found = sum(r[1] for r in want), sum(r[1] for r in have)
+    assert total > 1000 and 0.99 * total <= found <= total
+    assert all(a[1] >= b[1] for a, b in zip(want, have))
+
+
+def test_signs_made_again_are_those_of_the_buckets(spark):
+    """A pair is counted once, although it meets in many tables."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=32)
+    rows = [(i, (centre + 0.05 * rng.normal(size=32)).astype(np.float32).tolist()) for i in range(40)]
+    assert got(ed.near_duplicates(spark.createDataFrame(rows, SCHEMA), recall=0.999999)) == brute(rows)
+
+
 def test_close_groups_are_found_whole(spark):
     rows = clustered(400, 16, 2, noise=0.03)
     assert got(ed.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
