@@ -29,8 +29,9 @@ from pulse.llm import common
 SCALE = 256
 QUERY_EVERY = 50
 K = 5
+#: Candidates of a block, which are a few MB, and queries that meet it at once: the index travels once for so many.
 BLOCK_ROWS = 32768
-BLOCK_QUERIES = 64
+BLOCK_QUERIES = 4096
 
 
 @dataclass
