@@ -262,9 +262,7 @@ def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
     fps = common.cut(fingerprints(marked, shingle_words, keys))
     classes = _components(fps, max_bits, group_limit).select("fp", "component")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *keys)
-    first = common.cut(fps.join(classes, "fp").groupBy("component").agg(F.min(rank).alias("first")).select("first.*"))
-    first = first.select(F.col("doc_id").alias("_first_id"), *[F.col(k).alias(f"_first{k}") for k in keys])
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_first_id"))
-    for k in keys:
-        same &= F.col(k) == F.col(f"_first{k}")
-    return marked.join(first, same, "left_semi").dropDuplicates(["doc_id", *keys]).select(*names)
+    first = common.cut(fps.join(classes, "fp").groupBy("component").agg(F.min(rank).alias("first"))
+                       .select(*[F.col(f"first.{k}") for k in keys]))
+    # The three hashes, 192 bits, stand for the row. Equal rows become one before the shuffle, which both steps share.
+    return marked.dropDuplicates(list(keys)).join(first, list(keys), "left_semi").select(*names)
