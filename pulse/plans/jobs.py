@@ -69,7 +69,7 @@ def _step(timings: dict | None, name: str):
     t0 = clock.perf_counter()
     yield
     if timings is not None:
-        timings[name] = round(clock.perf_counter() - t0, 3)
+        timings[name] = round(timings.get(name, 0) + clock.perf_counter() - t0, 3)
 
 
 def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,
@@ -241,9 +241,13 @@ def _event_tables(run: _Run, timings: dict | None) -> None:
     """Stage, audit and publish the event tables and their partials."""
     spark, cfg = run.spark, run.cfg
     with _step(timings, "stg_events"):
-        events = run.audit_days("stg_events", _stage_events(run), schemas.STORED_EVENTS)
+        events = _stage_events(run)
+    with _step(timings, "audits"):
+        events = run.audit_days("stg_events", events, schemas.STORED_EVENTS)
     with _step(timings, "fct_events"):
-        fct = run.audit_days("fct_events", _stage_fact(run, events), schemas.STORED_EVENTS)
+        fct = _stage_fact(run, events)
+    with _step(timings, "audits"):
+        fct = run.audit_days("fct_events", fct, schemas.STORED_EVENTS)
     with _step(timings, "partials"):
         daily = _stage_partials(run, fct)
     tables.publish_together(spark, cfg.root, events, fct, *daily)

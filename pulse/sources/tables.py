@@ -31,7 +31,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, IntegralType, LongType, StructField, StructType
 
 from pulse.streaming import windows
 
@@ -41,6 +41,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 ROW_BYTES = 64
 #: Quantiles kept of a day's cluster key; a day has at most one range more.
 QUANTILES = 255
+KEY_QUANTILES = StructType([StructField("day", DateType()), StructField("n_rows", LongType()),
+                            StructField("cuts", ArrayType(LongType()))])
 _READY = "_READY"
 _VERSION = re.compile(r"v(\d{6,})-[0-9a-f]{8}")
 _WRITE = re.compile(r"write=(w(\d{6,})-[0-9a-f]{8})")
@@ -271,10 +273,25 @@ def _read_days(spark: SparkSession, path: str, column: str, days: dict[str, str]
         if schema is None:
             raise ValueError(f"{path} holds no day: give its schema to read it as empty")
         return spark.createDataFrame([], schema)
-    rows = reader.parquet(*[f"{path}/write={w}/{column}={d}" for d, w in days.items()]).drop("write")
+    rows = reader.parquet(*_folders(spark, path, column, days)).drop("write")
     return rows if schema is None else rows.select(*schema.names)
 
 
+def _folders(spark: SparkSession, path: str, column: str, days: dict[str, str]) -> list[str]:
+    """Folders of the days in force: those of whole writes, where all their days are, so that Spark lists few."""
+    by_write: dict[str, set[str]] = {}
+    for day, write in days.items():
+        by_write.setdefault(write, set()).add(day)
+    out = []
+    for write, held in by_write.items():
+        folder = f"{path}/write={write}"
+        if held == set(_values(spark, folder, column)):
+            out.append(folder)
+        else:
+            out += [f"{folder}/{column}={d}" for d in sorted(held)]
+    return out
+
+
 def as_published(spark: SparkSession, staged: Staged, schema: StructType | None = None) -> DataFrame:
     """The table as it would read with the staged days in force."""
     return _read_days(spark, staged.path, staged.partition_col, _after(spark, staged), schema)
@@ -433,7 +450,7 @@ def layout(df: DataFrame, partition_col: str, cluster_by: tuple[str, ...] = (),
 def stored_quantiles(spark: SparkSession, path: str) -> DataFrame | None:
     """The quantiles kept with a clustered table, one row a day."""
     kept = f"{path.rstrip('/')}/_quantiles"
-    return read(spark, kept) if exists(spark, kept) else None
+    return read(spark, kept, KEY_QUANTILES) if _versions(spark, kept) else None
 
 
 def keep_quantiles(spark: SparkSession, path: str, fresh: DataFrame, alone: bool = False) -> DataFrame:
@@ -547,8 +564,3 @@ def clone_table(spark: SparkSession, src: str, dst: str, partition_col: str,
         quantiles = keep_quantiles(spark, dst, kept, alone=True)
         staged = stage_days(layout(rows, partition_col, cluster_by, tiebreak, quantiles, size), dst, partition_col, alone=True)
     publish(spark, staged)
-
-
-def day_schema(schema: StructType, partition_col: str) -> StructType:
-    """``schema`` with a day column at its end."""
-    return StructType([*schema.fields, StructField(partition_col, DateType())])
