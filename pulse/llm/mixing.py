@@ -15,6 +15,8 @@ Everything is DataFrame and SQL functions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 LEAF = 128
 SEED = 20240817
+#: Copies of a repeated row that are told apart in one array.
+_COPIES = 4096
 
 _UNIT = "struct<doc_id:bigint,occ:bigint,size:double,p:double>"
 _DONE = "array<struct<doc_id:bigint,size:bigint,extra:int>>"
@@ -39,28 +43,32 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_RE
 
     Sources weigh ``weights`` in turn, in code-point order with null last, and share
     the total of all sizes. A target stops at ``max_repeat`` times its source's size and
-    the excess goes to the others by weight: sources fill up in the order of cap over weight,
-    so the common level follows from running sums over the table of sources.
+    the excess goes to the others by weight: what a unit of weight gets rises as sources fill up, which a few aggregates
+    over the sources find. Sums are of integers, so reruns agree. Sources are numbered by ranges, so no task holds them all.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_ratio = Window.orderBy("_ratio", "src")
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                          ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    total = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (sizes.withColumn("weight", weight)
-              .withColumn("src", F.row_number().over(by_name))
-              .withColumn("_cap", F.col("source_size") * F.lit(float(max_repeat)))
-              .withColumn("_ratio", F.col("_cap") / F.col("weight"))
-              .withColumn("_left", total - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)))
-              .withColumn("_level", F.col("_left") / F.sum("weight").over(
-                  by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-              .withColumn("_full", F.col("_ratio") < F.col("_level")))
-    # The first source that is not full sees what the others share.
-    level = F.min_by(F.when(~F.col("_full"), F.col("_level")), F.when(~F.col("_full"), F.col("_ratio"))).over(
-        Window.partitionBy(F.lit(0)))
-    return (ranked.withColumn("target", F.when(F.col("_full"), F.col("_cap"))
-                              .otherwise(F.least(F.col("weight") * level, F.col("_cap"))))
+    by_name = F.col("source").asc_nulls_last()
+    ranged = cut(sizes.repartitionByRange(by_name).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    src = F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(by_name))
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("src") - 1) % len(weights) + 1).cast("int"))
+    ranked = cut(ranged.join(F.broadcast(offsets), "_part").withColumn("src", src).withColumn("weight", weight)
+                 .withColumn("_cap", F.col("source_size") * F.lit(max_repeat))
+                 .select("src", *sizes.columns, "weight", "_cap"))
+    ratio = F.col("_cap") / F.col("weight")
+    total, open_weight = ranked.agg(F.sum("source_size"), F.sum("weight")).first()
+    full, level = 0, math.inf
+    while open_weight:  # the level rises until no further source is full
+        level = float(total - full) / float(open_weight)
+        now = ranked.agg(F.sum(F.when(ratio < level, F.col("_cap"))), F.sum(F.when(ratio >= level, F.col("weight")))).first()
+        if (now[0] or 0, now[1]) == (full, open_weight):
+            break
+        full, open_weight = now[0] or 0, now[1]
+    else:
+        level = math.inf  # all are full
+    return (ranked.withColumn("target", F.when(ratio < level, F.col("_cap").cast("double"))
+                              .otherwise(F.least(F.col("weight") * F.lit(level), F.col("_cap").cast("double"))))
             .select("src", *sizes.columns, "weight", "target"))
 
 
@@ -125,7 +133,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_repeat: int = MAX_REPEAT,
         .withColumn("leaves", F.ceil(F.col("units") / leaf)))
     units = (rows.join(goal.select(F.col("source").alias("_s"), "src", "part", "leaves"),
                        F.col("source").eqNullSafe(F.col("_s")))
-             .withColumn("occ", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))))
+             .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _COPIES))))
+             .withColumn("occ", F.explode(F.sequence(F.col("_block") * _COPIES + 1,
+                                                     F.least((F.col("_block") + 1) * _COPIES, F.col("n"))))))
     contest = (F.col("size") > 0) & (F.col("part") > 0)
     still = units.where(~contest).select("src", "doc_id", "size", F.lit(0).alias("extra"))
     level = _combine(

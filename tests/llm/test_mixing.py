@@ -95,3 +95,19 @@ def test_whole_table(spark):
     rows = [tuple(r) for r in df.select("doc_id", "text", "source").collect()]
     check(rows, mixing.mix(df).collect())
     assert "Python" not in mixing.mix(df)._jdf.queryExecution().toString()
+
+
+def test_many_sources_are_numbered_in_order(spark):
+    """More sources than a range partition holds, with caps that fill up in several steps."""
+    rows = [(i, "w " * (1 + i * i % 97), f"s{i * 7919 % 301:04d}") for i in range(1500)] + [(9000, "big " * 40_000, "s0000")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(9)
+    got = mixing.mix(df, leaf=8).collect()
+    check(rows, got)
+    again = {r.doc_id: r.copies for r in mixing.mix(df.repartition(4), leaf=8).collect()}
+    assert again == {r.doc_id: r.copies for r in got}
+
+
+def test_very_long_text_and_very_many_copies(spark):
+    rows = [(1, "word " * 300_000, "a"), (2, None, "a")] + [(3, "x y", "b")] * 9000 + [(4, "z", None)] * 3
+    df = spark.createDataFrame(rows, SCHEMA)
+    check(rows, mixing.mix(df).collect())
