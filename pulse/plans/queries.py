@@ -283,8 +283,7 @@ def _arrive(i: Inputs, root: str, events: Column | None, snapshots: Column | Non
     if snapshots is not None:
         for raw, name, required in ((i.raw_repos, "raw_repos", schemas.REPOS_REQUIRED), (i.raw_users, "raw_users", schemas.USERS_REQUIRED)):
             some = raw.withColumn("day", F.to_date("ingested_at")).filter(snapshots).drop("day")
-            if not some.isEmpty():
-                ingest.land_snapshots(some, f"{root}/{name}", required)
+            ingest.land_snapshots(some, f"{root}/{name}", required, may_be_empty=True)
 
 
 def daily_after_weekly(i: Inputs) -> jobs.PipelineConfig:

@@ -110,20 +110,25 @@ def _reason(df: DataFrame, required: tuple[str, ...]) -> Column:
     return reason
 
 
-def split_rejects(df: DataFrame, required: tuple[str, ...], identifier: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that can land, rejects as (identifier, reason), with line and file where documents were read with
-    their traces)."""
-    flagged = df.withColumn("_reason", _reason(df, required))
+def _split(flagged: DataFrame, traces: list[str], identifier: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with their ``_reason`` -> (rows that can land, rejects)."""
     good = flagged.filter(F.col("_reason") == "").drop("_reason", *TRACES)
     rejects = flagged.filter(F.col("_reason") != "").select(
         F.col(identifier).cast("string").alias("identifier"), F.col("_reason").alias("reason"),
-        *[F.col(c).alias(c[1:]) for c in _traces(df) if c != "_problem"],
-        *( [F.col("ingested_date")] if "ingested_date" in df.columns else []))
+        *[F.col(c).alias(c[1:]) for c in traces if c != "_problem"],
+        *( [F.col("ingested_date")] if "ingested_date" in flagged.columns else []))
     return good, rejects
 
 
+def split_rejects(df: DataFrame, required: tuple[str, ...], identifier: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that can land, rejects as (identifier, reason), with line and file where documents were read with
+    their traces)."""
+    return _split(df.withColumn("_reason", _reason(df, required)), _traces(df), identifier)
+
+
 def land_snapshots(df: DataFrame, path: str, required: tuple[str, ...], identifier: str = "id",
-                   reject_path: str | None = None, partition_col: str = "ingested_date") -> int:
+                   reject_path: str | None = None, partition_col: str = "ingested_date",
+                   may_be_empty: bool = False) -> int:
     """Land snapshot rows into their day partitions (by ``ingested_at``).
 
     Re-landing a day replaces that day only -- dynamic partition overwrite --
@@ -133,23 +138,26 @@ def land_snapshots(df: DataFrame, path: str, required: tuple[str, ...], identifi
     The batch is read once for the rows; counts and days are observed during that
     write, and only a batch with rejects is read again for them. Days of which every
     row is a reject keep what they held, and an empty batch changes nothing: both raise after the
-    rest has landed, so neither goes unreported.
+    rest has landed, so neither goes unreported. With ``may_be_empty`` a batch without any row is no error.
     """
     dated = df.withColumn(partition_col, F.to_date("ingested_at"))
-    missing = _reason(dated, required)
+    flagged = dated.withColumn("_reason", _reason(dated, required))  # once a row, for what is observed and what lands
+    lands = F.col("_reason") == ""
     seen = Observation()
-    watched = dated.observe(
-        seen, F.count(F.when(missing == "", 1)).alias("landed"), F.count(F.when(missing != "", 1)).alias("rejected"),
-        F.collect_set(F.when(missing == "", F.col(partition_col))).alias("days"),
-        F.collect_set(F.when(missing != "", F.coalesce(F.col(partition_col).cast("string"), F.lit("no day"))))
+    watched = flagged.observe(
+        seen, F.count(F.when(lands, 1)).alias("landed"), F.count(F.when(~lands, 1)).alias("rejected"),
+        F.collect_set(F.when(lands, F.col(partition_col))).alias("days"),
+        F.collect_set(F.when(~lands, F.coalesce(F.col(partition_col).cast("string"), F.lit("no day"))))
         .alias("reject_days"))
-    good, _ = split_rejects(watched, required, identifier)
+    good, _ = _split(watched, _traces(df), identifier)
     tables.replace_partitions(good, path, partition_col)
-    got = seen.get
+    got = {"landed": 0, "rejected": 0, "days": [], "reject_days": [], **seen.get}  # nothing is observed of an empty plan
     if got["rejected"] and reject_path is not None:
-        _, rejects = split_rejects(dated, required, identifier)
+        _, rejects = _split(flagged, _traces(df), identifier)
         tables.replace_partitions(rejects, reject_path, partition_col, fmt="json")
     if not got["landed"]:
+        if may_be_empty and not got["rejected"]:
+            return 0
         raise ValueError(f"refusing to land an empty batch into {path}")
     lost = sorted(set(got["reject_days"]) - {d.isoformat() for d in got["days"]})
     if lost:

@@ -32,6 +32,7 @@ ORDER_EPOCH = "1995-01-01"               # first order date
 MINUTES_PER_ORDER_DAY = 25               # order-date day -> minutes of snapshot time
 EVENT_TYPE_MAP = (("purchase", "PullRequestEvent"), ("click", "PushEvent"),
                   ("view", "WatchEvent"), ("signup", "CreateEvent"))
+MINUTE, HOUR = 60_000_000, 3_600_000_000  # microseconds
 OTHER_EVENT_TYPE = "IssuesEvent"
 OWNER_USERS = 5                          # repo owner = custkey mod 5 (users 0..4 exist)
 
@@ -47,6 +48,11 @@ def _event_type(c: Column) -> Column:
     return expr.otherwise(OTHER_EVENT_TYPE)
 
 
+def _later(time: Column, n: Column, micros: int) -> Column:
+    """``time`` and ``n`` spans of ``micros``, in plain numbers: the session's zone is UTC, so no calendar is needed."""
+    return F.timestamp_micros(F.unix_micros(time) + n * F.lit(micros).cast("bigint"))
+
+
 def _repo_full_name(repo_id: Column) -> Column:
     return F.concat(F.lit("org/r"), repo_id.cast("string"))
 
@@ -58,19 +64,15 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     repo_id = (F.when(uid < 5, uid + 100)
                .when((uid == 5) | ((uid == 6) & (eid % 2 == 0)), F.lit(105).cast("bigint"))
                .otherwise(F.get_json_object("props", "$.k").cast("bigint")))
-    # Every tenth event is emitted twice (an exact copy): adds rows, removes
-    # none, in the same single scan.
-    copies = F.explode(F.sequence(F.lit(1), F.when(eid % 10 == 0, 2).otherwise(1)))
     rows = ev.select(
         eid.alias("event_id"),
         _event_type(F.col("event_type")).alias("type"),
         F.col("ts").cast("timestamp").alias("created_at"),
         F.when(eid % 997 == 0, F.lit(None).cast("bigint")).otherwise(uid).alias("actor_id"),
         repo_id.alias("repo_id"),
-        copies.alias("_copy"),
-    ).drop("_copy")
+    )
     rid, aid = F.col("repo_id"), F.col("actor_id")
-    return rows.select(
+    events = rows.select(
         F.col("event_id").cast("string").alias("id"),
         "type",
         "created_at",
@@ -81,7 +83,14 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                ).alias("org"),
         F.lit(True).alias("public"),
         F.to_date("created_at").alias("dt"),
+        (F.col("event_id") % 10 == 0).alias("_twice"),
     )
+    # Every tenth event is emitted twice (an exact copy): adds rows, removes
+    # none, in the same single scan. The copies come last, so that what is
+    # computed for a row is not part of the loop over its copies, which would be
+    # too long a method for the JVM to compile.
+    copies = F.explode(F.when(F.col("_twice"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return events.withColumn("_copy", copies).drop("_twice", "_copy")
 
 
 def raw_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +101,7 @@ def raw_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = o.withColumn("_rn", F.row_number().over(latest_first)).filter("_rn = 1")
     rid = F.col("o_custkey")
     order_day = F.datediff(F.col("o_orderdate").cast("date"), F.lit(ORDER_EPOCH).cast("date"))
-    ingested_at = F.timestamp_add("MINUTE", order_day * MINUTES_PER_ORDER_DAY, ts(REPO_EPOCH))
+    ingested_at = _later(ts(REPO_EPOCH), order_day * MINUTES_PER_ORDER_DAY, MINUTE)
     stars = F.floor(F.col("o_totalprice") / 25).cast("bigint")
     owner = rid % OWNER_USERS
     return o.select(
@@ -110,8 +119,8 @@ def raw_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("o_totalprice") / 250).cast("bigint").alias("forks_count"),
         (F.col("o_orderkey") % 50).alias("open_issues_count"),
         (F.col("o_orderstatus") == "F").alias("archived"),
-        F.timestamp_add("DAY", rid % 3000, ts("2015-01-01 00:00:00")).alias("created_at"),
-        F.when(stars >= 1000, F.timestamp_add("HOUR", -(F.col("o_orderkey") % 24), ingested_at)
+        _later(ts("2015-01-01 00:00:00"), rid % 3000, 24 * HOUR).alias("created_at"),
+        F.when(stars >= 1000, _later(ingested_at, -(F.col("o_orderkey") % 24), HOUR)
                ).alias("pushed_at"),
         ingested_at.alias("ingested_at"),
     )
