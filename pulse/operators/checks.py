@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pulse.functions import ts
+from pulse.session import shared_dir
 
 # Far-future stand-in for an open validity window.
 OPEN_END = "9999-12-31 00:00:00"
@@ -110,7 +111,8 @@ def no_overlap(dim: DataFrame, model: str, key: str, sk: str, chunk: int = CHUNK
     A version belongs to the same cluster as its predecessors while it starts before
     the latest of their ends; versions of different clusters cannot overlap. One window
     over the key marks the clusters, and only clusters of two or more versions are paired, so a
-    sound dimension pairs nothing, whatever its number of versions.
+    sound dimension pairs nothing, whatever its number of versions. The clusters, usually none, are written when the
+    check is built.
 
     A cluster is swept in chunks of ``chunk`` versions in order of their start. Two chunks are compared, in a cell of their
     own, if the first one's latest end is after the second one's earliest start, so no task holds more
@@ -127,6 +129,8 @@ def no_overlap(dim: DataFrame, model: str, key: str, sk: str, chunk: int = CHUNK
               .withColumn("_n", F.count(F.lit(1)).over(in_cluster))
               .filter("_n > 1")
               .withColumn("_chunk", F.floor((F.row_number().over(in_cluster.orderBy("valid_from", sk)) - 1) / chunk)))
+    shared_dir(dim.sparkSession)
+    marked = marked.checkpoint()  # read several times below: the windows over the dimension run once
     group = [F.col(key).alias("_key"), "_cluster"]
     chunks = marked.groupBy(*group, "_chunk").agg(F.min("valid_from").alias("_low"), F.max("_end").alias("_high"))
     one, two = (chunks.select("_key", "_cluster", F.col("_chunk").alias(c), F.col("_low").alias(f"{c}_low"),
@@ -174,7 +178,7 @@ def _line(check: Check, failures: Column) -> Column:
 
 def summary(checks: list[Check], models: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
     """One row per check: name, model, severity, failures, status. All row-level checks
-    of a model are one aggregate over it; lazy, so one Spark job when the result is read."""
+    of a model are one aggregate over it; lazy but for ``no_overlap``, so one Spark job when the result is read."""
     parts = []
     for model in dict.fromkeys(c.model for c in checks):
         df = models[model]()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulse import schemas
+from pulse.operators import checks
 from pulse.sources import ingest, standins
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -50,3 +51,12 @@ def test_empty_batch_may_be_allowed(spark, tmp_path):
     with pytest.raises(ValueError, match="empty batch"):
         ingest.land_snapshots(users.withColumn("login", F.lit(None).cast("string")), path, schemas.USERS_REQUIRED,
                               may_be_empty=True)
+
+
+def test_overlap_windows_run_once(spark):
+    """What pairs the clusters reads them as they were written, not the windows over the dimension again."""
+    rows = [(1, "a", AT, None), (1, "b", datetime(2024, 1, 5), None), (2, "c", AT, None)]
+    dim = spark.createDataFrame(rows, "repo_id bigint, dim_repo_id string, valid_from timestamp, valid_to timestamp")
+    found = checks.no_overlap(dim, "dim_repos", "repo_id", "dim_repo_id")
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.natural_key, r.a_sk, r.b_sk) for r in found.collect()} == {("1", "a", "b"), ("1", "b", "a")}
