@@ -124,10 +124,11 @@ def no_overlap(dim: DataFrame, model: str, key: str, sk: str, chunk: int = CHUNK
     before = F.max("_end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     marked = (dim.select(key, sk, "valid_from", end.alias("_end"))
               .withColumn("_opens", F.coalesce(F.col("valid_from") >= before, F.lit(True)))
-              .withColumn("_cluster", F.count(F.when(F.col("_opens"), 1)).over(
-                  by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn("_n", F.count(F.lit(1)).over(in_cluster))
-              .filter("_n > 1")
+              .withColumns({  # a version is alone if it opens a cluster and so does the next one
+                  "_cluster": F.count(F.when(F.col("_opens"), 1)).over(
+                      by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                  "_alone": F.col("_opens") & F.lead("_opens", 1, True).over(by_start)})
+              .filter("NOT _alone").drop("_alone")
               .withColumn("_chunk", F.floor((F.row_number().over(in_cluster.orderBy("valid_from", sk)) - 1) / chunk)))
     shared_dir(dim.sparkSession)
     marked = marked.checkpoint()  # read several times below: the windows over the dimension run once

@@ -50,9 +50,10 @@ def scd2(df: DataFrame, key: str, order_col: str, tracked: list[str], sk_name: s
     start = F.coalesce(opened, order_col) if opened else F.col(order_col)
     versions = (
         flagged
-        .withColumn("_closes", F.lead("_opens", 1, True).over(w))
-        .withColumn("valid_from", F.max(F.when(F.col("_opens"), start)).over(running))
-        .withColumn("valid_to", F.lead(order_col).over(w))
+        .withColumns({  # in one step, so that one pass over the window serves them
+            "_closes": F.lead("_opens", 1, True).over(w),
+            "valid_from": F.max(F.when(F.col("_opens"), start)).over(running),
+            "valid_to": F.lead(order_col).over(w)})
         .filter("_closes")
     )
     keep = [c for c in columns if c not in (key, "valid_from", "valid_to")]
@@ -127,15 +128,14 @@ def contributor_tiers(stg_users: DataFrame, fct: DataFrame, new_days: int = NEW_
                      F.lit(1).alias("snap"), F.lit(None).cast("timestamp").alias("touch")))
     in_day = Window.partitionBy("user_id", "day").orderBy("at", "snap")  # a touch at the snapshot's time counts
     so_far = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marks = (line.withColumn("n", F.count("touch").over(so_far))
-             .withColumn("first", F.min("touch").over(so_far))
-             .withColumn("closes", F.lead("snap").over(in_day).isNull())
+    marks = (line.withColumns({"n": F.count("touch").over(so_far), "first": F.min("touch").over(so_far),
+                               "closes": F.lead("snap").over(in_day).isNull()})
              .filter((F.col("snap") == 1) | F.col("closes")))
     number = F.datediff("day", F.lit("1970-01-01").cast("date"))
     earlier = Window.partitionBy("user_id").orderBy("number").rangeBetween(Window.unboundedPreceding, -1)
     totals = (marks.withColumn("number", number)
-              .withColumn("n_before", F.sum(F.when(F.col("closes"), F.col("n"))).over(earlier))
-              .withColumn("first_before", F.min(F.when(F.col("closes"), F.col("first"))).over(earlier))
+              .withColumns({"n_before": F.sum(F.when(F.col("closes"), F.col("n"))).over(earlier),
+                            "first_before": F.min(F.when(F.col("closes"), F.col("first"))).over(earlier)})
               .filter("snap = 1"))
     at_snapshots = totals.select(
         "user_id", F.col("at").alias("snapshot_at"), F.col("day").alias("snapshot_date"),

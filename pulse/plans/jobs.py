@@ -91,7 +91,7 @@ def land(spark: SparkSession, cfg: PipelineConfig, repo_docs: DataFrame | None,
     return out
 
 
-def _concurrently(*steps: Callable[[], object]) -> list:
+def concurrently(*steps: Callable[[], object]) -> list:
     """Run independent steps as concurrent Spark jobs from driver threads.
 
     Small models (dimensions, marts) do not fill a cluster on their own;
@@ -328,7 +328,7 @@ def _daily_tables(run: _Run, timings: dict | None) -> None:
                 staging.stage_repos(_landed_days(run.raw_repos(), days))))
             run.replace("dim_languages", "dim_languages", dims.dim_languages(run.dimension(dims.REPOS)))
 
-    _concurrently(lambda: _event_tables(run, timings), repo_dims)
+    concurrently(lambda: _event_tables(run, timings), repo_dims)
     dim_repos = run.dimension(dims.REPOS)
     activity = tables.read(spark, cfg.path("day_activity"), partials.DAY_ACTIVITY)
     prs = tables.read(spark, cfg.path("day_prs"), partials.DAY_PRS)
@@ -336,7 +336,7 @@ def _daily_tables(run: _Run, timings: dict | None) -> None:
     if days:
         run.replace("dim_dates", "dim_dates", dims.dim_dates(spark, *dims.calendar_span(days[0], days[-1])))
     with _step(timings, "marts"):
-        _concurrently(
+        concurrently(
             lambda: run.replace("mart_repo_health", "repo_health", marts.repo_health(dim_repos, activity, cfg.as_of)),
             lambda: run.replace("mart_language_contributor_trends", "language_trends",
                                 marts.language_trends(dim_repos, activity, cfg.as_of)),

@@ -278,12 +278,16 @@ def _job(i: Inputs, root: str, as_of: date, **options) -> jobs.PipelineConfig:
 
 def _arrive(i: Inputs, root: str, events: Column | None, snapshots: Column | None) -> None:
     """Land the raw events and snapshots of some days (a condition on ``day``)."""
+    steps = []
     if events is not None:
-        tables.replace_partitions(i.raw_events.withColumn("day", F.col("dt")).filter(events).drop("day"), f"{root}/raw_events", "dt")
+        arrived = i.raw_events.withColumn("day", F.col("dt")).filter(events).drop("day")
+        steps.append(lambda: tables.replace_partitions(arrived, f"{root}/raw_events", "dt"))
     if snapshots is not None:
         for raw, name, required in ((i.raw_repos, "raw_repos", schemas.REPOS_REQUIRED), (i.raw_users, "raw_users", schemas.USERS_REQUIRED)):
             some = raw.withColumn("day", F.to_date("ingested_at")).filter(snapshots).drop("day")
-            ingest.land_snapshots(some, f"{root}/{name}", required, may_be_empty=True)
+            steps.append(lambda some=some, name=name, required=required: ingest.land_snapshots(
+                some, f"{root}/{name}", required, may_be_empty=True))
+    jobs.concurrently(*steps)
 
 
 def daily_after_weekly(i: Inputs) -> jobs.PipelineConfig:

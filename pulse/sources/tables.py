@@ -29,7 +29,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, IntegralType, LongType, StructField, StructType
 
@@ -37,6 +37,9 @@ from pulse.streaming import windows
 
 #: Rows per output file, whatever their size.
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Bytes of a Parquet column's dictionary in a file. Columns whose values hardly repeat outgrow it early and are written
+#: plainly from there on, which costs less than looking up each value; files stay as large.
+DICTIONARY_BYTES = 64 * 1024
 #: Bytes of a row where nothing is stored yet.
 ROW_BYTES = 64
 #: Quantiles kept of a day's cluster key; a day has at most one range more.
@@ -124,12 +127,18 @@ def _versions(spark: SparkSession, path: str, ready: bool = True) -> list[str]:
     return sorted((v for v in found if not ready or _exists(spark, f"{path}/{v}/{_READY}")), key=_number)
 
 
+def _writer(df: DataFrame, fmt: str = "parquet") -> DataFrameWriter:
+    """What every stored table is written with."""
+    writer = df.write.format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    return writer.option("parquet.dictionary.page.size", DICTIONARY_BYTES) if fmt == "parquet" else writer
+
+
 def stage(df: DataFrame, path: str, partition_col: str | None = None, fmt: str = "parquet") -> str:
     """Write a new version that readers do not see yet; its folder."""
     spark, path = df.sparkSession, path.rstrip("/")
     numbers = [_number(v) for v in _versions(spark, path, ready=False)]
     folder = f"{path}/v{max(numbers, default=0) + 1:06d}-{uuid.uuid4().hex[:8]}"
-    writer = df.write.format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer = _writer(df, fmt)
     if partition_col:
         writer = writer.partitionBy(partition_col)
     writer.save(folder)
@@ -208,8 +217,7 @@ def stage_days(df: DataFrame, path: str, partition_col: str, alone: bool = False
     number = max([0, *_lists(spark, path), *_writes(spark, path).values()]) + 1
     write = f"w{number:06d}-{uuid.uuid4().hex[:8]}"
     folder = f"{path}/write={write}"
-    (df.write.format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy(partition_col).save(folder))
+    _writer(df).partitionBy(partition_col).save(folder)
     return Staged(path, write, tuple(_values(spark, folder, partition_col)), partition_col, alone)
 
 
@@ -487,9 +495,8 @@ def row_bytes(spark: SparkSession, path: str) -> float:
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
     """Overwrite only the partitions of a plain folder that are present in ``df`` (insert-overwrite)."""
-    (df.write.mode("overwrite").format(fmt)
+    (_writer(df, fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(partition_col).save(path))
 
 

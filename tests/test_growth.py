@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulse import schemas
-from pulse.operators import checks
-from pulse.sources import ingest, standins
+from pulse.operators import checks, history
+from pulse.sources import ingest, standins, tables
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 AT = datetime(2024, 1, 3, 4, 5, 6)
@@ -60,3 +60,66 @@ def test_overlap_windows_run_once(spark):
     found = checks.no_overlap(dim, "dim_repos", "repo_id", "dim_repo_id")
     assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.natural_key, r.a_sk, r.b_sk) for r in found.collect()} == {("1", "a", "b"), ("1", "b", "a")}
+
+
+def _windows(df):
+    """Passes over a window in the plan, each with its sort if there is one."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    return sum(line.lstrip(" :+-").startswith("Window ") for line in lines)
+
+
+def test_versions_take_three_passes(spark):
+    """Repeats at one time, what changed, and the ends of versions: one pass over the key's window each."""
+    rows = [(1, "a", datetime(2024, 1, k)) for k in (1, 2)] + [(1, "b", datetime(2024, 1, 3)), (2, "a", AT)]
+    df = spark.createDataFrame(rows, "id bigint, state string, at timestamp")
+    made = history.scd2(df, "id", "at", ["state"], "version")
+    assert _windows(made) == 3
+    assert {(r.id, r.state, r.valid_from.day, r.valid_to and r.valid_to.day, r.is_current) for r in made.collect()} == {
+        (1, "a", 1, 3, False), (1, "b", 3, None, True), (2, "a", 3, None, True)}
+
+
+def test_sound_versions_are_not_sorted_by_cluster(spark, monkeypatch):
+    """Versions alone in their cluster leave before anything is grouped by cluster; the others stay."""
+    day = [datetime(2024, 1, k) for k in range(1, 9)]
+    rows = [(1, "a", day[0], day[1]), (1, "b", day[1], day[4]), (1, "c", day[2], day[3]), (1, "d", day[3], day[5]), (1, "e", day[5], None),
+            (2, "f", day[0], day[1]), (2, "g", day[1], None), (None, "h", day[0], None), (None, "i", day[1], None)]
+    dim = spark.createDataFrame(rows, "repo_id bigint, dim_repo_id string, valid_from timestamp, valid_to timestamp")
+    plans, checkpoint = [], type(dim).checkpoint
+    monkeypatch.setattr(type(dim), "checkpoint", lambda df, *a, **k: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), checkpoint(df, *a, **k))[1])
+    found = checks.no_overlap(dim, "dim_repos", "repo_id", "dim_repo_id")
+    assert {(r.a_sk, r.b_sk) for r in found.collect()} == {("b", "c"), ("c", "b"), ("b", "d"), ("d", "b")}
+    lines = [line.lstrip(" :+-").split(" ")[0] for line in plans[0].splitlines()]  # the last step first
+    windows = [k for k, step in enumerate(lines) if step == "Window"]
+    assert len(windows) == 3 and "Filter" in lines[windows[0]:windows[1]]
+
+
+def test_last_order_of_a_day_counts(spark, tmp_path):
+    """One snapshot a customer and day, that of the highest order, without a ranking before the shuffle."""
+    orders = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp,"
+              " o_orderpriority string")
+    early, late = datetime(1995, 1, 2), datetime(1995, 1, 3)
+    rows = [(k, c, "F", 100.0 * (k or 0), d, "1-URGENT") for k, c, d in (
+        (1, 7, early), (9, 7, early), (None, 7, early), (2, 7, late), (None, 8, early), (3, None, early), (4, None, early))]
+    spark.createDataFrame(rows, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    raw = standins.raw_repos(spark, str(tmp_path))
+    assert "WindowGroupLimit" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert sorted(((r.id, r.stargazers_count) for r in raw.collect()), key=repr) == [(7, 36), (7, 8), (8, 0), (None, 16)]
+
+
+def test_tables_are_written_with_short_dictionaries(spark, tmp_path):
+    """A column that hardly repeats leaves its dictionary early, one that repeats keeps it."""
+    pq = pytest.importorskip("pyarrow.parquet")
+    rows = spark.range(0, 100_000, 1, 1).select(
+        F.concat(F.lit("name "), F.col("id")).alias("name"), (F.col("id") % 5).alias("kind"),
+        F.lit(AT.date()).alias("dt"))
+    tables.replace_partitions(rows, f"{tmp_path}/plain", "dt")
+    staged = tables.stage_days(rows, f"{tmp_path}/days", "dt")
+    folders = (f"{tmp_path}/plain/dt=2024-01-03", f"{staged.folder}/dt=2024-01-03", tables.stage(rows, f"{tmp_path}/whole"))
+    for folder in folders:
+        file = next(n for n in tables._names(spark, folder) if n.endswith(".parquet"))
+        meta = pq.ParquetFile(f"{folder}/{file}").metadata.row_group(0)
+        name, kind = meta.column(0), meta.column(1)
+        start = name.dictionary_page_offset
+        assert start is None or name.data_page_offset - start <= tables.DICTIONARY_BYTES
+        assert kind.has_dictionary_page
